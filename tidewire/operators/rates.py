@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidewire.session import write_through
+
 # Fixed value: ticks the rolling history keeps.
 HISTORY = 30
 
@@ -65,8 +67,11 @@ def _spine(rates: DataFrame, tick_seconds: int, block_ticks: int, lead_in: int,
     )
     from_tick = F.greatest(F.col("start"), F.col("block") - _interval(tick_seconds * lead_in))
     to_tick = F.least(F.col("end"), F.col("block") + block - tick)
+    # A block row is tiny and its ticks are not, so the number of partitions is given:
+    # left to itself, adaptive execution would merge the blocks into one task.
+    width = int(rates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        covered.repartition(by, "block")
+        covered.repartition(width, by, "block")
         .select(by, "block", "before", F.explode(F.sequence(from_tick, to_tick, tick)).alias("tick"))
         .withColumn("own", F.col("tick") >= F.col("block"))
     )
@@ -75,8 +80,11 @@ def _spine(rates: DataFrame, tick_seconds: int, block_ticks: int, lead_in: int,
 def _filled(rates: DataFrame, tick_seconds: int, block_ticks: int, lead_in: int, by: str) -> DataFrame:
     if block_ticks < lead_in:
         raise ValueError("a block must hold at least as many ticks as it looks back")
-    spine = _spine(rates, tick_seconds, block_ticks, lead_in, by)
-    return spine.join(rates, [by, "tick"], "left").withColumn("rate", F.coalesce("rate", F.lit(0)))
+    # Both the spine and the join read the rates. Stored once, they cost one scan of the
+    # events; a tick table is small beside them. Spark picks the join by the table's size.
+    stored = write_through(rates.select(by, "tick", "rate"), "rates")
+    spine = _spine(stored, tick_seconds, block_ticks, lead_in, by)
+    return spine.join(stored, [by, "tick"], "left").withColumn("rate", F.coalesce("rate", F.lit(0)))
 
 
 def gap_filled(rates: DataFrame, tick_seconds: int = 1, by: str = "topic", block_ticks: int = BLOCK_TICKS) -> DataFrame:

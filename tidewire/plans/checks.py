@@ -21,8 +21,8 @@ from tidewire.plans.registry import register
 from tidewire.sources import tables
 
 
-def checked_events(spark, folder):
-    return validation.with_violations(tables.social_events(spark, folder), tables.fixed_now())
+def checked_events(spark, folder, *categories):
+    return validation.with_violations(tables.social_events(spark, folder, *categories), tables.fixed_now())
 
 
 @register("val_not_null", model("req", "SELECT request_id AS event_id, action_type IS NULL AS failed FROM req"))
@@ -36,7 +36,7 @@ def val_not_null(spark, folder):
 @register("val_not_blank", model("typed", f"""
 SELECT event_id, {blank('user_id')} AS failed FROM typed WHERE category <> 'SystemEvent'"""))
 def val_not_blank(spark, folder):
-    events = tables.social_events(spark, folder).where(F.col("category").isin(*ev.ROUTES))
+    events = tables.social_events(spark, folder, *ev.ROUTES)
     return events.select("event_id", is_blank(F.col("user_id")).alias("failed"))
 
 
@@ -145,13 +145,13 @@ SELECT CASE WHEN {VIOLATIONS} <> '' THEN 'invalid' WHEN content_id = 'post-BOOM'
        count(*) AS n
 FROM typed WHERE category = 'ContentInteractionEvent' GROUP BY 1"""))
 def poison_split(spark, folder):
-    interactions = checked_events(spark, folder).where(F.col("category") == schemas.CONTENT_INTERACTION)
+    interactions = checked_events(spark, folder, schemas.CONTENT_INTERACTION)
     split = validation.poison_split(interactions, [tables.POISON_CONTENT_ID])
     return split.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
 @register("null_payload_guard", model("pub", "SELECT event_id, 'null payload' AS reason FROM pub WHERE k = 7"))
 def null_payload_guard(spark, folder):
-    events = envelope.publishable(tables.social_events(spark, folder))
+    events = envelope.publishable(tables.social_events(spark, folder, *ev.ROUTES))
     nulled = F.when(F.col("k") != 7, F.col("event_type"))
     return validation.null_payloads(events.select("event_id", nulled.alias("value"))).select("event_id", "reason")

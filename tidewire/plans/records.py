@@ -16,22 +16,22 @@ from tidewire.sources import generators, tables, topic_log
 LATEST_START = "2024-01-15 00:00:00"
 
 
-def published(spark: SparkSession, folder: str) -> DataFrame:
-    return envelope.publishable(tables.social_events(spark, folder))
+#: Categories that reach a topic.
+ROUTED = tuple(ev.ROUTES)
 
 
-def of_category(spark: SparkSession, folder: str, category: str) -> DataFrame:
-    return tables.social_events(spark, folder).where(F.col("category") == category)
+def published(spark: SparkSession, folder: str) -> DataFrame:
+    return envelope.publishable(tables.social_events(spark, folder, *ROUTED))
 
 
 def on_the_wire(spark: SparkSession, folder: str, category: str) -> DataFrame:
-    events = envelope.publishable(of_category(spark, folder, category))
+    events = envelope.publishable(tables.social_events(spark, folder, category))
     return events.select(codec.encode(category).alias("value"))
 
 
 def interaction_records(spark: SparkSession, folder: str) -> DataFrame:
     """Records of the interactions topic. Offsets are per topic, so the other one is left out early."""
-    return envelope.topic_records(of_category(spark, folder, schemas.CONTENT_INTERACTION))
+    return envelope.topic_records(tables.social_events(spark, folder, schemas.CONTENT_INTERACTION))
 
 
 def judged(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +82,7 @@ def encode_event(spark, folder):
 
 @register("record_envelope", model("env", 'SELECT topic, event_id, key, partition, "offset" FROM env'))
 def record_envelope(spark, folder):
-    records = envelope.envelopes(tables.social_events(spark, folder), "key")
+    records = envelope.envelopes(tables.social_events(spark, folder, *ROUTED), "key")
     return records.select("topic", "event_id", "key", "partition", "offset")
 
 
@@ -126,7 +126,7 @@ def log_recovered(spark, folder):
 
 @register("delivery_receipts", model("env", 'SELECT event_id, topic, partition, "offset" FROM env'))
 def delivery_receipts(spark, folder):
-    return envelope.delivery_receipts(envelope.envelopes(tables.social_events(spark, folder)))
+    return envelope.delivery_receipts(envelope.envelopes(tables.social_events(spark, folder, *ROUTED)))
 
 
 _POSTS = rf"""
@@ -164,9 +164,8 @@ _FEED_COLUMNS = 'topic, event_type, primary_key, detail, partition, "offset", oc
 
 
 def _feed_envelopes(spark: SparkSession, folder: str, *categories: str) -> DataFrame:
-    events = tables.social_events(spark, folder)
     columns = ("user_id", "action_type", "target_id", "content_id", "interaction_type")
-    return envelope.envelopes(events.where(F.col("category").isin(*categories)), *columns)
+    return envelope.envelopes(tables.social_events(spark, folder, *categories), *columns)
 
 
 @register("feed_user_actions", model("feed", f"SELECT {_FEED_COLUMNS} FROM feed WHERE topic = 'user-actions'"))
@@ -197,7 +196,7 @@ SELECT topic AS stream_name, count(*) AS n, min("offset") AS min_offset, max("of
 FROM feed GROUP BY topic"""))
 def feed_by_stream(spark, folder):
     path = fresh_path(spark, "feed")
-    feed.write_feed(feed.feed_from_records(envelope.topic_records(tables.social_events(spark, folder))), path)
+    feed.write_feed(feed.feed_from_records(envelope.topic_records(tables.social_events(spark, folder, *ROUTED))), path)
     panels = [
         feed.subscribe(spark, path, name)
         .groupBy("stream_name")
@@ -299,7 +298,7 @@ def enrich_request(spark, folder):
 SELECT topic, partition, "offset" FROM env
 WHERE key = 'user-99' AND action_type = 'USER_FOLLOWED'"""))
 def topic_search(spark, folder):
-    records = envelope.topic_records(of_category(spark, folder, schemas.USER_ACTION))
+    records = envelope.topic_records(tables.social_events(spark, folder, schemas.USER_ACTION))
     return envelope.find_records(records, "user-99", "USER_FOLLOWED").select("topic", "partition", "offset")
 
 
@@ -339,7 +338,7 @@ def roundtrip_reconcile(spark, folder):
 @register("feed_reconcile", model("feed", "SELECT topic, CAST(0 AS BIGINT) AS mismatches FROM feed GROUP BY topic"))
 def feed_reconcile(spark, folder):
     # The same events once as decoded topic records and once as typed envelopes.
-    served = feed.feed_from_records(envelope.topic_records(tables.social_events(spark, folder)))
+    served = feed.feed_from_records(envelope.topic_records(tables.social_events(spark, folder, *ROUTED)))
     return reconcile.feed_mismatches(served, typed_feed(spark, folder))
 
 
@@ -349,4 +348,4 @@ SELECT topic, key, CAST(count(DISTINCT partition) AS BIGINT) AS partitions,
 FROM (SELECT *, lag("offset") OVER (PARTITION BY topic, key ORDER BY occurred_at, event_id) AS before FROM env)
 GROUP BY topic, key"""))
 def key_order_audit(spark, folder):
-    return envelope.key_order_audit(envelope.envelopes(tables.social_events(spark, folder), "key"))
+    return envelope.key_order_audit(envelope.envelopes(tables.social_events(spark, folder, *ROUTED), "key"))

@@ -6,7 +6,7 @@ from tidewire import schemas
 from tidewire.functions import codec
 from tidewire.operators import envelope, rates
 from tidewire.plans.oracle import model
-from tidewire.plans.records import interaction_records
+from tidewire.plans.records import ROUTED, interaction_records
 from tidewire.plans.registry import register
 from tidewire.plans.throughput import TICK_SECONDS, _HISTORY, flat_history
 from tidewire.session import fresh_path
@@ -21,7 +21,7 @@ SECOND_START = "2024-01-16 00:00:00"
 @register("src_earliest_resume", model("pub", "SELECT event_id, topic FROM pub"))
 def src_earliest_resume(spark, folder):
     log, out, checkpoint = (fresh_path(spark, name) for name in ("log", "copy", "progress"))
-    records = envelope.topic_records(tables.social_events(spark, folder))
+    records = envelope.topic_records(tables.social_events(spark, folder, *ROUTED))
     early = F.col("timestamp") < F.lit(SECOND_START).cast("timestamp")
     for arriving in (records.where(early), records.where(~early)):
         topic_log.append(arriving, log)
@@ -75,6 +75,6 @@ def fanout_two_queries(spark, folder):
 SELECT topic, tick, rate, total, array_to_string(h, ',') AS history FROM ({_HISTORY})"""))
 def stream_rate_snapshot(spark, folder):
     log, out, checkpoint = (fresh_path(spark, name) for name in ("log", "rates", "progress"))
-    topic_log.append(envelope.topic_records(tables.social_events(spark, folder)), log)
+    topic_log.append(envelope.topic_records(tables.social_events(spark, folder, *ROUTED)), log)
     jobs.drain(jobs.rate_job(topic_log.stream(spark, log), out, checkpoint, TICK_SECONDS))
     return flat_history(rates.snapshots(jobs.stored_rates(spark, out), TICK_SECONDS))

@@ -42,17 +42,31 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def social_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw events as typed events; ``k`` stays for the queries that plant defects by it."""
-    return as_social_events(raw_events(spark, folder))
+#: Raw types behind each category.
+RAW_TYPES = {
+    schemas.USER_ACTION: ("purchase", "signup"),
+    schemas.CONTENT_INTERACTION: ("click", "view"),
+    schemas.SYSTEM: ("error",),
+}
+
+
+def social_events(spark: SparkSession, folder: str, *categories: str) -> DataFrame:
+    """The raw events as typed events; ``k`` stays for the queries that plant defects by it.
+
+    With categories given, the matching raw types become a filter of the parquet scan.
+    """
+    raw = raw_events(spark, folder)
+    if categories:
+        raw = raw.where(F.col("raw_type").isin(*(kind for name in categories for kind in RAW_TYPES[name])))
+    return as_social_events(raw)
 
 
 def as_social_events(raw: DataFrame) -> DataFrame:
     k, kind = F.col("k"), F.col("raw_type")
     post, user = _numbered("post-", k), _numbered("user-", k)
     acting = F.when(F.col("user_id") % 50 == 0, F.lit(" ")).otherwise(_numbered("user-", F.col("user_id")))
-    acts = kind.isin("purchase", "signup")
-    reacts = kind.isin("click", "view")
+    acts = kind.isin(*RAW_TYPES[schemas.USER_ACTION])
+    reacts = kind.isin(*RAW_TYPES[schemas.CONTENT_INTERACTION])
     action_type = (
         F.when(kind == "purchase", F.element_at(
             F.array(*map(F.lit, ("POST_CREATED", "POST_DELETED", "USER_FOLLOWED"))), k % 3 + 1))
@@ -94,8 +108,7 @@ def action_requests(spark: SparkSession, folder: str) -> DataFrame:
 
     ``request_id`` identifies the request itself. An action type is missing where k is divisible by 11.
     """
-    actions = social_events(spark, folder).where(F.col("category") == schemas.USER_ACTION)
-    return actions.select(
+    return social_events(spark, folder, schemas.USER_ACTION).select(
         F.col("event_id").alias("request_id"),
         "user_id",
         F.when(F.col("k") % 11 != 0, F.col("action_type")).alias("action_type"),
