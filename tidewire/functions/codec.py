@@ -61,12 +61,11 @@ def encode_any() -> Column:
 
 
 def _wire_schema(fields: dict[str, str]) -> T.StructType:
-    # Every field is read as text first so that a bad time, id or enum constant
-    # can be reported instead of silently becoming null.
-    columns = [
-        T.StructField(name, T.MapType(T.StringType(), T.StringType()) if column == "metadata" else T.StringType())
-        for name, column in fields.items()
-    ]
+    # Ids and enum constants are read as text, so that a bad one can be reported instead
+    # of silently becoming null. The time may be text or a number, and only a variant
+    # keeps all the digits of a number.
+    special = {"metadata": T.MapType(T.StringType(), T.StringType()), "occurred_at": T.VariantType()}
+    columns = [T.StructField(name, special.get(column, T.StringType())) for name, column in fields.items()]
     return T.StructType([*columns, T.StructField(_CORRUPT, T.StringType())])
 
 
@@ -89,8 +88,10 @@ def decode(records: DataFrame, *categories: str, value: str = "value") -> DataFr
 
     columns, broken = [], [F.col("_raw").isNull(), F.col(f"_raw.{_CORRUPT}").isNotNull()]
     for name, column in fields.items():
-        text = F.col(f"_raw.{name}")
-        typed = parse_instant(text) if column == "occurred_at" else text
+        text = typed = F.col(f"_raw.{name}")
+        if column == "occurred_at":
+            text = F.try_variant_get(text, "$", "string")
+            typed = parse_instant(text)
         columns.append(typed.alias(column))
         if column == "occurred_at":
             broken.append(text.isNotNull() & typed.isNull())

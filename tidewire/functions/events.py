@@ -1,7 +1,10 @@
 """Expressions over typed events: derived type, dispatch, route and sentences."""
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tidewire import schemas
 
@@ -89,3 +92,17 @@ def describe_leaf(strict: bool = True) -> Column:
 def describe_event() -> Column:
     """``Category [EVENT_TYPE] eventId=...``."""
     return fill("%s [%s] eventId=%s", F.col("category"), F.col("event_type"), F.col("event_id"))
+
+
+def same_event(before: str, columns: Iterable[str]) -> Column:
+    """True if every column equals the one of that name in the struct ``before``; nulls are equal.
+
+    Maps have no equality of their own and are compared by their sorted entries.
+    """
+    equal = F.lit(True)
+    for name in columns:
+        left, right = F.col(f"{before}.{name}"), F.col(name)
+        if isinstance(schemas.EVENT[name].dataType, MapType):
+            left, right = F.sort_array(F.map_entries(left)), F.sort_array(F.map_entries(right))
+        equal = equal & left.eqNullSafe(right)
+    return equal

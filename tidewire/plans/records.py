@@ -71,12 +71,7 @@ def encode_event(spark, folder):
     columns = dict.fromkeys(c for fields in schemas.WIRE_FIELDS.values() for c in fields.values())
     sent = events.select(F.struct(*columns).alias("sent"), codec.encode_any().alias("value"))
     received = codec.decode(sent)
-    equal = F.col("decode_error").isNull()
-    for name in columns:
-        before, after = F.col(f"sent.{name}"), F.col(name)
-        if name == "metadata":
-            before, after = F.sort_array(F.map_entries(before)), F.sort_array(F.map_entries(after))
-        equal = equal & before.eqNullSafe(after)
+    equal = F.col("decode_error").isNull() & ev.same_event("sent", columns)
     return received.select(F.col("sent.event_id").alias("event_id"), equal.alias("equal"))
 
 
