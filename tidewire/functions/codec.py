@@ -4,69 +4,50 @@
 keeps its envelope and carries a reason in ``decode_error``.
 """
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
 from tidewire import schemas
+from tidewire.functions.constraints import outside_domain
+from tidewire.functions.sql import cases, computed_once, literal
 from tidewire.functions.text import is_uuid
 
 NULL_PAYLOAD = "null payload"
 UNDECODABLE = "undecodable value"
 
-_CORRUPT = "_corrupt"
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
-def instant_text(time: Column) -> Column:
+def instant_text(time: str) -> str:
     """ISO-8601 text of a UTC ``timestamp_ntz``."""
-    return F.concat(F.translate(time.cast("string"), " ", "T"), F.lit("Z"))
+    return f"concat(translate(CAST({time} AS STRING), ' ', 'T'), 'Z')"
 
 
-def parse_instant(text: Column) -> Column:
+def parse_instant(text: str) -> str:
     """UTC time from ISO-8601 text or from epoch seconds with a fraction; null if neither.
 
     Digits beyond microseconds are cut off.
     """
-    seconds = F.regexp_extract(text, r"^(-?\d{1,11}(\.\d{1,6})?)\d*$", 1).try_cast(T.DecimalType(18, 6))
-    with_offset = F.unix_micros(text.try_cast("timestamp")).cast(T.DecimalType(24, 6)) / F.lit(1_000_000)
-    from_epoch = lambda value: F.expr(_EPOCH) + F.make_dt_interval(secs=value.cast(T.DecimalType(18, 6)))
-    return (
-        F.when(text.endswith("Z"), text.try_cast("timestamp_ntz"))
-        .when(text.rlike(r"^-?\d+(\.\d+)?$"), from_epoch(seconds))
-        .when(text.rlike(r"[+-]\d{2}:?\d{2}$"), from_epoch(with_offset))
-    )
-
+    seconds = rf"try_cast(regexp_extract({text}, r'^(-?\d{{1,11}}(\.\d{{1,6}})?)\d*$', 1) AS DECIMAL(18, 6))"
+    shifted = f"CAST(unix_micros(try_cast({text} AS TIMESTAMP)) / 1000000BD AS DECIMAL(18, 6))"
+    return cases({
+        f"endswith({text}, 'Z')": f"try_cast({text} AS TIMESTAMP_NTZ)",
+        rf"rlike({text}, r'^-?\d+(\.\d+)?$')": f"{_EPOCH} + make_dt_interval(0, 0, 0, {seconds})",
+        rf"rlike({text}, r'[+-]\d{{2}}:?\d{{2}}$')": f"{_EPOCH} + make_dt_interval(0, 0, 0, {shifted})",
+    })
 
-def _wire_value(column: str) -> Column:
-    return instant_text(F.col(column)) if column == "occurred_at" else F.col(column)
 
-
-def encode(category: str) -> Column:
+def encode(category: str) -> str:
     """JSON text of an event of the given category; absent values are written as null."""
-    fields = schemas.WIRE_FIELDS[category]
-    return F.to_json(
-        F.struct(*(_wire_value(column).alias(name) for name, column in fields.items())),
-        {"ignoreNullFields": "false"},
+    fields = ", ".join(
+        f"{literal(name)}, {instant_text(column) if column == 'occurred_at' else column}"
+        for name, column in schemas.WIRE_FIELDS[category].items()
     )
+    return f"to_json(named_struct({fields}), map('ignoreNullFields', 'false'))"
 
 
-def encode_any() -> Column:
+def encode_any() -> str:
     """JSON text of a wide event row, by its category."""
-    chosen = None
-    for category in schemas.CATEGORIES:
-        matches = F.col("category") == category
-        chosen = F.when(matches, encode(category)) if chosen is None else chosen.when(matches, encode(category))
-    return chosen
-
-
-def _wire_schema(fields: dict[str, str]) -> T.StructType:
-    # Ids and enum constants are read as text, so that a bad one can be reported instead
-    # of silently becoming null. The time may be text or a number, and only a variant
-    # keeps all the digits of a number.
-    special = {"metadata": T.MapType(T.StringType(), T.StringType()), "occurred_at": T.VariantType()}
-    columns = [T.StructField(name, special.get(column, T.StringType())) for name, column in fields.items()]
-    return T.StructType([*columns, T.StructField(_CORRUPT, T.StringType())])
+    return cases({f"category = {literal(name)}": encode(name) for name in schemas.CATEGORIES})
 
 
 def decode(records: DataFrame, *categories: str, value: str = "value") -> DataFrame:
@@ -78,29 +59,31 @@ def decode(records: DataFrame, *categories: str, value: str = "value") -> DataFr
     fields: dict[str, str] = {}
     for category in categories or schemas.CATEGORIES:
         fields.update(schemas.WIRE_FIELDS[category])
-    raw = F.from_json(
-        F.col(value),
-        _wire_schema(fields),
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
-    )
-    kept = [name for name in records.columns if name != value]
-    parsed = records.select(*kept, F.col(value).isNull().alias("_absent"), raw.alias("_raw"))
+    kept = [f"`{name}`" for name in records.columns if name != value]
 
-    columns, broken = [], [F.col("_raw").isNull(), F.col(f"_raw.{_CORRUPT}").isNotNull()]
+    # Ids and enum constants are read as text, so that a bad one can be reported instead
+    # of silently becoming null. The time may be text or a number, and only a variant
+    # keeps all the digits of a number.
+    types = {"metadata": "MAP<STRING, STRING>", "occurred_at": "VARIANT"}
+    wire = ", ".join(f"{name} {types.get(column, 'STRING')}" for name, column in fields.items())
+    parsed = f"from_json({value}, '{wire}, _corrupt STRING', map('columnNameOfCorruptRecord', '_corrupt'))"
+    raw = computed_once(records, f"named_struct('absent', {value} IS NULL, 'json', {parsed})", "_raw")
+
+    # The time is parsed before the checks, which look at the result.
+    time = next((name for name, column in fields.items() if column == "occurred_at"), None)
+    text = f"try_variant_get(_raw.json.{time}, '$', 'string')"
+    timed = raw.selectExpr(*kept, "_raw", f"{text} AS _time", f"{parse_instant(text)} AS occurred_at")
+
+    columns, broken = [], ["_raw.json IS NULL", "_raw.json._corrupt IS NOT NULL"]
     for name, column in fields.items():
-        text = typed = F.col(f"_raw.{name}")
-        if column == "occurred_at":
-            text = F.try_variant_get(text, "$", "string")
-            typed = parse_instant(text)
-        columns.append(typed.alias(column))
         if column == "occurred_at":
-            broken.append(text.isNotNull() & typed.isNull())
-        elif column == "event_id":
-            broken.append(F.coalesce(~is_uuid(text), F.lit(False)))
+            columns.append(column)
+            broken.append("_time IS NOT NULL AND occurred_at IS NULL")
+            continue
+        columns.append(f"_raw.json.{name} AS {column}")
+        if column == "event_id":
+            broken.append(f"NOT coalesce({is_uuid(f'_raw.json.{name}')}, true)")
         elif column in schemas.ENUM_DOMAINS:
-            broken.append(F.coalesce(~text.isin(*schemas.ENUM_DOMAINS[column]), F.lit(False)))
-    undecodable = broken[0]
-    for test in broken[1:]:
-        undecodable = undecodable | test
-    error = F.when(F.col("_absent"), F.lit(NULL_PAYLOAD)).when(undecodable, F.lit(UNDECODABLE))
-    return parsed.select(*kept, *columns, error.alias("decode_error"))
+            broken.append(outside_domain(f"_raw.json.{name}", schemas.ENUM_DOMAINS[column]))
+    error = cases({"_raw.absent": literal(NULL_PAYLOAD), " OR ".join(f"({t})" for t in broken): literal(UNDECODABLE)})
+    return timed.selectExpr(*kept, *columns, f"{error} AS decode_error")

@@ -1,17 +1,15 @@
 """Declarative field constraints turned into violation columns.
 
-A rule names a property path, a message and the condition that breaks it.
-``violations`` evaluates a rule list on one row and keeps every broken rule,
-so an event reports all its problems at once.
+A rule names a property path, a message and the condition that breaks it, as
+SQL text. ``violations`` evaluates a rule list on one row and keeps every
+broken rule, so an event reports all its problems at once.
 """
 
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tidewire import schemas
+from tidewire.functions.sql import cases, literal, literals
 from tidewire.functions.text import is_blank, longer_than
 
 # Messages of the standard bean constraints.
@@ -30,16 +28,16 @@ MAX_COMMENT_LENGTH = 500
 class Rule:
     path: str
     message: str
-    broken: Column
+    broken: str
 
 
-def _column_of(path: str) -> Column:
+def _column_of(path: str) -> str:
     """The snake_case column behind a camelCase property path."""
-    return F.col("".join(f"_{c.lower()}" if c.isupper() else c for c in path))
+    return "".join(f"_{c.lower()}" if c.isupper() else c for c in path)
 
 
 def not_null(path: str) -> Rule:
-    return Rule(path, MUST_NOT_BE_NULL, _column_of(path).isNull())
+    return Rule(path, MUST_NOT_BE_NULL, f"{_column_of(path)} IS NULL")
 
 
 def not_blank(path: str) -> Rule:
@@ -50,20 +48,21 @@ def max_size(path: str, limit: int) -> Rule:
     return Rule(path, SIZE_BETWEEN % limit, longer_than(_column_of(path), limit))
 
 
-def past_or_present(path: str, now: Column) -> Rule:
-    return Rule(path, MUST_BE_PAST_OR_PRESENT, F.coalesce(_column_of(path) > now, F.lit(False)))
+def past_or_present(path: str, now: str) -> Rule:
+    """``now`` is SQL text for the clock: a literal where results must repeat."""
+    return Rule(path, MUST_BE_PAST_OR_PRESENT, f"coalesce({_column_of(path)} > {now}, false)")
 
 
 def at_least(path: str, least: int) -> Rule:
-    return Rule(path, MUST_BE_AT_LEAST % least, F.coalesce(_column_of(path) < least, F.lit(False)))
+    return Rule(path, MUST_BE_AT_LEAST % least, f"coalesce({_column_of(path)} < {least}, false)")
 
 
-def outside_domain(value: Column, domain: Iterable[str]) -> Column:
+def outside_domain(value: str, domain: Iterable[str]) -> str:
     """True for a non-null value that is no constant of the enum; it cannot decode."""
-    return F.coalesce(~value.isin(*domain), F.lit(False))
+    return f"coalesce({value} NOT IN ({literals(domain)}), false)"
 
 
-def user_action_rules(now: Column) -> list[Rule]:
+def user_action_rules(now: str) -> list[Rule]:
     return [
         not_null("eventId"),
         not_null("occurredAt"),
@@ -73,7 +72,7 @@ def user_action_rules(now: Column) -> list[Rule]:
     ]
 
 
-def interaction_rules(now: Column) -> list[Rule]:
+def interaction_rules(now: str) -> list[Rule]:
     return [
         not_null("eventId"),
         not_null("occurredAt"),
@@ -84,7 +83,7 @@ def interaction_rules(now: Column) -> list[Rule]:
     ]
 
 
-def system_rules(now: Column) -> list[Rule]:
+def system_rules(now: str) -> list[Rule]:
     return [
         not_null("eventId"),
         not_null("occurredAt"),
@@ -126,7 +125,7 @@ def leaf_rules() -> dict[str, list[Rule]]:
     }
 
 
-def rules_by_category(now: Column) -> dict[str, list[Rule]]:
+def rules_by_category(now: str) -> dict[str, list[Rule]]:
     return {
         schemas.USER_ACTION: user_action_rules(now),
         schemas.CONTENT_INTERACTION: interaction_rules(now),
@@ -134,44 +133,34 @@ def rules_by_category(now: Column) -> dict[str, list[Rule]]:
     }
 
 
-def violations(rules: Iterable[Rule]) -> Column:
+def violations(rules: Iterable[Rule]) -> str:
     """Array of ``(path, message)`` for every broken rule, ordered by path and message.
 
     The order is fixed while the plan is built, so rows need no sort.
     """
     ordered = sorted(rules, key=lambda rule: (rule.path, rule.message))
-    return F.array_compact(
-        F.array(
-            *(
-                F.when(rule.broken, F.struct(F.lit(rule.path).alias("path"), F.lit(rule.message).alias("message")))
-                for rule in ordered
-            )
-        )
+    found = ", ".join(
+        f"CASE WHEN {rule.broken} THEN"
+        f" named_struct('path', {literal(rule.path)}, 'message', {literal(rule.message)}) END"
+        for rule in ordered
     )
+    return f"array_compact(array({found}))"
 
 
-def violations_by(discriminator: Column, rule_sets: dict[str, list[Rule]]) -> Column:
+def violations_by(discriminator: str, rule_sets: dict[str, list[Rule]]) -> str:
     """Violations of each row under the rule set its discriminator names."""
-    chosen = None
-    for name, rules in rule_sets.items():
-        matches = discriminator == name
-        chosen = F.when(matches, violations(rules)) if chosen is None else chosen.when(matches, violations(rules))
-    return chosen
+    return cases({f"{discriminator} = {literal(name)}": violations(rules) for name, rules in rule_sets.items()})
 
 
-def violations_text(found: Column) -> Column:
+def violations_text(found: str) -> str:
     """``path=message`` pairs joined by ``;``."""
-    return F.array_join(F.transform(found, lambda v: F.concat(v["path"], F.lit("="), v["message"])), ";")
-
-
-def field_errors(found: Column) -> Column:
-    """Map from field to message; of several messages for a field the last one stays."""
-    return F.map_from_entries(
-        F.filter(
-            F.transform(found, lambda v, i: F.when(
-                F.coalesce(F.get(found, i + 1)["path"] != v["path"], F.lit(True)),
-                F.struct(v["path"], v["message"]),
-            )),
-            lambda entry: entry.isNotNull(),
-        )
-    )
+    return f"array_join(transform({found}, v -> concat(v.path, '=', v.message)), ';')"
+
+
+def field_errors(found: str) -> str:
+    """Map from field to message; of several messages for a field the last one stays.
+
+    Equal paths are neighbours, so an entry stays if the next one has another path.
+    """
+    last_of_path = f"filter({found}, (v, i) -> NOT (get({found}, i + 1).path <=> v.path))"
+    return f"map_from_entries(transform({last_of_path}, v -> struct(v.path, v.message)))"

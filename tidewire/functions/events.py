@@ -1,12 +1,11 @@
-"""Expressions over typed events: derived type, dispatch, route and sentences."""
+"""Expressions over typed events, as SQL text: derived type, dispatch, route and sentences."""
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from tidewire import schemas
+from tidewire.functions.sql import cases, fill, literal
 
 # Short category names used when dispatching.
 CATEGORY_NAMES = {
@@ -37,72 +36,53 @@ LEAF_SENTENCES = {
 }
 
 
-def event_type() -> Column:
-    """The constant of whichever enum the event's category carries."""
-    return F.coalesce(F.col("action_type"), F.col("interaction_type"), F.col("system_event_type"))
+#: The constant of whichever enum the event's category carries.
+EVENT_TYPE = "coalesce(action_type, interaction_type, system_event_type)"
 
 
-def dispatch(category: Column, results: dict, unknown: Column | None = None) -> Column:
-    """Pick a result per category; an unknown category fails unless ``unknown`` is given.
+def dispatch(value: str, results: dict[str, str], strict: bool = True) -> str:
+    """Pick a result per value; an unknown value fails the query, or is null if not ``strict``.
 
-    Pass ``unknown=F.lit(None)`` to keep such rows for a quarantine instead.
+    Results are SQL text. Null results keep such rows for a quarantine.
     """
-    chosen = None
-    for name, result in results.items():
-        value = result if isinstance(result, Column) else F.lit(result)
-        chosen = F.when(category == name, value) if chosen is None else chosen.when(category == name, value)
-    if unknown is None:
-        unknown = F.raise_error(F.concat(F.lit("unknown event category: "), F.coalesce(category, F.lit("null"))))
-    return chosen.otherwise(unknown)
+    unknown = f"raise_error(concat('unknown event: ', coalesce({value}, 'null')))" if strict else None
+    return cases({f"{value} = {literal(name)}": result for name, result in results.items()}, unknown)
 
 
-def category_name(category: Column, strict: bool = True) -> Column:
-    return dispatch(category, CATEGORY_NAMES, None if strict else F.lit(None).cast("string"))
+def category_name(strict: bool = True) -> str:
+    return dispatch("category", {name: literal(short) for name, short in CATEGORY_NAMES.items()}, strict)
 
 
-def topic_of(category: Column) -> Column:
+def topic_of() -> str:
     """Topic an event is published to, null where its category has none."""
-    routes = {name: topic for name, (topic, _) in ROUTES.items()}
-    return dispatch(category, {**routes, schemas.SYSTEM: F.lit(None).cast("string")})
+    routes = {name: literal(topic) for name, (topic, _) in ROUTES.items()}
+    return dispatch("category", {**routes, schemas.SYSTEM: "NULL"})
 
 
-def key_of(category: Column) -> Column:
-    keys = {name: F.col(column) for name, (_, column) in ROUTES.items()}
-    return dispatch(category, {**keys, schemas.SYSTEM: F.lit(None).cast("string")})
+def key_of() -> str:
+    return dispatch("category", {**{name: column for name, (_, column) in ROUTES.items()}, schemas.SYSTEM: "NULL"})
 
 
-def fill(template: str, *values: Column) -> Column:
-    """Fill ``%s`` slots by concatenation, which stays in generated code; null prints as ``null``."""
-    pieces = template.split("%s")
-    parts = [F.lit(pieces[0])]
-    for value, piece in zip(values, pieces[1:], strict=True):
-        parts += [F.coalesce(value.cast("string"), F.lit("null")), F.lit(piece)]
-    return F.concat(*parts)
-
-
-def describe_leaf(strict: bool = True) -> Column:
+def describe_leaf(strict: bool = True) -> str:
     """Sentence for a first-generation event; an unknown leaf type is an error."""
-    sentences = {
-        leaf: fill(template, *(F.col(name) for name in columns))
-        for leaf, (template, columns) in LEAF_SENTENCES.items()
-    }
-    return dispatch(F.col("event_type"), sentences, None if strict else F.lit(None).cast("string"))
+    sentences = {leaf: fill(template, *columns) for leaf, (template, columns) in LEAF_SENTENCES.items()}
+    return dispatch("event_type", sentences, strict)
 
 
-def describe_event() -> Column:
+def describe_event() -> str:
     """``Category [EVENT_TYPE] eventId=...``."""
-    return fill("%s [%s] eventId=%s", F.col("category"), F.col("event_type"), F.col("event_id"))
+    return fill("%s [%s] eventId=%s", "category", "event_type", "event_id")
 
 
-def same_event(before: str, columns: Iterable[str]) -> Column:
+def same_event(before: str, columns: Iterable[str]) -> str:
     """True if every column equals the one of that name in the struct ``before``; nulls are equal.
 
     Maps have no equality of their own and are compared by their sorted entries.
     """
-    equal = F.lit(True)
+    tests = []
     for name in columns:
-        left, right = F.col(f"{before}.{name}"), F.col(name)
+        sides = (f"{before}.{name}", name)
         if isinstance(schemas.EVENT[name].dataType, MapType):
-            left, right = F.sort_array(F.map_entries(left)), F.sort_array(F.map_entries(right))
-        equal = equal & left.eqNullSafe(right)
-    return equal
+            sides = tuple(f"sort_array(map_entries({side}))" for side in sides)
+        tests.append(" <=> ".join(sides))
+    return " AND ".join(tests)

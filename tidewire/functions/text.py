@@ -1,7 +1,4 @@
-"""String predicates that follow the JVM's notion of blank and length."""
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+"""String predicates that follow the JVM's notion of blank and length, as SQL text."""
 
 # Fixed value: anything above U+0020 makes a string non-blank.
 NON_BLANK = r"[^\x00-\x20]"
@@ -10,49 +7,42 @@ NON_BLANK = r"[^\x00-\x20]"
 UUID_FORM = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
 
-def is_blank(text: Column) -> Column:
+def is_blank(text: str) -> str:
     """Null, empty, or made only of characters up to U+0020 (tabs and newlines too)."""
-    return text.isNull() | ~text.rlike(NON_BLANK)
+    return f"({text} IS NULL OR NOT rlike({text}, r'{NON_BLANK}'))"
 
 
-def utf16_length(text: Column) -> Column:
+def utf16_length(text: str) -> str:
     """Length in UTF-16 units: a character outside the basic plane counts twice."""
-    return (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")
+    return f"CAST(octet_length(encode({text}, 'UTF-16BE')) DIV 2 AS INT)"
 
 
-def longer_than(text: Column, limit: int) -> Column:
-    """``utf16_length(text) > limit``, false for null.
+def longer_than(text: str, limit: int) -> str:
+    """Whether the UTF-16 length exceeds the limit, false for null.
 
     UTF-16 units number at most the UTF-8 bytes and at least the characters,
     so the byte and character counts settle nearly all rows without encoding.
     """
     return (
-        F.when(text.isNull() | (F.octet_length(text) <= limit), F.lit(False))
-        .when(F.char_length(text) > limit, F.lit(True))
-        .otherwise(utf16_length(text) > limit)
+        f"CASE WHEN {text} IS NULL OR octet_length({text}) <= {limit} THEN false"
+        f" WHEN char_length({text}) > {limit} THEN true"
+        f" ELSE {utf16_length(text)} > {limit} END"
     )
 
 
-def is_uuid(text: Column) -> Column:
-    return text.rlike(UUID_FORM)
+def is_uuid(text: str) -> str:
+    return f"rlike({text}, r'{UUID_FORM}')"
 
 
-def numbered_uuid(number: Column) -> Column:
+def numbered_uuid(number: str) -> str:
     """A version-4-shaped UUID carrying a non-negative number in its last group."""
-    return F.concat(
-        F.lit("00000000-0000-4000-8000-"),
-        F.lpad(F.lower(F.hex(number)), 12, "0"),
-    )
+    return f"concat('00000000-0000-4000-8000-', lpad(lower(hex({number})), 12, '0'))"
 
 
-def hashed_uuid(*columns: Column) -> Column:
-    """A UUID-shaped id that depends only on the given values."""
-    digest = F.md5(F.concat_ws("\u001f", *columns))
-    return F.concat_ws(
-        "-",
-        digest.substr(1, 8),
-        digest.substr(9, 4),
-        digest.substr(13, 4),
-        digest.substr(17, 4),
-        digest.substr(21, 12),
+def hashed_uuid(*texts: str) -> str:
+    """A UUID-shaped id that depends only on the given values; null counts as empty."""
+    joined = ", ".join(f"coalesce(CAST({text} AS STRING), '')" for text in texts)
+    return (
+        rf"regexp_replace(md5(concat_ws('\u001f', {joined})),"
+        r" r'^(.{8})(.{4})(.{4})(.{4})(.{12})$', '$1-$2-$3-$4-$5')"
     )

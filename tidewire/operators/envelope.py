@@ -1,23 +1,24 @@
 """From events to topic records: gate, route, key, partition and offset."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidewire import schemas
 from tidewire.functions import events as ev
 from tidewire.functions.codec import encode_any
+from tidewire.functions.sql import cases, literal, literals
 from tidewire.functions.text import is_blank
 from tidewire.operators.catalog import LOCAL_PARTITIONS
 from tidewire.session import write_through
 
 
-def partition_of(key: Column, partitions: Column) -> Column:
+def partition_of(key: str, partitions: str) -> str:
     """Partition a record key belongs to: one key, one partition.
 
     A stand-in for the broker client's own hash, from the first 32 bits of the key's MD5.
     """
-    return F.pmod(F.conv(F.md5(key).substr(1, 8), 16, 10).cast("bigint"), partitions).cast("int")
+    return f"CAST(pmod(CAST(conv(left(md5({key}), 8), 16, 10) AS BIGINT), {partitions}) AS INT)"
 
 
 def publishable(events: DataFrame, partitions: dict[str, int] = LOCAL_PARTITIONS) -> DataFrame:
@@ -27,16 +28,12 @@ def publishable(events: DataFrame, partitions: dict[str, int] = LOCAL_PARTITIONS
     at the door; interactions are only checked by their consumer. The step is
     one narrow projection.
     """
-    topic = ev.topic_of(F.col("category"))
-    turned_away = (F.col("category") == schemas.USER_ACTION) & is_blank(F.col("user_id"))
-    counts = None
-    for name, count in partitions.items():
-        matches = F.col("topic") == name
-        counts = F.when(matches, F.lit(count)) if counts is None else counts.when(matches, F.lit(count))
+    turned_away = f"category = {literal(schemas.USER_ACTION)} AND {is_blank('user_id')}"
+    counts = cases({f"topic = {literal(name)}": str(count) for name, count in partitions.items()})
     return (
-        events.where(F.col("category").isin(*ev.ROUTES) & ~turned_away)
-        .withColumns({"topic": topic, "key": ev.key_of(F.col("category"))})
-        .withColumn("partition", partition_of(F.col("key"), counts))
+        events.where(f"category IN ({literals(ev.ROUTES)}) AND NOT ({turned_away})")
+        .selectExpr("*", f"{ev.topic_of()} AS topic", f"{ev.key_of()} AS key")
+        .selectExpr("*", f"{partition_of('key', counts)} AS partition")
     )
 
 
@@ -89,8 +86,8 @@ def envelopes(events: DataFrame, *columns: str, partitions: dict[str, int] = LOC
 
 def topic_records(events: DataFrame, partitions: dict[str, int] = LOCAL_PARTITIONS) -> DataFrame:
     """Published events as topic records in the column shape of the Kafka source."""
-    encoded = publishable(events, partitions).select(
-        "topic", "partition", "key", "occurred_at", "event_id", encode_any().alias("value")
+    encoded = publishable(events, partitions).selectExpr(
+        "topic", "partition", "key", "occurred_at", "event_id", f"{encode_any()} AS value"
     )
     return assign_offsets(encoded).select(
         "topic", "partition", "offset", "key", "value", F.col("occurred_at").cast("timestamp").alias("timestamp")

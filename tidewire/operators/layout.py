@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.events import fill
+from tidewire.functions.sql import fill
 
 # Audit text and statuses.
 MISMATCH_DETAIL = "%s (expected %s partitions, found %s)"
@@ -52,7 +52,7 @@ def audit(desired: DataFrame, observed: DataFrame) -> DataFrame:
     checked = compared.select(
         "name",
         F.when(same, F.lit(VERIFIED)).otherwise(F.lit(MISMATCHED)).alias("status"),
-        F.when(~same, fill(MISMATCH_DETAIL, F.col("name"), F.col("partitions"), F.col("found"))).alias("detail"),
+        F.when(~same, F.expr(fill(MISMATCH_DETAIL, "name", "partitions", "found"))).alias("detail"),
     )
     absent = missing(desired, observed).select(
         "name", F.lit(MISSING).alias("status"), F.lit(None).cast("string").alias("detail")

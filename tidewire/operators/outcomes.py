@@ -1,12 +1,12 @@
 """What became of each consumed interaction: processed, or recovered with a reason."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire import schemas
 from tidewire.functions import constraints as c
 from tidewire.functions.codec import decode
-from tidewire.functions.events import fill
+from tidewire.functions.sql import cases, computed_once, fill, literal, literals
 
 # A failing record is retried twice, one second apart, then recovered.
 RETRIES = 2
@@ -27,31 +27,30 @@ RECOVERED = "recovered"
 
 
 def engagement_outcomes(
-    interactions: DataFrame, now: Column, poison_ids: list[str], retries: int = RETRIES
+    interactions: DataFrame, now: str, poison_ids: list[str], retries: int = RETRIES
 ) -> DataFrame:
     """Judge each interaction: decode error, then violations, then poison, else processed.
 
     A failure of this kind fails again on every attempt, so the row goes
     straight to its end: ``1 + retries`` attempts and a reason. Nothing waits;
-    partition and offset keep the order for whoever needs it. One projection.
+    partition and offset keep the order for whoever needs it. No shuffle.
     """
-    found = c.violations(c.interaction_rules(now))
-    reason = F.when(F.col("decode_error").isNotNull(), F.col("decode_error")).when(
-        F.size("_found") > 0, fill(INVALID_REASON, F.col("offset"), c.violations_text(F.col("_found")))
-    ).when(F.col("content_id").isin(*poison_ids), fill(POISON_REASON, F.col("content_id")))
-    return (
-        interactions.withColumn("_found", found)
-        .withColumn("reason", reason)
-        .drop("_found")
-        .withColumns({
-            "status": F.when(F.col("reason").isNull(), F.lit(PROCESSED)).otherwise(F.lit(RECOVERED)),
-            "attempts": F.when(F.col("reason").isNull(), F.lit(1)).otherwise(F.lit(1 + retries)),
-        })
+    kept = [f"`{name}`" for name in interactions.columns]
+    reason = cases({
+        "decode_error IS NOT NULL": "decode_error",
+        "size(_found) > 0": fill(INVALID_REASON, "offset", c.violations_text("_found")),
+        f"content_id IN ({literals(poison_ids)})": fill(POISON_REASON, "content_id"),
+    })
+    checked = computed_once(interactions, c.violations(c.interaction_rules(now)), "_found")
+    return checked.selectExpr(*kept, f"{reason} AS reason").selectExpr(
+        "*",
+        f"if(reason IS NULL, {literal(PROCESSED)}, {literal(RECOVERED)}) AS status",
+        f"if(reason IS NULL, 1, {1 + retries}) AS attempts",
     )
 
 
 def consume_engagement(
-    records: DataFrame, now: Column, poison_ids: list[str], retries: int = RETRIES
+    records: DataFrame, now: str, poison_ids: list[str], retries: int = RETRIES
 ) -> DataFrame:
     """Outcomes of the interactions topic, from raw topic records; works on batches and streams."""
     interactions = decode(
@@ -62,16 +61,12 @@ def consume_engagement(
 
 def processed_lines(outcomes: DataFrame) -> DataFrame:
     values = ("interaction_type", "user_id", "content_id", "partition", "offset")
-    return outcomes.where(F.col("status") == PROCESSED).select(
-        fill(PROCESSED_LINE, *map(F.col, values)).alias("line")
-    )
+    return outcomes.where(F.col("status") == PROCESSED).selectExpr(f"{fill(PROCESSED_LINE, *values)} AS line")
 
 
 def recovered_lines(outcomes: DataFrame) -> DataFrame:
     values = ("topic", "partition", "offset", "key", "reason")
-    return outcomes.where(F.col("status") == RECOVERED).select(
-        fill(RECOVERED_LINE, *map(F.col, values)).alias("line")
-    )
+    return outcomes.where(F.col("status") == RECOVERED).selectExpr(f"{fill(RECOVERED_LINE, *values)} AS line")
 
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:
@@ -83,23 +78,18 @@ def delivery_summary(deliveries: DataFrame) -> DataFrame:
 
     ``status`` is ``ok`` or ``failed``; ``occurred_at`` spans the run.
     """
-    elapsed = F.max("occurred_at") - F.min("occurred_at")
-    summed = deliveries.agg(
-        F.count("*").alias("total"),
-        F.count_if(F.col("status") == "ok").alias("acknowledged"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-        elapsed.alias("_elapsed"),
+    summed = deliveries.selectExpr(
+        "count(*) AS total",
+        "count_if(status = 'ok') AS acknowledged",
+        "count_if(status = 'failed') AS failed",
+        "max(occurred_at) - min(occurred_at) AS _elapsed",
     )
-    seconds = (
-        F.extract(F.lit("DAY"), F.col("_elapsed")) * 86_400
-        + F.extract(F.lit("HOUR"), F.col("_elapsed")) * 3_600
-        + F.extract(F.lit("MINUTE"), F.col("_elapsed")) * 60
-        + F.extract(F.lit("SECOND"), F.col("_elapsed"))
-    ).cast("double")
-    return summed.select(
+    parts = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
+    seconds = " + ".join(f"extract({part} FROM _elapsed) * {factor}" for part, factor in parts.items())
+    return summed.selectExpr(
         "total",
         "acknowledged",
         "failed",
-        F.round(seconds, 6).alias("elapsed_s"),
-        F.round(F.try_divide(F.col("total"), seconds), 6).alias("per_s"),
+        f"round(CAST({seconds} AS DOUBLE), 6) AS elapsed_s",
+        f"round(try_divide(total, CAST({seconds} AS DOUBLE)), 6) AS per_s",
     )

@@ -1,10 +1,11 @@
 """Validation of events and requests: violations, error maps and splits."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions import constraints as c
 from tidewire.functions.codec import NULL_PAYLOAD
+from tidewire.functions.sql import computed_once
 from tidewire.functions.text import hashed_uuid
 
 # Outcome of a publish request.
@@ -12,26 +13,34 @@ ACCEPTED = 202
 REJECTED = 400
 
 
-def with_violations(events: DataFrame, now: Column) -> DataFrame:
-    """Typed events with all their violations; the rule set follows the category."""
-    return events.withColumn("violations", c.violations_by(F.col("category"), c.rules_by_category(now)))
+def with_violations(events: DataFrame, now: str) -> DataFrame:
+    """Typed events with all their violations; the rule set follows the category.
+
+    ``now`` is the clock as SQL text: a literal, or ``localtimestamp()`` in a UTC session.
+    """
+    return _checked(events, c.violations_by("category", c.rules_by_category(now)))
 
 
 def with_leaf_violations(events: DataFrame) -> DataFrame:
     """First-generation events with all their violations."""
-    return events.withColumn("violations", c.violations_by(F.col("event_type"), c.leaf_rules()))
+    return _checked(events, c.violations_by("event_type", c.leaf_rules()))
 
 
 def with_request_violations(requests: DataFrame) -> DataFrame:
-    return requests.withColumn("violations", c.violations(c.action_request_rules()))
+    return _checked(requests, c.violations(c.action_request_rules()))
 
 
 def with_post_request_violations(requests: DataFrame) -> DataFrame:
-    return requests.withColumn("violations", c.violations(c.post_request_rules()))
+    return _checked(requests, c.violations(c.post_request_rules()))
 
 
 def with_spec_violations(specs: DataFrame) -> DataFrame:
-    return specs.withColumn("violations", c.violations(c.topic_spec_rules()))
+    return _checked(specs, c.violations(c.topic_spec_rules()))
+
+
+def _checked(rows: DataFrame, found: str) -> DataFrame:
+    # Every split below filters on the result, so the rules must not move into those filters.
+    return computed_once(rows, found, "violations")
 
 
 def accepted(validated: DataFrame) -> DataFrame:
@@ -40,7 +49,7 @@ def accepted(validated: DataFrame) -> DataFrame:
 
 def rejected(validated: DataFrame) -> DataFrame:
     """Rows with at least one violation and the field -> message map sent back."""
-    return validated.where(F.size("violations") > 0).withColumn("errors", c.field_errors(F.col("violations")))
+    return validated.where(F.size("violations") > 0).withColumn("errors", F.expr(c.field_errors("violations")))
 
 
 def response_status(validated: DataFrame) -> DataFrame:
@@ -76,35 +85,32 @@ def null_payloads(records: DataFrame) -> DataFrame:
     return records.where(F.col("value").isNull()).withColumn("reason", F.lit(NULL_PAYLOAD))
 
 
-def enrich_actions(requests: DataFrame, now: Column | None = None) -> DataFrame:
+# The current UTC time as a ``timestamp_ntz``, whatever the session zone is.
+_UTC_NOW = "convert_timezone(current_timezone(), 'UTC', localtimestamp())"
+
+
+def enrich_actions(requests: DataFrame, now: str | None = None) -> DataFrame:
     """Accepted action requests as user actions, stamped with an id and a time.
 
     With ``now`` given the result is reproducible: the time is ``now`` and the
     id is a hash of the request. Otherwise the id is random and the time is the
     current time in UTC.
     """
-    if now is None:
-        event_id, occurred_at = F.uuid(), _utc_now()
-    else:
-        event_id = hashed_uuid(*(F.coalesce(F.col(name).cast("string"), F.lit("")) for name in requests.columns))
-        occurred_at = now
-    return requests.select(
-        event_id.alias("event_id"), occurred_at.alias("occurred_at"), "user_id", "action_type", "target_id"
+    event_id = "uuid()" if now is None else hashed_uuid(*requests.columns)
+    return requests.selectExpr(
+        f"{event_id} AS event_id", f"{now or _UTC_NOW} AS occurred_at", "user_id", "action_type", "target_id"
     )
 
 
-def enrich_posts(requests: DataFrame, now: Column | None = None) -> DataFrame:
+def enrich_posts(requests: DataFrame, now: str | None = None) -> DataFrame:
     """Accepted post requests as ``PostCreated`` events; the server also names the post."""
-    if now is None:
-        event_id, post_id, occurred_at = F.uuid(), F.uuid(), _utc_now()
-    else:
-        event_id = hashed_uuid(F.lit("event"), F.col("request_id"))
-        post_id = hashed_uuid(F.lit("post"), F.col("request_id"))
-        occurred_at = now
-    return requests.select(
-        event_id.alias("event_id"), occurred_at.alias("occurred_at"), "user_id", post_id.alias("post_id"), "content"
+    event_id, post_id = (
+        "uuid()" if now is None else hashed_uuid(f"'{kind}'", "request_id") for kind in ("event", "post")
+    )
+    return requests.selectExpr(
+        f"{event_id} AS event_id",
+        f"{now or _UTC_NOW} AS occurred_at",
+        "user_id",
+        f"{post_id} AS post_id",
+        "content",
     )
-
-
-def _utc_now() -> Column:
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidewire import schemas
 from tidewire.functions import constraints as c
 from tidewire.functions import events as ev
+from tidewire.functions.sql import cases
 from tidewire.functions.text import is_blank, longer_than
 from tidewire.operators import envelope, validation
 from tidewire.plans.oracle import (
@@ -22,22 +23,24 @@ from tidewire.sources import tables
 
 
 def checked_events(spark, folder, *categories):
-    return validation.with_violations(tables.social_events(spark, folder, *categories), tables.fixed_now())
+    return validation.with_violations(tables.social_events(spark, folder, *categories), tables.NOW)
+
+
+def _as_text(checked):
+    return checked.selectExpr("event_id", f"{c.violations_text('violations')} AS violations")
 
 
 @register("val_not_null", model("req", "SELECT request_id AS event_id, action_type IS NULL AS failed FROM req"))
 def val_not_null(spark, folder):
     rule = c.not_null("actionType")
-    return tables.action_requests(spark, folder).select(
-        F.col("request_id").alias("event_id"), rule.broken.alias("failed")
-    )
+    return tables.action_requests(spark, folder).selectExpr("request_id AS event_id", f"{rule.broken} AS failed")
 
 
 @register("val_not_blank", model("typed", f"""
 SELECT event_id, {blank('user_id')} AS failed FROM typed WHERE category <> 'SystemEvent'"""))
 def val_not_blank(spark, folder):
     events = tables.social_events(spark, folder, *ev.ROUTES)
-    return events.select("event_id", is_blank(F.col("user_id")).alias("failed"))
+    return events.selectExpr("event_id", f"{is_blank('user_id')} AS failed")
 
 
 @register("val_size", model("leaf", f"""
@@ -46,51 +49,50 @@ SELECT event_id, CASE event_type WHEN 'PostCreated' THEN {utf16('content')} > 20
 FROM leaf WHERE event_type IN ('PostCreated', 'PostCommented')"""))
 def val_size(spark, folder):
     leaf = tables.leaf_events(spark, folder).where(F.col("event_type").isin("PostCreated", "PostCommented"))
-    failed = F.when(
-        F.col("event_type") == "PostCreated", longer_than(F.col("content"), c.MAX_POST_LENGTH)
-    ).otherwise(longer_than(F.col("comment_text"), c.MAX_COMMENT_LENGTH))
-    return leaf.select("event_id", failed.alias("failed"))
+    failed = cases(
+        {"event_type = 'PostCreated'": longer_than("content", c.MAX_POST_LENGTH)},
+        longer_than("comment_text", c.MAX_COMMENT_LENGTH),
+    )
+    return leaf.selectExpr("event_id", f"{failed} AS failed")
 
 
 @register("val_past_or_present", model("typed", f"SELECT event_id, occurred_at > {NOW} AS failed FROM typed"))
 def val_past_or_present(spark, folder):
-    rule = c.past_or_present("occurredAt", tables.fixed_now())
-    return tables.social_events(spark, folder).select("event_id", rule.broken.alias("failed"))
+    rule = c.past_or_present("occurredAt", tables.NOW)
+    return tables.social_events(spark, folder).selectExpr("event_id", f"{rule.broken} AS failed")
 
 
 @register("val_positive_or_zero", model("leaf", """
 SELECT event_id, partitions_reassigned < 0 AS failed FROM leaf WHERE event_type = 'RebalanceTriggered'"""))
 def val_positive_or_zero(spark, folder):
     leaf = tables.leaf_events(spark, folder).where(F.col("event_type") == "RebalanceTriggered")
-    return leaf.select("event_id", c.at_least("partitionsReassigned", 0).broken.alias("failed"))
+    rule = c.at_least("partitionsReassigned", 0)
+    return leaf.selectExpr("event_id", f"{rule.broken} AS failed")
 
 
 @register("val_min", model("raw", """
 SELECT printf('00000000-0000-4000-8000-%012x', eid) AS event_id, k % 12 < 1 OR k % 4 < 1 AS failed FROM raw"""))
 def val_min(spark, folder):
     specs = tables.topic_specs(spark, folder)
-    failed = c.at_least("partitions", 1).broken | c.at_least("replicationFactor", 1).broken
-    return specs.select("event_id", failed.alias("failed"))
+    rules = (c.at_least("partitions", 1), c.at_least("replicationFactor", 1))
+    return specs.selectExpr("event_id", f"{' OR '.join(rule.broken for rule in rules)} AS failed")
 
 
 @register("val_enum_domain", model("typed", "SELECT event_id, k = 99 AS failed FROM typed"))
 def val_enum_domain(spark, folder):
-    read = F.when(F.col("k") == 99, F.lit("MISC")).otherwise(F.col("event_type"))
     known = schemas.USER_ACTION_TYPES + schemas.INTERACTION_TYPES + schemas.SYSTEM_EVENT_TYPES
-    return tables.social_events(spark, folder).select("event_id", c.outside_domain(read, known).alias("failed"))
+    failed = c.outside_domain("if(k = 99, 'MISC', event_type)", known)
+    return tables.social_events(spark, folder).selectExpr("event_id", f"{failed} AS failed")
 
 
 @register("violations", model("typed", f"SELECT event_id, {VIOLATIONS} AS violations FROM typed"))
 def violations(spark, folder):
-    found = c.violations_text(F.col("violations"))
-    return checked_events(spark, folder).select("event_id", found.alias("violations"))
+    return _as_text(checked_events(spark, folder))
 
 
 @register("violations_v1", model("leaf", f"SELECT event_id, {LEAF_VIOLATIONS} AS violations FROM leaf"))
 def violations_v1(spark, folder):
-    found = c.violations_text(F.col("violations"))
-    leaf = validation.with_leaf_violations(tables.leaf_events(spark, folder))
-    return leaf.select("event_id", found.alias("violations"))
+    return _as_text(validation.with_leaf_violations(tables.leaf_events(spark, folder)))
 
 
 _SPEC_VIOLATIONS = joined(
@@ -103,8 +105,7 @@ _SPEC_VIOLATIONS = joined(
 @register("spec_violations", model("raw", f"""
 SELECT printf('00000000-0000-4000-8000-%012x', eid) AS event_id, {_SPEC_VIOLATIONS} AS violations FROM raw"""))
 def spec_violations(spark, folder):
-    specs = validation.with_spec_violations(tables.topic_specs(spark, folder))
-    return specs.select("event_id", c.violations_text(F.col("violations")).alias("violations"))
+    return _as_text(validation.with_spec_violations(tables.topic_specs(spark, folder)))
 
 
 @register("violations_by_field", model("typed", f"""
@@ -118,9 +119,8 @@ def violations_by_field(spark, folder):
 @register("field_errors", model("typed", f"""
 SELECT event_id, {VIOLATIONS} AS errors FROM typed WHERE {VIOLATIONS} <> ''"""))
 def field_errors(spark, folder):
-    entries = F.map_entries("errors")
-    text = F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
-    return validation.rejected(checked_events(spark, folder)).select("event_id", text.alias("errors"))
+    text = "array_join(transform(map_entries(errors), e -> concat(e.key, '=', e.value)), ';')"
+    return validation.rejected(checked_events(spark, folder)).selectExpr("event_id", f"{text} AS errors")
 
 
 @register("request_accept_reject", model("req", f"""

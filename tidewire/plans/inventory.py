@@ -150,7 +150,7 @@ def scalar_functions(spark, folder):
     )
     option = F.create_map(F.lit("partitions"), F.when(k % 2 == 0, k.cast("string")))["partitions"]
     appended = F.concat(F.array(F.lit(0), F.lit(1), F.lit(2)), F.array(k))
-    elapsed = F.timestamp_diff("MICROSECOND", F.col("occurred_at"), tables.fixed_now())
+    elapsed = F.timestamp_diff("MICROSECOND", F.col("occurred_at"), F.expr(tables.NOW))
     document = F.to_json(F.struct(k.alias("k")))
     return tables.social_events(spark, folder).select(
         "event_id",
@@ -160,8 +160,8 @@ def scalar_functions(spark, folder):
         F.col("event_type").contains("POST").alias("has_post"),
         F.col("user_id").eqNullSafe("user-1").alias("is_user_1"),
         F.repeat(F.lit("-"), k).alias("ruled"),
-        is_blank(F.col("user_id")).alias("blank"),
-        utf16_length(F.col("event_type")).alias("units"),
+        F.expr(is_blank("user_id")).alias("blank"),
+        F.expr(utf16_length("event_type")).alias("units"),
         F.coalesce("target_id", F.lit("-")).alias("target"),
         F.coalesce(option, F.lit("1000")).cast("int").alias("option_value"),
         F.pmod(k, F.lit(7)).alias("remainder"),
@@ -170,7 +170,7 @@ def scalar_functions(spark, folder):
         F.least(F.ceil(k / 30), F.lit(2)).cast("bigint").alias("capped"),
         elapsed.alias("elapsed_us"),
         (F.col("occurred_at") + F.expr("INTERVAL 7 DAYS")).alias("kept_until"),
-        is_uuid(F.col("event_id")).alias("uuid_shaped"),
+        F.expr(is_uuid("event_id")).alias("uuid_shaped"),
         F.element_at(keys, F.col("category")).alias("key_field"),
         F.element_at(F.array(*map(F.lit, schemas.INTERACTION_TYPES)), k % 3 + 1).alias("picked"),
         F.array_join(F.slice(appended, 2, 3).cast("array<string>"), ",").alias("last_three"),

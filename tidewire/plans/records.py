@@ -26,7 +26,7 @@ def published(spark: SparkSession, folder: str) -> DataFrame:
 
 def on_the_wire(spark: SparkSession, folder: str, category: str) -> DataFrame:
     events = envelope.publishable(tables.social_events(spark, folder, category))
-    return events.select(codec.encode(category).alias("value"))
+    return events.selectExpr(f"{codec.encode(category)} AS value")
 
 
 def interaction_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,7 +36,7 @@ def interaction_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def judged(spark: SparkSession, folder: str) -> DataFrame:
     return outcomes.consume_engagement(
-        interaction_records(spark, folder), tables.fixed_now(), [tables.POISON_CONTENT_ID]
+        interaction_records(spark, folder), tables.NOW, [tables.POISON_CONTENT_ID]
     )
 
 
@@ -67,12 +67,12 @@ def decode_interaction(spark, folder):
 
 @register("encode_event", model("typed", "SELECT event_id, true AS equal FROM typed"))
 def encode_event(spark, folder):
-    events = tables.social_events(spark, folder)
-    columns = dict.fromkeys(c for fields in schemas.WIRE_FIELDS.values() for c in fields.values())
-    sent = events.select(F.struct(*columns).alias("sent"), codec.encode_any().alias("value"))
-    received = codec.decode(sent)
-    equal = F.col("decode_error").isNull() & ev.same_event("sent", columns)
-    return received.select(F.col("sent.event_id").alias("event_id"), equal.alias("equal"))
+    columns = list(dict.fromkeys(c for fields in schemas.WIRE_FIELDS.values() for c in fields.values()))
+    sent = tables.social_events(spark, folder).selectExpr(
+        f"struct({', '.join(columns)}) AS sent", f"{codec.encode_any()} AS value"
+    )
+    equal = f"decode_error IS NULL AND {ev.same_event('sent', columns)}"
+    return codec.decode(sent).selectExpr("sent.event_id", f"{equal} AS equal")
 
 
 @register("record_envelope", model("env", 'SELECT topic, event_id, key, partition, "offset" FROM env'))
@@ -145,12 +145,12 @@ SELECT substr(e,1,8)||'-'||substr(e,9,4)||'-'||substr(e,13,4)||'-'||substr(e,17,
 FROM valid""")
 def post_receipts(spark, folder):
     valid = validation.accepted(validation.with_post_request_violations(tables.post_requests(spark, folder)))
-    posts = validation.enrich_posts(valid, tables.fixed_now()).select(
+    posts = validation.enrich_posts(valid, tables.NOW).select(
         "event_id",
         "post_id",
         "occurred_at",
         F.lit(schemas.USER_ACTIONS_TOPIC).alias("topic"),
-        envelope.partition_of(F.col("user_id"), F.lit(12)).alias("partition"),
+        F.expr(envelope.partition_of("user_id", "12")).alias("partition"),
     )
     return envelope.delivery_receipts(envelope.assign_offsets(posts), "post_id", "occurred_at")
 
@@ -233,7 +233,7 @@ def first_record(spark, folder):
 
 @register("event_type_of", model("typed", "SELECT event_id, event_type FROM typed"))
 def event_type_of(spark, folder):
-    return tables.social_events(spark, folder).select("event_id", ev.event_type().alias("event_type"))
+    return tables.social_events(spark, folder).selectExpr("event_id", f"{ev.EVENT_TYPE} AS event_type")
 
 
 @register("category_dispatch", model("typed", """
@@ -242,13 +242,13 @@ SELECT event_id, CASE category WHEN 'UserActionEvent' THEN 'user-action'
 FROM typed"""))
 def category_dispatch(spark, folder):
     events = tables.social_events(spark, folder)
-    return events.select("event_id", ev.category_name(F.col("category")).alias("category"))
+    return events.selectExpr("event_id", f"{ev.category_name()} AS category")
 
 
 @register("route_topic", model("pub", "SELECT event_id, topic FROM keyed"))
 def route_topic(spark, folder):
     events = tables.social_events(spark, folder)
-    return events.select("event_id", ev.topic_of(F.col("category")).alias("topic"))
+    return events.selectExpr("event_id", f"{ev.topic_of()} AS topic")
 
 
 @register("describe_v1", model("leaf", """
@@ -264,17 +264,13 @@ SELECT event_id AS id, CASE event_type
        || partitions_reassigned || ' partitions' END AS description
 FROM leaf"""))
 def describe_v1(spark, folder):
-    return tables.leaf_events(spark, folder).select(
-        F.col("event_id").alias("id"), ev.describe_leaf().alias("description")
-    )
+    return tables.leaf_events(spark, folder).selectExpr("event_id AS id", f"{ev.describe_leaf()} AS description")
 
 
 @register("describe_v2", model("typed", """
 SELECT event_id AS id, category || ' [' || event_type || '] eventId=' || event_id AS description FROM typed"""))
 def describe_v2(spark, folder):
-    return tables.social_events(spark, folder).select(
-        F.col("event_id").alias("id"), ev.describe_event().alias("description")
-    )
+    return tables.social_events(spark, folder).selectExpr("event_id AS id", f"{ev.describe_event()} AS description")
 
 
 @register("enrich_request", model("req", f"""
@@ -286,7 +282,7 @@ FROM (
 )"""))
 def enrich_request(spark, folder):
     requests = validation.accepted(validation.with_request_violations(tables.action_requests(spark, folder)))
-    return validation.enrich_actions(requests.drop("k"), tables.fixed_now())
+    return validation.enrich_actions(requests, tables.NOW)
 
 
 @register("topic_search", model("env", """
@@ -309,7 +305,7 @@ def outcome_counts(spark, folder):
     decoded = codec.decode(on_the_wire(spark, folder, schemas.CONTENT_INTERACTION), schemas.CONTENT_INTERACTION)
     unplaced = decoded.withColumn("offset", F.lit(None).cast("bigint"))
     return outcomes.outcome_counts(
-        outcomes.engagement_outcomes(unplaced, tables.fixed_now(), [tables.POISON_CONTENT_ID])
+        outcomes.engagement_outcomes(unplaced, tables.NOW, [tables.POISON_CONTENT_ID])
     )
 
 

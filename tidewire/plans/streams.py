@@ -37,7 +37,7 @@ def stream_engagement(spark, folder):
     topic_log.append(interaction_records(spark, folder), log)
     jobs.drain(jobs.engagement_job(
         topic_log.stream(spark, log, schemas.CONTENT_INTERACTIONS_TOPIC),
-        tables.fixed_now(),
+        tables.NOW,
         [tables.POISON_CONTENT_ID],
         out,
         checkpoint,
@@ -56,7 +56,7 @@ def fanout_two_queries(spark, folder):
         jobs.feed_job(topic_log.stream(spark, log, topic), feed_out, fresh_path(spark, "progress")),
         jobs.engagement_job(
             topic_log.stream(spark, log, topic),
-            tables.fixed_now(),
+            tables.NOW,
             [tables.POISON_CONTENT_ID],
             engagement_out,
             fresh_path(spark, "progress"),

@@ -5,9 +5,9 @@ small run, a table's ids for a large one.
 """
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidewire import schemas
+from tidewire.functions.sql import literals
 from tidewire.sources.tables import POISON_CONTENT_ID
 
 # The interaction feed cycles over 5 users, 4 posts and the three types,
@@ -25,26 +25,24 @@ LOAD_VALUE = "raw-producer-demo-event"
 
 def engagement_feed(numbers: DataFrame) -> DataFrame:
     """One interaction per number, then one poison record numbered after the last."""
-    i = F.col("i")
-    types = F.array(*map(F.lit, schemas.INTERACTION_TYPES))
-    normal = numbers.select(
-        i,
-        F.concat(F.lit("user-"), (i % ENGAGEMENT_USERS).cast("string")).alias("user_id"),
-        F.concat(F.lit("post-"), (i % ENGAGEMENT_POSTS).cast("string")).alias("content_id"),
-        F.element_at(types, (i % len(schemas.INTERACTION_TYPES) + 1).cast("int")).alias("interaction_type"),
-    )
-    poison = numbers.agg((F.max("i") + 1).alias("i")).select(
+    normal = numbers.selectExpr(
         "i",
-        F.lit(POISON_USER).alias("user_id"),
-        F.lit(POISON_CONTENT_ID).alias("content_id"),
-        F.lit(schemas.INTERACTION_TYPES[0]).alias("interaction_type"),
+        f"concat('user-', i % {ENGAGEMENT_USERS}) AS user_id",
+        f"concat('post-', i % {ENGAGEMENT_POSTS}) AS content_id",
+        f"array({literals(schemas.INTERACTION_TYPES)})[i % {len(schemas.INTERACTION_TYPES)}] AS interaction_type",
+    )
+    poison = numbers.selectExpr(
+        "max(i) + 1 AS i",
+        f"'{POISON_USER}' AS user_id",
+        f"'{POISON_CONTENT_ID}' AS content_id",
+        f"'{schemas.INTERACTION_TYPES[0]}' AS interaction_type",
     )
     return normal.unionByName(poison)
 
 
 def keyed_load(numbers: DataFrame, senders: int = LOAD_SENDERS) -> DataFrame:
     """One keyed record per number, dealt out to the senders in turn."""
-    i = F.col("i")
     prefix, between, _ = LOAD_KEY.split("%d")
-    key = F.concat(F.lit(prefix), (i % senders).cast("string"), F.lit(between), F.floor(i / senders).cast("string"))
-    return numbers.select(key.alias("key"), F.lit(LOAD_VALUE).alias("value"))
+    return numbers.selectExpr(
+        f"concat('{prefix}', i % {senders}, '{between}', i DIV {senders}) AS key", f"'{LOAD_VALUE}' AS value"
+    )

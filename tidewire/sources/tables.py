@@ -6,50 +6,45 @@ raw type, ``user_id`` and ``k``. Every adapter is a narrow projection of one
 table, so filters and column pruning reach the parquet scan.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire import schemas
-from tidewire.functions import events as ev
+from tidewire.functions.events import EVENT_TYPE
+from tidewire.functions.sql import literals
 from tidewire.functions.text import numbered_uuid
 
-#: The fixed clock the planted future events are measured against.
-NOW = "2024-01-30 00:00:00"
+#: The fixed clock the planted future events are measured against, as SQL text.
+NOW = "TIMESTAMP_NTZ '2024-01-30 00:00:00'"
 
 #: The record key that makes an interaction fail after validation.
 POISON_CONTENT_ID = "post-BOOM"
 
-
-def fixed_now(now: str = NOW) -> Column:
-    return F.lit(now).cast("timestamp_ntz")
-
-
-def _read(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet").select(*columns)
+#: Raw types behind each category.
+RAW_TYPES = {
+    schemas.USER_ACTION: ("purchase", "signup"),
+    schemas.CONTENT_INTERACTION: ("click", "view"),
+    schemas.SYSTEM: ("error",),
+}
+_ACTS = f"raw_type IN ({literals(RAW_TYPES[schemas.USER_ACTION])})"
+_REACTS = f"raw_type IN ({literals(RAW_TYPES[schemas.CONTENT_INTERACTION])})"
+_FAILS = f"raw_type IN ({literals(RAW_TYPES[schemas.SYSTEM])})"
 
 
-def _numbered(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
+def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _read(spark, folder, "events", "event_id", "ts", "user_id", "event_type", "props").select(
+    return _read(spark, folder, "events").selectExpr(
         "event_id",
         "ts",
         "user_id",
-        F.col("event_type").alias("raw_type"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        "event_type AS raw_type",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
 
 
-#: Raw types behind each category.
-RAW_TYPES = {
-    schemas.USER_ACTION: ("purchase", "signup"),
-    schemas.CONTENT_INTERACTION: ("click", "view"),
-    schemas.SYSTEM: ("error",),
-}
-
-
 def social_events(spark: SparkSession, folder: str, *categories: str) -> DataFrame:
     """The raw events as typed events; ``k`` stays for the queries that plant defects by it.
 
@@ -62,44 +57,36 @@ def social_events(spark: SparkSession, folder: str, *categories: str) -> DataFra
 
 
 def as_social_events(raw: DataFrame) -> DataFrame:
-    k, kind = F.col("k"), F.col("raw_type")
-    post, user = _numbered("post-", k), _numbered("user-", k)
-    acting = F.when(F.col("user_id") % 50 == 0, F.lit(" ")).otherwise(_numbered("user-", F.col("user_id")))
-    acts = kind.isin(*RAW_TYPES[schemas.USER_ACTION])
-    reacts = kind.isin(*RAW_TYPES[schemas.CONTENT_INTERACTION])
-    action_type = (
-        F.when(kind == "purchase", F.element_at(
-            F.array(*map(F.lit, ("POST_CREATED", "POST_DELETED", "USER_FOLLOWED"))), k % 3 + 1))
-        .when(kind == "signup", F.element_at(F.array(*map(F.lit, ("PROFILE_UPDATED", "USER_UNFOLLOWED"))), k % 2 + 1))
-    )
-    interaction_type = (
-        F.when(kind == "click", F.lit("CONTENT_LIKED"))
-        .when(kind == "view", F.element_at(F.array(*map(F.lit, ("CONTENT_COMMENTED", "CONTENT_SHARED"))), k % 2 + 1))
-    )
-    flagged = k % 2 == 0
-    typed = raw.select(
-        numbered_uuid(F.col("event_id")).alias("event_id"),
-        F.col("ts").alias("occurred_at"),
-        F.when(acts, F.lit(schemas.USER_ACTION))
-        .when(reacts, F.lit(schemas.CONTENT_INTERACTION))
-        .when(kind == "error", F.lit(schemas.SYSTEM))
-        .alias("category"),
-        F.when(acts | reacts, acting).alias("user_id"),
-        action_type.alias("action_type"),
-        F.when(reacts, F.when(k == 13, F.lit(POISON_CONTENT_ID)).otherwise(post)).alias("content_id"),
-        interaction_type.alias("interaction_type"),
-        F.when(kind == "error", F.when(flagged, F.lit("CONTENT_MODERATION_FLAGGED"))
-               .otherwise(F.lit("RECOMMENDATION_MODEL_UPDATED"))).alias("system_event_type"),
-        F.when(kind == "error", F.when(flagged, post).otherwise(_numbered("model-v", k))).alias("subject_id"),
-        F.when((kind == "error") & (k % 3 == 0), F.create_map(F.lit("reason"), F.lit("spam"))).alias("metadata"),
+    typed = raw.selectExpr(
+        f"{numbered_uuid('event_id')} AS event_id",
+        "ts AS occurred_at",
+        f"""CASE WHEN {_ACTS} THEN '{schemas.USER_ACTION}'
+                 WHEN {_REACTS} THEN '{schemas.CONTENT_INTERACTION}'
+                 WHEN {_FAILS} THEN '{schemas.SYSTEM}' END AS category""",
+        f"""CASE WHEN {_ACTS} OR {_REACTS}
+                 THEN CASE WHEN user_id % 50 = 0 THEN ' ' ELSE concat('user-', user_id) END END AS user_id""",
+        """CASE WHEN raw_type = 'purchase' AND k % 3 = 0 THEN 'POST_CREATED'
+                WHEN raw_type = 'purchase' AND k % 3 = 1 THEN 'POST_DELETED'
+                WHEN raw_type = 'purchase' AND k % 3 = 2 THEN 'USER_FOLLOWED'
+                WHEN raw_type = 'signup' AND k % 2 = 0 THEN 'PROFILE_UPDATED'
+                WHEN raw_type = 'signup' AND k % 2 = 1 THEN 'USER_UNFOLLOWED' END AS action_type""",
+        """CASE WHEN raw_type = 'purchase' AND k % 3 < 2 THEN concat('post-', k)
+                WHEN raw_type = 'purchase' OR (raw_type = 'signup' AND k % 2 = 1) THEN concat('user-', k)
+           END AS target_id""",
+        f"""CASE WHEN {_REACTS} AND k = 13 THEN '{POISON_CONTENT_ID}'
+                 WHEN {_REACTS} THEN concat('post-', k) END AS content_id""",
+        """CASE WHEN raw_type = 'click' THEN 'CONTENT_LIKED'
+                WHEN raw_type = 'view' AND k % 2 = 0 THEN 'CONTENT_COMMENTED'
+                WHEN raw_type = 'view' AND k % 2 = 1 THEN 'CONTENT_SHARED' END AS interaction_type""",
+        f"""CASE WHEN {_FAILS} AND k % 2 = 0 THEN 'CONTENT_MODERATION_FLAGGED'
+                 WHEN {_FAILS} AND k % 2 = 1 THEN 'RECOMMENDATION_MODEL_UPDATED' END AS system_event_type""",
+        f"""CASE WHEN {_FAILS} AND k % 2 = 0 THEN concat('post-', k)
+                 WHEN {_FAILS} AND k % 2 = 1 THEN concat('model-v', k) END AS subject_id""",
+        f"CASE WHEN {_FAILS} AND k % 3 = 0 THEN map('reason', 'spam') END AS metadata",
         "k",
     )
-    target = (
-        F.when(F.col("action_type").startswith("POST_"), post)
-        .when(F.col("action_type").startswith("USER_"), user)
-    )
-    return typed.select("*", target.alias("target_id"), ev.event_type().alias("event_type")).select(
-        *schemas.EVENT.fieldNames(), "k"
+    return typed.selectExpr(
+        *(f"{EVENT_TYPE} AS event_type" if name == "event_type" else name for name in schemas.EVENT.fieldNames()), "k"
     )
 
 
@@ -108,122 +95,95 @@ def action_requests(spark: SparkSession, folder: str) -> DataFrame:
 
     ``request_id`` identifies the request itself. An action type is missing where k is divisible by 11.
     """
-    return social_events(spark, folder, schemas.USER_ACTION).select(
-        F.col("event_id").alias("request_id"),
+    return social_events(spark, folder, schemas.USER_ACTION).selectExpr(
+        "event_id AS request_id",
         "user_id",
-        F.when(F.col("k") % 11 != 0, F.col("action_type")).alias("action_type"),
+        "CASE WHEN k % 11 <> 0 THEN action_type END AS action_type",
         "target_id",
-        "k",
     )
 
 
 def post_requests(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as requests to create a post; the user is missing where the id is divisible by 25."""
-    return _read(spark, folder, "documents", "doc_id", "text").select(
-        numbered_uuid(F.col("doc_id")).alias("request_id"),
-        F.when(F.col("doc_id") % 25 != 0, _numbered("user-", F.col("doc_id") % 150)).alias("user_id"),
-        F.col("text").alias("content"),
+    return _read(spark, folder, "documents").selectExpr(
+        f"{numbered_uuid('doc_id')} AS request_id",
+        "CASE WHEN doc_id % 25 <> 0 THEN concat('user-', doc_id % 150) END AS user_id",
+        "text AS content",
     )
 
 
 def topic_specs(spark: SparkSession, folder: str) -> DataFrame:
     """One requested topic layout per raw event, some with a zero partition or replica count."""
-    return raw_events(spark, folder).select(
-        numbered_uuid(F.col("event_id")).alias("event_id"),
-        F.when(F.col("user_id") % 50 == 0, F.lit("")).otherwise(_numbered("topic-", F.col("user_id"))).alias("name"),
-        (F.col("k") % 12).cast("int").alias("partitions"),
-        (F.col("k") % 4).cast("short").alias("replication_factor"),
+    return raw_events(spark, folder).selectExpr(
+        f"{numbered_uuid('event_id')} AS event_id",
+        "CASE WHEN user_id % 50 = 0 THEN '' ELSE concat('topic-', user_id) END AS name",
+        "k % 12 AS partitions",
+        "CAST(k % 4 AS SMALLINT) AS replication_factor",
     )
 
 
 def leaf_events(spark: SparkSession, folder: str) -> DataFrame:
     """First-generation events: posts from documents, comments from conversations, the rest from events."""
-    columns = schemas.LEAF_EVENT
     return (
         _leaf_from_events(spark, folder)
         .unionByName(_leaf_from_documents(spark, folder))
         .unionByName(_leaf_from_conversations(spark, folder))
-        .select(*(F.col(field.name).cast(field.dataType) for field in columns))
     )
 
 
-def _wide(df: DataFrame) -> DataFrame:
-    present = set(df.columns)
-    return df.select(
-        *(
-            F.col(field.name) if field.name in present else F.lit(None).cast(field.dataType).alias(field.name)
-            for field in schemas.LEAF_EVENT
-        )
+def _wide(df: DataFrame, **columns: str) -> DataFrame:
+    return df.selectExpr(
+        *(f"CAST({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in schemas.LEAF_EVENT)
     )
 
 
 def _leaf_from_documents(spark: SparkSession, folder: str) -> DataFrame:
-    start = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")
     return _wide(
-        _read(spark, folder, "documents", "doc_id", "text").select(
-            _numbered("doc-", F.col("doc_id")).alias("event_id"),
-            (start + F.make_dt_interval(secs=F.col("doc_id").cast("decimal(18,6)"))).alias("occurred_at"),
-            F.lit(schemas.USER_ACTION).alias("category"),
-            F.lit("PostCreated").alias("event_type"),
-            _numbered("", F.col("doc_id") % 150).alias("user_id"),
-            _numbered("", F.col("doc_id")).alias("post_id"),
-            F.col("text").alias("content"),
-        )
+        _read(spark, folder, "documents"),
+        event_id="concat('doc-', doc_id)",
+        occurred_at="TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id)",
+        category=f"'{schemas.USER_ACTION}'",
+        event_type="'PostCreated'",
+        user_id="doc_id % 150",
+        post_id="doc_id",
+        content="text",
     )
 
 
 def _leaf_from_conversations(spark: SparkSession, folder: str) -> DataFrame:
-    start = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")
     return _wide(
-        _read(spark, folder, "conversations", "conv_id", "turn", "text").select(
-            F.concat_ws("-", F.lit("conv"), F.col("conv_id"), F.col("turn")).alias("event_id"),
-            (start + F.make_dt_interval(secs=F.col("turn").cast("decimal(18,6)"))).alias("occurred_at"),
-            F.lit(schemas.CONTENT_INTERACTION).alias("category"),
-            F.lit("PostCommented").alias("event_type"),
-            _numbered("", F.col("conv_id") % 150).alias("user_id"),
-            _numbered("", F.col("conv_id")).alias("post_id"),
-            F.col("text").alias("comment_text"),
-        )
+        _read(spark, folder, "conversations"),
+        event_id="concat('conv-', conv_id, '-', turn)",
+        occurred_at="TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, turn)",
+        category=f"'{schemas.CONTENT_INTERACTION}'",
+        event_type="'PostCommented'",
+        user_id="conv_id % 150",
+        post_id="conv_id",
+        comment_text="text",
     )
 
 
 def _leaf_from_events(spark: SparkSession, folder: str) -> DataFrame:
-    k, kind = F.col("k"), F.col("raw_type")
-    by_user = kind != "error"
-    about_post = kind.isin("click", "view", "purchase")
-    healthy = k % 2 == 0
-    failing = kind == "error"
-    leaf = (
-        F.when(kind == "click", F.lit("PostLiked"))
-        .when(kind == "view", F.lit("PostShared"))
-        .when(kind == "purchase", F.lit("PostDeleted"))
-        .when(kind == "signup", F.lit("ProfileUpdated"))
-        .when(failing & healthy, F.lit("ServiceHealthChanged"))
-        .when(failing, F.lit("RebalanceTriggered"))
-    )
-    category = (
-        F.when(kind.isin("click", "view"), F.lit(schemas.CONTENT_INTERACTION))
-        .when(failing, F.lit(schemas.SYSTEM))
-        .otherwise(F.lit(schemas.USER_ACTION))
-    )
+    healthy, moved = f"{_FAILS} AND k % 2 = 0", f"{_FAILS} AND k % 2 = 1"
     return _wide(
-        raw_events(spark, folder).select(
-            _numbered("ev-", F.col("event_id")).alias("event_id"),
-            F.col("ts").alias("occurred_at"),
-            category.alias("category"),
-            leaf.alias("event_type"),
-            F.when(by_user, F.col("user_id").cast("string")).alias("user_id"),
-            F.when(about_post, k.cast("string")).alias("post_id"),
-            F.when(kind == "purchase", F.when(k % 20 == 0, F.lit(" ")).otherwise(_numbered("reason-", k)))
-            .alias("reason"),
-            F.when(kind == "signup", F.element_at(
-                F.array(*map(F.lit, ("displayName", "bio", "avatar"))), k % 3 + 1)).alias("field_changed"),
-            F.when(kind == "signup", F.when(k % 25 == 0, F.lit("\t\n")).otherwise(_numbered("value-", k)))
-            .alias("new_value"),
-            F.when(kind == "view", ((F.col("user_id") + k) % 150).cast("string")).alias("shared_to_user_id"),
-            F.when(failing & healthy, _numbered("service-", k)).alias("service_name"),
-            F.when(failing & healthy, F.when(k % 4 == 0, F.lit("UP")).otherwise(F.lit("DOWN"))).alias("status"),
-            F.when(failing & ~healthy, _numbered("group-", k)).alias("consumer_group_id"),
-            F.when(failing & ~healthy, k - 5).alias("partitions_reassigned"),
-        )
+        raw_events(spark, folder),
+        event_id="concat('ev-', event_id)",
+        occurred_at="ts",
+        category=f"""CASE WHEN {_ACTS} THEN '{schemas.USER_ACTION}'
+                          WHEN {_REACTS} THEN '{schemas.CONTENT_INTERACTION}' ELSE '{schemas.SYSTEM}' END""",
+        event_type=f"""CASE WHEN raw_type = 'click' THEN 'PostLiked' WHEN raw_type = 'view' THEN 'PostShared'
+                            WHEN raw_type = 'purchase' THEN 'PostDeleted' WHEN raw_type = 'signup' THEN 'ProfileUpdated'
+                            WHEN {healthy} THEN 'ServiceHealthChanged' WHEN {moved} THEN 'RebalanceTriggered' END""",
+        user_id=f"CASE WHEN NOT {_FAILS} THEN user_id END",
+        post_id=f"CASE WHEN {_REACTS} OR raw_type = 'purchase' THEN k END",
+        reason="""CASE WHEN raw_type = 'purchase' AND k % 20 = 0 THEN ' '
+                       WHEN raw_type = 'purchase' THEN concat('reason-', k) END""",
+        field_changed="CASE WHEN raw_type = 'signup' THEN array('displayName', 'bio', 'avatar')[k % 3] END",
+        new_value=r"""CASE WHEN raw_type = 'signup' AND k % 25 = 0 THEN '\t\n'
+                           WHEN raw_type = 'signup' THEN concat('value-', k) END""",
+        shared_to_user_id="CASE WHEN raw_type = 'view' THEN (user_id + k) % 150 END",
+        service_name=f"CASE WHEN {healthy} THEN concat('service-', k) END",
+        status=f"CASE WHEN {healthy} AND k % 4 = 0 THEN 'UP' WHEN {healthy} THEN 'DOWN' END",
+        consumer_group_id=f"CASE WHEN {moved} THEN concat('group-', k) END",
+        partitions_reassigned=f"CASE WHEN {moved} THEN k - 5 END",
     )

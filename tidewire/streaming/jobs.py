@@ -7,7 +7,7 @@ the same topic and each of them sees every record.
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,7 +44,7 @@ def drain(query: StreamingQuery) -> None:
 
 
 def engagement_job(
-    records: DataFrame, now: Column, poison_ids: list[str], path: str, checkpoint: str, poll: str | None = None
+    records: DataFrame, now: str, poison_ids: list[str], path: str, checkpoint: str, poll: str | None = None
 ) -> StreamingQuery:
     """Judge interactions and store them by status: ``status=recovered`` is the quarantine.
 
