@@ -3,7 +3,6 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -29,8 +28,8 @@ def spark():
 
 
 @pytest.fixture(scope="session")
-def now(spark):
-    return F.lit(NOW).cast("timestamp_ntz")
+def now():
+    return f"TIMESTAMP_NTZ '{NOW}'"
 
 
 @pytest.fixture

@@ -2,8 +2,6 @@ from datetime import datetime
 
 import pytest
 from conftest import action, interaction, system_event
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from tidewire import schemas
 from tidewire.functions import codec
@@ -53,7 +51,7 @@ def test_missing_and_unknown_fields(spark):
 ])
 def test_decode_undoes_encode(events, row):
     sent = events(row)
-    wire = sent.select(F.struct(*sent.columns).alias("sent"), codec.encode_any().alias("value"))
+    wire = sent.selectExpr(f"struct({', '.join(sent.columns)}) AS sent", f"{codec.encode_any()} AS value")
     got = codec.decode(wire, row["category"]).first()
     assert got.decode_error is None
     for column in schemas.WIRE_FIELDS[row["category"]].values():
@@ -61,7 +59,7 @@ def test_decode_undoes_encode(events, row):
 
 
 def test_absent_values_are_written_as_null_and_no_type_is_sent(events):
-    text = events(action(target_id=None)).select(codec.encode(schemas.USER_ACTION).alias("v")).first().v
+    text = events(action(target_id=None)).selectExpr(f"{codec.encode(schemas.USER_ACTION)} AS v").first().v
     assert '"targetId":null' in text and "UserActionEvent" not in text and "eventType" not in text
 
 
@@ -72,8 +70,8 @@ def test_times_do_not_depend_on_the_session_zone(spark, events, zone):
     try:
         # The first is skipped by the New York clock, the second happens there twice.
         for moment in (datetime(2024, 3, 10, 2, 30), datetime(2024, 11, 3, 1, 30)):
-            sent = events(interaction(occurred_at=moment)).select(
-                codec.encode(schemas.CONTENT_INTERACTION).alias("value"))
+            sent = events(interaction(occurred_at=moment)).selectExpr(
+                f"{codec.encode(schemas.CONTENT_INTERACTION)} AS value")
             assert codec.decode(sent, schemas.CONTENT_INTERACTION).first().occurred_at == moment
         row, = decode_values(spark, GOOD % "1704067207.5")
         assert row.occurred_at == datetime(2024, 1, 1, 0, 0, 7, 500000)

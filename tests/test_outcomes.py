@@ -16,8 +16,8 @@ def generated(spark, now, n=14):
     """Topic records of a generator run."""
     made = generators.engagement_feed(spark.range(n).withColumnRenamed("id", "i"))
     events = made.select(
-        numbered_uuid(F.col("i")).alias("event_id"),
-        now.alias("occurred_at"),
+        F.expr(numbered_uuid("i")).alias("event_id"),
+        F.expr(now).alias("occurred_at"),
         F.lit(schemas.CONTENT_INTERACTION).alias("category"),
         "user_id",
         F.lit(None).cast("string").alias("action_type"),

@@ -45,9 +45,9 @@ def encode(category: str) -> str:
     return f"to_json(named_struct({fields}), map('ignoreNullFields', 'false'))"
 
 
-def encode_any() -> str:
+def encode_any(*categories: str) -> str:
     """JSON text of a wide event row, by its category."""
-    return cases({f"category = {literal(name)}": encode(name) for name in schemas.CATEGORIES})
+    return cases({f"category = {literal(name)}": encode(name) for name in categories or schemas.CATEGORIES})
 
 
 def decode(records: DataFrame, *categories: str, value: str = "value") -> DataFrame:
@@ -67,23 +67,23 @@ def decode(records: DataFrame, *categories: str, value: str = "value") -> DataFr
     types = {"metadata": "MAP<STRING, STRING>", "occurred_at": "VARIANT"}
     wire = ", ".join(f"{name} {types.get(column, 'STRING')}" for name, column in fields.items())
     parsed = f"from_json({value}, '{wire}, _corrupt STRING', map('columnNameOfCorruptRecord', '_corrupt'))"
-    raw = computed_once(records, f"named_struct('absent', {value} IS NULL, 'json', {parsed})", "_raw")
-
-    # The time is parsed before the checks, which look at the result.
-    time = next((name for name, column in fields.items() if column == "occurred_at"), None)
-    text = f"try_variant_get(_raw.json.{time}, '$', 'string')"
-    timed = raw.selectExpr(*kept, "_raw", f"{text} AS _time", f"{parse_instant(text)} AS occurred_at")
+    # Text, then time, each taken once from what came before.
+    texts = f"transform(array({parsed}), j -> struct(j, try_variant_get(j.occurredAt, '$', 'string') AS text))"
+    times = f"transform({texts}, r -> struct(r.j AS json, r.text AS text, {parse_instant('r.text')} AS time))"
+    raw = computed_once(records, f"named_struct('absent', {value} IS NULL, 'read', {times}[0])", "_raw").selectExpr(
+        *kept, "_raw.absent AS _absent", "_raw.read AS _raw"
+    )
 
     columns, broken = [], ["_raw.json IS NULL", "_raw.json._corrupt IS NOT NULL"]
     for name, column in fields.items():
         if column == "occurred_at":
-            columns.append(column)
-            broken.append("_time IS NOT NULL AND occurred_at IS NULL")
+            columns.append("_raw.time AS occurred_at")
+            broken.append("_raw.text IS NOT NULL AND _raw.time IS NULL")
             continue
         columns.append(f"_raw.json.{name} AS {column}")
         if column == "event_id":
             broken.append(f"NOT coalesce({is_uuid(f'_raw.json.{name}')}, true)")
         elif column in schemas.ENUM_DOMAINS:
             broken.append(outside_domain(f"_raw.json.{name}", schemas.ENUM_DOMAINS[column]))
-    error = cases({"_raw.absent": literal(NULL_PAYLOAD), " OR ".join(f"({t})" for t in broken): literal(UNDECODABLE)})
-    return timed.selectExpr(*kept, *columns, f"{error} AS decode_error")
+    error = cases({"_absent": literal(NULL_PAYLOAD), " OR ".join(f"({t})" for t in broken): literal(UNDECODABLE)})
+    return raw.selectExpr(*kept, *columns, f"{error} AS decode_error")
