@@ -117,3 +117,22 @@ def test_key_order_audit_matches_brute_force_across_blocks(spark):
         got = {(r.topic, r.key): (r.partitions, r.inversions)
                for r in envelope.key_order_audit(df, block=block).collect()}
         assert got == brute_audit(flat)
+
+
+def test_records_without_a_key_are_kept_and_spread(events):
+    rows = events(*(interaction(content_id=None) for _ in range(60)))
+    log = envelope.topic_records(rows).collect()
+    assert len(log) == 60 and all(r.key is None and r.partition is not None for r in log)
+    assert len({r.partition for r in log}) == 6
+
+
+def test_record_time_is_the_utc_instant_in_any_session_zone(spark, events):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # The New York clock skips this time.
+        rows = events(action(occurred_at=datetime(2024, 3, 10, 2, 30)))
+        micros = envelope.topic_records(rows).select(F.unix_micros("timestamp").alias("at")).first().at
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert micros == 1_710_037_800_000_000

@@ -46,12 +46,27 @@ def test_latest_skips_what_was_there_before(spark, records, tmp_path):
     assert late.where(F.col("timestamp") <= F.lit(start).cast("timestamp")).isEmpty()
 
 
+def test_monitor_stream_never_replays(spark, records, tmp_path):
+    log = str(tmp_path / "log")
+    topic_log.append(records, log)
+    start = str(NOW - timedelta(seconds=70))
+    monitor = topic_log.stream(spark, log, after=start)
+    jobs.drain(jobs.copy_job(monitor, str(tmp_path / "out"), str(tmp_path / "p")))
+    seen = read_table(spark, str(tmp_path / "out"))
+    assert same(seen.select(*records.columns), topic_log.from_latest(records, start))
+    assert 0 < seen.count() < records.count()
+
+
 def test_stream_equals_batch_over_many_batches(spark, records, now, tmp_path):
     log, out = str(tmp_path / "log"), str(tmp_path / "out")
     topic_log.append(records.repartition(5), log)
     stream = topic_log.stream(spark, log, "content-interactions", files_per_batch=1)
-    jobs.drain(jobs.engagement_job(stream, now, POISON, out, str(tmp_path / "progress")))
+    lines = str(tmp_path / "lines")
+    jobs.drain(jobs.engagement_job(stream, now, POISON, out, str(tmp_path / "progress"), log_path=lines))
     stored = read_table(spark, out)
+    judged = outcomes.consume_engagement(records, now, POISON)
+    expected = outcomes.processed_lines(judged).unionByName(outcomes.recovered_lines(judged))
+    assert same(spark.read.text(lines).select(F.col("value").alias("line")), expected)
     assert stored.select("batch_id").distinct().count() > 1
     columns = ["event_id", "partition", "offset", "status", "reason", "attempts"]
     assert same(stored.select(*columns), outcomes.consume_engagement(records, now, POISON).select(*columns))

@@ -8,33 +8,13 @@ from pyspark.sql import DataFrame
 
 from tidewire import schemas
 from tidewire.functions.constraints import outside_domain
+from tidewire.functions.instants import instant_text, parse_instant
 from tidewire.functions.sql import cases, computed_once, literal
 from tidewire.functions.text import is_uuid
 
 NULL_PAYLOAD = "null payload"
 UNDECODABLE = "undecodable value"
 
-_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
-
-
-def instant_text(time: str) -> str:
-    """ISO-8601 text of a UTC ``timestamp_ntz``."""
-    return f"concat(translate(CAST({time} AS STRING), ' ', 'T'), 'Z')"
-
-
-def parse_instant(text: str) -> str:
-    """UTC time from ISO-8601 text or from epoch seconds with a fraction; null if neither.
-
-    Digits beyond microseconds are cut off.
-    """
-    seconds = rf"try_cast(regexp_extract({text}, r'^(-?\d{{1,11}}(\.\d{{1,6}})?)\d*$', 1) AS DECIMAL(18, 6))"
-    shifted = f"CAST(unix_micros(try_cast({text} AS TIMESTAMP)) / 1000000BD AS DECIMAL(18, 6))"
-    return cases({
-        f"endswith({text}, 'Z')": f"try_cast({text} AS TIMESTAMP_NTZ)",
-        rf"rlike({text}, r'^-?\d+(\.\d+)?$')": f"{_EPOCH} + make_dt_interval(0, 0, 0, {seconds})",
-        rf"rlike({text}, r'[+-]\d{{2}}:?\d{{2}}$')": f"{_EPOCH} + make_dt_interval(0, 0, 0, {shifted})",
-    })
-
 
 def encode(category: str) -> str:
     """JSON text of an event of the given category; absent values are written as null."""

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from tidewire import schemas
 from tidewire.functions import events as ev
 from tidewire.functions.codec import encode_any
+from tidewire.functions.instants import to_instant
 from tidewire.functions.sql import cases, literal, literals
 from tidewire.functions.text import is_blank
 from tidewire.operators.catalog import LOCAL_PARTITIONS
@@ -24,6 +25,8 @@ def partition_of(key: str, partitions: str) -> str:
 def publishable(events: DataFrame, partitions: dict[str, int] = LOCAL_PARTITIONS) -> DataFrame:
     """Events that reach a topic, with ``topic``, ``key`` and ``partition``.
 
+    Records without a key are spread over the partitions by their event id.
+
     System events have no topic. A user action with a blank user is turned away
     at the door; interactions are only checked by their consumer. The step is
     one narrow projection.
@@ -33,7 +36,7 @@ def publishable(events: DataFrame, partitions: dict[str, int] = LOCAL_PARTITIONS
     return (
         events.where(f"category IN ({literals(ev.ROUTES)}) AND NOT ({turned_away})")
         .selectExpr("*", f"{ev.topic_of()} AS topic", f"{ev.key_of()} AS key")
-        .selectExpr("*", f"{partition_of('key', counts)} AS partition")
+        .selectExpr("*", f"{partition_of('coalesce(key, event_id)', counts)} AS partition")
     )
 
 
@@ -97,7 +100,7 @@ def topic_records(events: DataFrame, partitions: dict[str, int] = LOCAL_PARTITIO
         "offset",
         "key",
         f"{encode_any(*ev.ROUTES)} AS value",
-        "CAST(occurred_at AS TIMESTAMP) AS timestamp",
+        f"{to_instant('occurred_at')} AS timestamp",
     )
 
 

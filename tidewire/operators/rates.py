@@ -26,7 +26,10 @@ def _interval(seconds: int) -> Column:
 
 
 def rate_per_tick(events: DataFrame, tick_seconds: int = 1, time: str = "occurred_at", by: str = "topic") -> DataFrame:
-    """Events per ``by`` and tick, for ticks that have any. Counted per task before the shuffle."""
+    """Events per ``by`` and tick, for ticks that have any. Counted per task before the shuffle.
+
+    An event without a time belongs to no tick.
+    """
     tick = F.window(time, _seconds(tick_seconds))["start"]
     return events.groupBy(by, tick.alias("tick")).agg(F.count("*").alias("rate"))
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidewire import schemas
 from tidewire.functions import codec
+from tidewire.functions.instants import to_instant
 from tidewire.operators import envelope, rates
 from tidewire.plans.oracle import model
 from tidewire.plans.records import ROUTED, interaction_records
@@ -15,14 +16,14 @@ from tidewire.streaming import jobs
 from tidewire.streaming.sinks import read_table
 
 #: Records before this time are on the log at the first start, the rest arrive later.
-SECOND_START = "2024-01-16 00:00:00"
+SECOND_START = "TIMESTAMP_NTZ '2024-01-16 00:00:00'"
 
 
 @register("src_earliest_resume", model("pub", "SELECT event_id, topic FROM pub"))
 def src_earliest_resume(spark, folder):
     log, out, checkpoint = (fresh_path(spark, name) for name in ("log", "copy", "progress"))
     records = envelope.topic_records(tables.social_events(spark, folder, *ROUTED))
-    early = F.col("timestamp") < F.lit(SECOND_START).cast("timestamp")
+    early = F.expr(f"timestamp < {to_instant(SECOND_START)}")
     for arriving in (records.where(early), records.where(~early)):
         topic_log.append(arriving, log)
         jobs.drain(jobs.copy_job(topic_log.stream(spark, log), out, checkpoint))

@@ -6,8 +6,11 @@ stored by topic, so a reader of one topic prunes the other's folder.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from tidewire import schemas
+from tidewire.functions.instants import to_instant
+from tidewire.functions.sql import literal
 
 
 def append(records: DataFrame, path: str) -> None:
@@ -23,18 +26,28 @@ def read(spark: SparkSession, path: str, *topics: str, after: str | None = None)
     return from_latest(records, after) if after else records
 
 
-def stream(spark: SparkSession, path: str, *topics: str, files_per_batch: int | None = None) -> DataFrame:
-    """The log as a stream that starts at the earliest record; a checkpoint resumes it."""
+def stream(
+    spark: SparkSession, path: str, *topics: str, after: str | None = None, files_per_batch: int | None = None
+) -> DataFrame:
+    """The log as a stream; a checkpoint resumes it.
+
+    It starts at the earliest record, or with ``after`` at the first later one:
+    a monitor that must not replay passes its start time and a new checkpoint.
+    """
     reader = spark.readStream.schema(schemas.TOPIC_RECORD)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     records = reader.parquet(path)
-    return records.where(F.col("topic").isin(*topics)) if topics else records
+    if topics:
+        records = records.where(F.col("topic").isin(*topics))
+    return from_latest(records, after) if after else records
 
 
 def from_latest(records: DataFrame, start: str, time: str = "timestamp") -> DataFrame:
-    """Only records that arrive after the start time; the filter reaches the scan."""
-    return records.where(F.col(time) > F.lit(start).cast(records.schema[time].dataType))
+    """Only records after the start, a UTC wall time; the filter reaches the scan."""
+    limit = f"TIMESTAMP_NTZ {literal(start)}"
+    instants = isinstance(records.schema[time].dataType, TimestampType)
+    return records.where(f"{time} > {to_instant(limit) if instants else limit}")
 
 
 def arrivals(records: DataFrame) -> DataFrame:

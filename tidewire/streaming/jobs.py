@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewire.functions.instants import to_wall
 from tidewire.operators import feed, outcomes, rates
-from tidewire.streaming.sinks import BatchSink, read_table, table_sink, with_retries
+from tidewire.streaming.sinks import BatchSink, line_sink, read_batch, read_table, table_sink, with_retries
 
 # Fixed value: how often a monitor polls.
 POLL = "500 milliseconds"
@@ -44,14 +45,30 @@ def drain(query: StreamingQuery) -> None:
 
 
 def engagement_job(
-    records: DataFrame, now: str, poison_ids: list[str], path: str, checkpoint: str, poll: str | None = None
+    records: DataFrame,
+    now: str,
+    poison_ids: list[str],
+    path: str,
+    checkpoint: str,
+    poll: str | None = None,
+    log_path: str | None = None,
 ) -> StreamingQuery:
     """Judge interactions and store them by status: ``status=recovered`` is the quarantine.
 
-    Both results are written in one pass over the batch.
+    Both results are written in one pass over the batch. With a ``log_path`` the
+    stored batch is also written as log lines, without judging it again.
     """
+    store = table_sink(path, "status")
+    log = line_sink(log_path) if log_path else None
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        if log:
+            stored = read_batch(batch.sparkSession, path, batch_id)
+            log(outcomes.processed_lines(stored).unionByName(outcomes.recovered_lines(stored)), batch_id)
+
     judged = outcomes.consume_engagement(records, now, poison_ids)
-    return start(judged, with_retries(table_sink(path, "status")), checkpoint, poll)
+    return start(judged, with_retries(keep), checkpoint, poll)
 
 
 def feed_job(records: DataFrame, path: str, checkpoint: str, poll: str | None = None) -> StreamingQuery:
@@ -95,6 +112,5 @@ def rate_job(
 
 def stored_rates(spark: SparkSession, path: str) -> DataFrame:
     """The newest count of each topic and tick. Counts only grow, so the largest is the newest."""
-    return read_table(spark, path).groupBy("topic", F.col("tick").cast("timestamp_ntz").alias("tick")).agg(
-        F.max("rate").alias("rate")
-    )
+    newest = read_table(spark, path).groupBy("topic", "tick").agg(F.max("rate").alias("rate"))
+    return newest.selectExpr("topic", f"{to_wall('tick')} AS tick", "rate")

@@ -38,6 +38,10 @@ def with_retries(
     return run
 
 
+def _batch_folder(path: str, batch_id: int) -> str:
+    return f"{path}/batch_id={batch_id}"
+
+
 def table_sink(path: str, *partition_by: str) -> BatchSink:
     """Each batch owns the folder of its id and overwrites it, so a replayed batch leaves no copies."""
 
@@ -45,7 +49,16 @@ def table_sink(path: str, *partition_by: str) -> BatchSink:
         writer = batch.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{path}/batch_id={batch_id}")
+        writer.parquet(_batch_folder(path, batch_id))
+
+    return write
+
+
+def line_sink(path: str) -> BatchSink:
+    """Like ``table_sink``, for one column of text."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").text(_batch_folder(path, batch_id))
 
     return write
 
@@ -53,3 +66,8 @@ def table_sink(path: str, *partition_by: str) -> BatchSink:
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """All batches of a table sink; ``batch_id`` and the partition columns come from the folders."""
     return spark.read.option("basePath", path).parquet(path)
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """One batch of a table sink, without listing the others."""
+    return spark.read.parquet(_batch_folder(path, batch_id))
