@@ -159,7 +159,7 @@ _FEED_COLUMNS = 'topic, event_type, primary_key, detail, partition, "offset", oc
 
 
 def _feed_envelopes(spark: SparkSession, folder: str, *categories: str) -> DataFrame:
-    columns = ("user_id", "action_type", "target_id", "content_id", "interaction_type")
+    columns = ("category", "key", "user_id", "action_type", "target_id", "content_id", "interaction_type")
     return envelope.envelopes(tables.social_events(spark, folder, *categories), *columns)
 
 
@@ -173,8 +173,7 @@ def feed_interactions(spark, folder):
     return feed.interaction_items(_feed_envelopes(spark, folder, schemas.CONTENT_INTERACTION))
 
 
-def typed_feed(spark: SparkSession, folder: str) -> DataFrame:
-    records = _feed_envelopes(spark, folder, schemas.USER_ACTION, schemas.CONTENT_INTERACTION)
+def typed_feed(records: DataFrame) -> DataFrame:
     return feed.union_feed(
         records.where(F.col("topic") == schemas.USER_ACTIONS_TOPIC),
         records.where(F.col("topic") == schemas.CONTENT_INTERACTIONS_TOPIC),
@@ -183,7 +182,7 @@ def typed_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("feed_union", model("feed", f"SELECT {_FEED_COLUMNS} FROM feed"))
 def feed_union(spark, folder):
-    return typed_feed(spark, folder)
+    return typed_feed(_feed_envelopes(spark, folder, *ROUTED))
 
 
 @register("feed_by_stream", model("feed", """
@@ -211,7 +210,7 @@ SELECT {_FEED_COLUMNS} FROM feed
 QUALIFY row_number() OVER (PARTITION BY topic ORDER BY occurred_at DESC, event_id DESC) <= 200"""))
 def feed_last_200(spark, folder):
     # The panel shows positions, and a position is known only once the whole topic is numbered.
-    records = _feed_envelopes(spark, folder, schemas.USER_ACTION, schemas.CONTENT_INTERACTION)
+    records = _feed_envelopes(spark, folder, *ROUTED)
     newest = feed.newest_per_stream(records, newest_by=("occurred_at", "event_id"))
     acts = F.col("topic") == schemas.USER_ACTIONS_TOPIC
     return newest.select(
@@ -228,7 +227,7 @@ def feed_last_200(spark, folder):
 @register("first_record", model("feed", f"""
 SELECT {_FEED_COLUMNS} FROM feed ORDER BY topic, partition, "offset" LIMIT 1"""))
 def first_record(spark, folder):
-    return envelope.first_record(typed_feed(spark, folder))
+    return envelope.first_record(typed_feed(_feed_envelopes(spark, folder, *ROUTED)))
 
 
 @register("event_type_of", model("typed", "SELECT event_id, event_type FROM typed"))
@@ -328,9 +327,10 @@ def roundtrip_reconcile(spark, folder):
 
 @register("feed_reconcile", model("feed", "SELECT topic, CAST(0 AS BIGINT) AS mismatches FROM feed GROUP BY topic"))
 def feed_reconcile(spark, folder):
-    # The same events once as decoded topic records and once as typed envelopes.
-    served = feed.feed_from_records(envelope.topic_records(tables.social_events(spark, folder, *ROUTED)))
-    return reconcile.feed_mismatches(served, typed_feed(spark, folder))
+    # The same records once through the wire format and once as they were.
+    placed = _feed_envelopes(spark, folder, *ROUTED)
+    served = feed.feed_from_records(envelope.as_topic_records(placed))
+    return reconcile.feed_mismatches(served, typed_feed(placed))
 
 
 @register("key_order_audit", model("env", """

@@ -41,7 +41,8 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
         "ts",
         "user_id",
         "event_type AS raw_type",
-        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        # The one number of a flat object; several times faster than a JSON parser per row.
+        r"""try_cast(regexp_extract(props, r'"k"\s*:\s*(-?\d+)', 1) AS INT) AS k""",
     )
 
 
