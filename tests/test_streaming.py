@@ -190,3 +190,12 @@ def test_meter_ticks_without_input(spark, records, tmp_path):
     assert sum(r.rate for r in rows) == 42
     assert all(r.total == 42 and len(r.history) <= 3 for r in rows)
     assert rows[4].history == [0, 0, 0]
+
+
+def test_a_topic_without_interactions_gives_an_empty_table(spark, events, now, tmp_path):
+    log, out, lines = (str(tmp_path / name) for name in ("log", "out", "lines"))
+    topic_log.append(envelope.topic_records(events(action())), log)
+    stream = topic_log.stream(spark, log, "content-interactions")
+    jobs.drain(jobs.engagement_job(stream, now, POISON, out, str(tmp_path / "p"), log_path=lines))
+    judged = outcomes.consume_engagement(topic_log.read(spark, log), now, POISON)
+    assert read_table(spark, out, judged.schema).isEmpty()

@@ -64,7 +64,7 @@ def engagement_job(
     def keep(batch: DataFrame, batch_id: int) -> None:
         store(batch, batch_id)
         if log:
-            stored = read_batch(batch.sparkSession, path, batch_id)
+            stored = read_batch(batch, path, batch_id)
             log(outcomes.processed_lines(stored).unionByName(outcomes.recovered_lines(stored)), batch_id)
 
     judged = outcomes.consume_engagement(records, now, poison_ids)

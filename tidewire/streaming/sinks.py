@@ -4,6 +4,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidewire.operators.outcomes import BACK_OFF_SECONDS, RETRIES
 
@@ -63,11 +64,17 @@ def line_sink(path: str) -> BatchSink:
     return write
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """All batches of a table sink; ``batch_id`` and the partition columns come from the folders."""
-    return spark.read.option("basePath", path).parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """All batches of a table sink; ``batch_id`` and the partition columns come from the folders.
+
+    Give the schema where every batch may have been empty: empty batches leave no file to take it from.
+    """
+    reader = spark.read.option("basePath", path)
+    if schema:
+        reader = reader.schema(StructType([*schema, StructField("batch_id", IntegerType())]))
+    return reader.parquet(path)
 
 
-def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """One batch of a table sink, without listing the others."""
-    return spark.read.parquet(_batch_folder(path, batch_id))
+def read_batch(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """The stored rows of a batch that a table sink has just written; there may be none."""
+    return batch.sparkSession.read.schema(batch.schema).parquet(_batch_folder(path, batch_id))
