@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import packing, quality_rules, secret_scan, token_counts
+from tidewire.llm import decontaminate, packing, quality_rules, secret_scan, token_counts
 from tidewire.llm.common import table
 from tidewire.plans.registry import Query
 
@@ -40,3 +40,38 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2("item_ids", 256).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op2_decontamination"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+g AS (
+    SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(list_slice(w, pos, pos + least(13, len(w)) - 1), ' ') AS gram
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS pos FROM b WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM g),
+dw AS (
+    SELECT doc_id, n, pos, array_to_string(list_slice(w, pos, pos + n - 1), ' ') AS gram
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS pos FROM d, lengths WHERE len(w) >= n)),
+h AS (SELECT doc_id, pos, dw.n, item_id FROM dw JOIN g ON g.gram = dw.gram AND g.n = dw.n),
+c AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM (SELECT DISTINCT doc_id, pos, n FROM h)) GROUP BY 1),
+i AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id
+"""
