@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontaminate, packing, quality_rules, secret_scan, token_counts
+from tidewire.llm import decontaminate, jaccard_join, packing, preference, quality_rules, secret_scan, token_counts
 from tidewire.llm.common import table
 from tidewire.plans.registry import Query
 
@@ -75,3 +75,13 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id
 """
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, folder, "documents")).drop("text_key")
+
+
+@query
+def op4_preference_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return preference.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
