@@ -43,7 +43,9 @@ def crc_fold(column: str, folds: int) -> Column:
 
 
 def schema_of(df: DataFrame, keep: list[str], extra: str) -> T.StructType:
-    return T.StructType([*(df.schema[c] for c in keep), *T._parse_datatype_string(extra).fields])
+    """Columns ``keep`` of ``df``, nullable, and the columns that the DDL text ``extra`` names."""
+    return T.StructType([
+        *(T.StructField(c, df.schema[c].dataType) for c in keep), *T._parse_datatype_string(extra).fields])
 
 
 def stored(df: DataFrame, label: str, *partitioned: str) -> DataFrame:
@@ -81,7 +83,7 @@ def map_texts(
         for batch in batches:
             for part, texts in slices(batch, text):
                 columns = [part.column(part.schema.get_field_index(c)) for c in keep]
-                made = [pa.array(v, type=f.type) for v, f in zip(judge(texts), list(arrow)[len(keep):], strict=True)]
+                made = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(judge(texts), list(arrow)[len(keep):], strict=True)]
                 yield pa.RecordBatch.from_arrays(columns + made, schema=pa.schema(
                     [pa.field(f.name, c.type) for f, c in zip(arrow, columns + made)]))
 

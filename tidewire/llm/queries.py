@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontaminate, jaccard_join, packing, preference, quality_rules, secret_scan, substring_dedup, token_counts
+from tidewire.llm import decontaminate, jaccard_join, lm_scoring, packing, preference, quality_rules, secret_scan, substring_dedup, token_counts
 from tidewire.llm.common import table
 from tidewire.plans.registry import Query
 
@@ -90,3 +90,8 @@ def op4_preference_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, folder, "documents"))
+
+
+@query
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
