@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontaminate, jaccard_join, lm_scoring, packing, preference, quality_rules, secret_scan, substring_dedup, token_counts
+from tidewire.llm import decontaminate, jaccard_join, license_scan, lm_scoring, packing, preference, quality_rules, secret_scan, substring_dedup, token_counts
 from tidewire.llm.common import table
 from tidewire.plans.registry import Query
 
@@ -95,3 +95,11 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.lm_scores(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents lie in folders by source and language; one that is little more than a notice is a licence file."""
+    docs = table(spark, folder, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return license_scan.license_scan(docs, path, F.length("text") < 200)
