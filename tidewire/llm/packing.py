@@ -76,9 +76,9 @@ def schedule(tokens: DataFrame, window: int, targets: dict[str, float] | None, l
     if targets is not None:  # a queue without a target gets what is left over after the others: the least quantum
         given = spark.createDataFrame([(k, float(v)) for k, v in targets.items()], "queue string, target double")
         totals = totals.join(given, "queue", "left").withColumn("weight", F.coalesce("target", F.lit(0.0))).drop("target")
-    whole = totals.agg(F.sum("weight").alias("whole"))
-    quanta = totals.crossJoin(F.broadcast(whole)).select(  # one row
-        "queue", F.greatest(F.lit(1), F.round(window * F.col("weight") / F.col("whole"))).cast("long").alias("quantum"))
+    whole = totals.agg(F.coalesce(F.sum("weight"), F.lit(1))).first()[0]
+    quanta = totals.select(
+        "queue", F.greatest(F.lit(1), F.round(window * F.col("weight") / F.lit(whole))).cast("long").alias("quantum"))
     starts = sums.withColumn("base", F.coalesce(F.sum("sum").over(earlier), F.lit(0))).join(quanta, "queue").select(
         "part", "queue", "base", "quantum")
     step = F.greatest(F.col("quantum"), F.lit(least))

@@ -3,8 +3,8 @@
 An edge is a window of 20 words between the nodes of its first and last 19 words. Every window has an anchor, the
 least-hashed 4-gram inside it, so equal windows have equal anchors: an anchor that only one text holds proves its
 windows unique, and they are never shuffled. The other windows compact into the paths of consecutive windows around
-one anchor. A path that occurs earlier as a whole is removed as a whole; the first occurrences of paths alone are cut
-into their windows, since the first occurrence of any window lies in one of them.
+one anchor. A path that occurs earlier as a whole is removed as a whole. The first occurrences of paths whose anchor
+has several paths alone are cut into their windows, since the first occurrence of any window lies in one of them.
 """
 
 import hashlib
@@ -50,7 +50,7 @@ class Windows:
             self.high, self.low = _mixed(self.high), _mixed(self.low)
 
     def paths(self, anchors: np.ndarray):
-        """(start, windows, high, low) of the runs of windows around one place whose anchor is among ``anchors``."""
+        """(start, windows, anchor, high, low) of the runs of windows around one place whose anchor is among ``anchors``."""
         cuts = np.flatnonzero(np.diff(self.place)) + 1
         first = np.concatenate(([0], cuts))
         last = np.concatenate((cuts, [len(self.place)])) - 1
@@ -59,7 +59,7 @@ class Windows:
         n = (last - first + 1).astype(np.uint64)
         # The first and the last window of a path hold all its words between them.
         ends = [_mixed(_mixed(h[first] + n) * f + h[last]) for h, f in zip((self.high, self.low), _FACTORS)]
-        return first, n.astype(np.int64), ends[0].view(np.int64), ends[1].view(np.int64)
+        return first, n.astype(np.int64), self.anchor[first], ends[0].view(np.int64), ends[1].view(np.int64)
 
 
 def split(text: str) -> list[bytes]:
@@ -142,18 +142,22 @@ def repeated_spans(docs: DataFrame, sketched: DataFrame, firsts: DataFrame, size
     def paths(text, anchors):
         return Windows(split(text), size).paths(np.array(anchors, np.int64))
 
-    found = _expand(texts, key, "start long, n long, high long, low long", paths)
+    found = stored(_expand(texts, key, "start long, n long, anchor long, high long, low long", paths), "substring-paths")
     judged = found.join(first_of(found), ["high", "low"]).withColumn(
         "again", ~F.struct("doc_id", "text_key", "start").eqNullSafe(F.col("first")))
-    judged = stored(judged.select("doc_id", "text_key", "start", "n", "again"), "substring-paths")
+    judged = stored(judged.select("doc_id", "text_key", "start", "n", "anchor", "again"), "substring-judged")
 
     def windows(text, spans):
         made = Windows(split(text), size)
         at = np.concatenate([np.arange(s["start"], s["start"] + s["n"]) for s in spans])
         return at, made.high[at].view(np.int64), made.low[at].view(np.int64)
 
-    fresh = judged.where("NOT again").groupBy(*key).agg(F.collect_list(F.struct("start", "n")).alias("given"))
-    ends = _expand(_with(texts.drop("given"), fresh), key, "start long, high long, low long", windows)
+    # Windows of different paths can only be equal where the paths have their anchor in common.
+    once = judged.where("NOT again")
+    branching = once.groupBy("anchor").agg(F.count("*").alias("paths")).where("paths > 1").select("anchor")
+    fresh = once.join(branching, "anchor").groupBy(*key).agg(F.collect_list(F.struct("start", "n")).alias("given"))
+    ends = stored(
+        _expand(_with(texts.drop("given"), fresh), key, "start long, high long, low long", windows), "substring-windows")
     late = ends.join(first_of(ends), ["high", "low"]).where(
         ~F.struct("doc_id", "text_key", "start").eqNullSafe(F.col("first"))).select(*key, "start", F.lit(1).cast("long").alias("n"))
     return texts, judged.where("again").select(*key, "start", "n").unionByName(late)
