@@ -136,3 +136,10 @@ def test_record_time_is_the_utc_instant_in_any_session_zone(spark, events):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert micros == 1_710_037_800_000_000
+
+
+def test_rows_without_a_declared_partition_keep_an_offset(events):
+    rows = events(action(), interaction(), action())
+    placed = envelope.envelopes(rows, partitions={"user-actions": 12})
+    assert placed.count() == 3
+    assert placed.where("partition IS NULL AND offset = 0").count() == 1

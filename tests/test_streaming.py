@@ -199,3 +199,21 @@ def test_a_topic_without_interactions_gives_an_empty_table(spark, events, now, t
     jobs.drain(jobs.engagement_job(stream, now, POISON, out, str(tmp_path / "p"), log_path=lines))
     judged = outcomes.consume_engagement(topic_log.read(spark, log), now, POISON)
     assert read_table(spark, out, judged.schema).isEmpty()
+
+
+def test_rates_hold_no_state_and_count_late_records(spark, records, tmp_path):
+    log, out, progress = (str(tmp_path / name) for name in ("log", "out", "progress"))
+    for part in (records.where("offset >= 2"), records.where("offset < 2")):
+        topic_log.append(part, log)
+        query = jobs.rate_job(topic_log.stream(spark, log), out, progress, tick_seconds=20)
+        jobs.drain(query)
+        assert query.lastProgress is None or not query.lastProgress["stateOperators"]
+    assert jobs.stored_rates(spark, out).selectExpr("sum(rate)").first()[0] == records.count()
+
+
+def test_a_new_checkpoint_keeps_what_an_old_one_stored(spark, records, tmp_path):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    topic_log.append(records, log)
+    for run in ("one", "two"):
+        jobs.drain(jobs.copy_job(topic_log.stream(spark, log), out, str(tmp_path / run)))
+    assert read_table(spark, out).count() == 2 * records.count()

@@ -2,6 +2,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidewire.functions.instants import parse_instant
 from tidewire.functions.text import hashed_uuid, is_blank, is_uuid, longer_than, numbered_uuid, utf16_length
 
 texts = st.lists(
@@ -49,3 +50,19 @@ def test_ids_have_uuid_form(spark):
     assert row.numbered == "00000000-0000-4000-8000-0000000000ff"
     assert row.ok1 and row.ok2 and not row.bad
     assert row.hashed != row.other
+
+
+def test_numbers_of_all_64_bits_give_different_ids(spark):
+    numbers = [0, 1, 2 ** 48 + 1, 2 ** 52 + 16, 2 ** 48 + 2 ** 52 + 1, -1, -2]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n long")
+    ids = [r.id for r in rows.selectExpr(f"{numbered_uuid('n')} AS id").collect()]
+    assert len(set(ids)) == len(numbers)
+    assert ids[1] == "00000000-0000-4000-8000-000000000001"
+
+
+def test_numeric_times_are_read_whole(spark):
+    texts = ["1706000000", "1.706E9", "1706000000.1234567", "1706000000000", "-1.5"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    times = [str(r.at) for r in rows.selectExpr(f"{parse_instant('t')} AS at").collect()]
+    assert times == [
+        "2024-01-23 08:53:20", "2024-01-23 08:53:20", "2024-01-23 08:53:20.123456", "None", "1969-12-31 23:59:58.500000"]

@@ -154,3 +154,11 @@ def test_enrichment(spark, now):
     posts = spark.createDataFrame([("1", "u", "text")], "request_id string, user_id string, content string")
     post = validation.enrich_posts(posts, now).first()
     assert post.event_id != post.post_id
+
+
+def test_unknown_and_null_categories_are_rejected(events, now):
+    rows = events(action(category="GOSSIP"), action(category=None), action())
+    checked = validation.with_violations(rows, now)
+    assert validation.accepted(checked).count() == 1
+    assert validation.rejected(checked).count() == 2
+    assert {r.outcome for r in validation.poison_split(checked, []).collect()} == {"invalid", "ok"}

@@ -133,6 +133,10 @@ def rules_by_category(now: str) -> dict[str, list[Rule]]:
     }
 
 
+#: What a row is told whose kind has no rules.
+UNKNOWN = "names no known kind"
+
+
 def violations(rules: Iterable[Rule]) -> str:
     """Array of ``(path, message)`` for every broken rule, ordered by path and message.
 
@@ -148,8 +152,10 @@ def violations(rules: Iterable[Rule]) -> str:
 
 
 def violations_by(discriminator: str, rule_sets: dict[str, list[Rule]]) -> str:
-    """Violations of each row under the rule set its discriminator names."""
-    return cases({f"{discriminator} = {literal(name)}": violations(rules) for name, rules in rule_sets.items()})
+    """Violations of each row under the rule set its discriminator names; a null or unknown name is one itself."""
+    unknown = f"array(named_struct('path', {literal(discriminator)}, 'message', {literal(UNKNOWN)}))"
+    return cases(
+        {f"{discriminator} = {literal(name)}": violations(rules) for name, rules in rule_sets.items()}, unknown)
 
 
 def violations_text(found: str) -> str:

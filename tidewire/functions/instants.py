@@ -32,11 +32,13 @@ def instant_text(wall: str) -> str:
 def parse_instant(text: str) -> str:
     """UTC wall time from ISO-8601 text or from epoch seconds with a fraction; null if neither.
 
-    Digits beyond microseconds are cut off.
+    A number may have an exponent, as in JSON. Digits beyond microseconds are cut off; a number of a trillion seconds
+    or more is no time and gives null.
     """
-    seconds = rf"try_cast(regexp_extract({text}, r'^(-?\d{{1,11}}(\.\d{{1,6}})?)\d*$', 1) AS DECIMAL(18, 6))"
+    number = f"try_cast({text} AS DECIMAL(38, 12))"
+    seconds = f"try_cast({number} - {number} % 0.000001BD AS DECIMAL(18, 6))"
     return cases({
         f"endswith({text}, 'Z')": f"try_cast({text} AS TIMESTAMP_NTZ)",
-        rf"rlike({text}, r'^-?\d+(\.\d+)?$')": _since_epoch(seconds),
+        rf"rlike({text}, r'^-?\d+(\.\d+)?([eE][+-]?\d+)?$')": _since_epoch(seconds),
         rf"rlike({text}, r'[+-]\d{{2}}:?\d{{2}}$')": to_wall(f"try_cast({text} AS TIMESTAMP)"),
     })

@@ -35,8 +35,9 @@ def is_uuid(text: str) -> str:
 
 
 def numbered_uuid(number: str) -> str:
-    """A version-4-shaped UUID carrying a non-negative number in its last group."""
-    return f"concat('00000000-0000-4000-8000-', lpad(lower(hex({number})), 12, '0'))"
+    """A version-4-shaped UUID carrying the 64 bits of a number: the upper 16 in its second group, the rest in the last."""
+    digits = f"lpad(lower(hex(CAST({number} AS BIGINT))), 16, '0')"
+    return f"concat('00000000-', substr({digits}, 1, 4), '-4000-8000-', substr({digits}, 5))"
 
 
 def hashed_uuid(*texts: str) -> str:

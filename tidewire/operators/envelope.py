@@ -65,12 +65,18 @@ def assign_offsets(records: DataFrame, order_by: tuple[str, ...] = ("occurred_at
     starts = (
         stored.groupBy("topic", "partition", "_range")
         .agg(F.min("_at").alias("_first"), F.count("*").alias("_size"))
-        .select("topic", "partition", "_range", shift.alias("_shift"))
+        .select(
+            F.col("topic").alias("_topic"), F.col("partition").alias("_partition"), F.col("_range").alias("_of"),
+            shift.alias("_shift"))
     )
+    # Null-safe: a record whose partition nobody has declared keeps its place in a series of its own.
+    same = (
+        F.col("topic").eqNullSafe(F.col("_topic")) & F.col("partition").eqNullSafe(F.col("_partition"))
+        & (F.col("_range") == F.col("_of")))
     return (
-        stored.join(F.broadcast(starts), ["topic", "partition", "_range"])
+        stored.join(F.broadcast(starts), same)
         .withColumn("offset", F.col("_at") + F.col("_shift"))
-        .drop("_at", "_range", "_shift")
+        .drop("_at", "_range", "_shift", "_topic", "_partition", "_of")
     )
 
 

@@ -122,7 +122,7 @@ def observed_layout(spark, folder):
 SELECT event_id,
   category || '/' || event_type AS concatenated,
   event_type || ' … ' || k AS formatted,
-  rpad(event_type, 28, ' ') AS padded,
+  printf('%-28s', event_type) AS padded,
   contains(event_type, 'POST') AS has_post,
   user_id IS NOT DISTINCT FROM 'user-1' AS is_user_1,
   repeat('-', k) AS ruled,
@@ -156,7 +156,7 @@ def scalar_functions(spark, folder):
         "event_id",
         F.concat("category", F.lit("/"), "event_type").alias("concatenated"),
         F.format_string("%s … %d", "event_type", k).alias("formatted"),
-        F.rpad("event_type", 28, " ").alias("padded"),
+        F.format_string("%-28s", "event_type").alias("padded"),
         F.col("event_type").contains("POST").alias("has_post"),
         F.col("user_id").eqNullSafe("user-1").alias("is_user_1"),
         F.repeat(F.lit("-"), k).alias("ruled"),

@@ -63,8 +63,12 @@ def fanout_two_queries(spark, folder):
             fresh_path(spark, "progress"),
         ),
     ]
-    for query in both:
-        jobs.drain(query)
+    try:
+        for query in both:
+            jobs.drain(query)
+    finally:
+        for query in both:
+            query.stop()
     seen = [
         read_table(spark, path).select(F.lit(consumer).alias("consumer"), "topic", "partition", "offset")
         for consumer, path in (("feed", feed_out), ("engagement", engagement_out))
@@ -76,6 +80,11 @@ def fanout_two_queries(spark, folder):
 SELECT topic, tick, rate, total, array_to_string(h, ',') AS history FROM ({_HISTORY})"""))
 def stream_rate_snapshot(spark, folder):
     log, out, checkpoint = (fresh_path(spark, name) for name in ("log", "rates", "progress"))
-    topic_log.append(envelope.topic_records(tables.social_events(spark, folder, *ROUTED)), log)
-    jobs.drain(jobs.rate_job(topic_log.stream(spark, log), out, checkpoint, TICK_SECONDS))
+    records = envelope.topic_records(tables.social_events(spark, folder, *ROUTED))
+    newer = F.col("offset") >= 40
+    halves = records.where(newer), records.where(~newer)
+    # Two runs of the job: the second brings the older half of the records, which count all the same.
+    for part in halves:
+        topic_log.append(part, log)
+        jobs.drain(jobs.rate_job(topic_log.stream(spark, log), out, checkpoint, TICK_SECONDS))
     return flat_history(rates.snapshots(jobs.stored_rates(spark, out), TICK_SECONDS))

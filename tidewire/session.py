@@ -1,5 +1,6 @@
 """Session settings and the shared folder for tables that cut lineage."""
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -32,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tidewire-")
     spark.sparkContext.setCheckpointDir(folder)

@@ -18,9 +18,6 @@ from tidewire.streaming.sinks import BatchSink, line_sink, read_batch, read_tabl
 # Fixed value: how often a monitor polls.
 POLL = "500 milliseconds"
 
-#: How late an event may arrive before event-time counts ignore it.
-WATERMARK = "10 minutes"
-
 
 def start(records: DataFrame, sink: BatchSink, checkpoint: str, poll: str | None = None, mode: str = "append") -> StreamingQuery:
     """Start a job: continuous with ``poll`` as its cadence, else everything available and then stop."""
@@ -98,19 +95,22 @@ def rate_job(
     path: str,
     checkpoint: str,
     tick_seconds: int = 1,
-    watermark: str = WATERMARK,
     poll: str | None = None,
 ) -> StreamingQuery:
     """Events per topic and tick of event time.
 
-    Changed counts are written as they grow. The watermark bounds the state;
-    records later than it are dropped.
+    Every batch stores its own counts and ``stored_rates`` adds them up, so the job holds no state, a record counts
+    however late it comes, and a replayed batch counts once.
     """
-    counts = rates.rate_per_tick(records.withWatermark("timestamp", watermark), tick_seconds, "timestamp")
-    return start(counts, with_retries(table_sink(path)), checkpoint, poll, mode="update")
+    store = table_sink(path)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        store(rates.rate_per_tick(batch, tick_seconds, "timestamp"), batch_id)
+
+    return start(records, with_retries(keep), checkpoint, poll)
 
 
 def stored_rates(spark: SparkSession, path: str) -> DataFrame:
-    """The newest count of each topic and tick. Counts only grow, so the largest is the newest."""
-    newest = read_table(spark, path).groupBy("topic", "tick").agg(F.max("rate").alias("rate"))
-    return newest.selectExpr("topic", f"{to_wall('tick')} AS tick", "rate")
+    """The count of each topic and tick over all batches."""
+    whole = read_table(spark, path).groupBy("topic", "tick").agg(F.sum("rate").alias("rate"))
+    return whole.selectExpr("topic", f"{to_wall('tick')} AS tick", "rate")

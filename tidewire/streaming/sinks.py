@@ -39,18 +39,23 @@ def with_retries(
     return run
 
 
-def _batch_folder(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"
+def _batch_folder(batch: DataFrame, path: str, batch_id: int) -> str:
+    """Folder of a batch: batch ids start anew with every checkpoint, so the query's own id, kept there, comes first."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    return f"{path}/query={query}/batch_id={batch_id}"
 
 
 def table_sink(path: str, *partition_by: str) -> BatchSink:
-    """Each batch owns the folder of its id and overwrites it, so a replayed batch leaves no copies."""
+    """Each batch owns the folder of its query and id and overwrites it.
+
+    A replayed batch leaves no copies, and a query with another checkpoint never touches what is there.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = batch.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(_batch_folder(path, batch_id))
+        writer.parquet(_batch_folder(batch, path, batch_id))
 
     return write
 
@@ -59,7 +64,7 @@ def line_sink(path: str) -> BatchSink:
     """Like ``table_sink``, for one column of text."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").text(_batch_folder(path, batch_id))
+        batch.write.mode("overwrite").text(_batch_folder(batch, path, batch_id))
 
     return write
 
@@ -72,9 +77,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     reader = spark.read.option("basePath", path)
     if schema:
         reader = reader.schema(StructType([*schema, StructField("batch_id", IntegerType())]))
-    return reader.parquet(path)
+    return reader.parquet(path).drop("query")
 
 
 def read_batch(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
     """The stored rows of a batch that a table sink has just written; there may be none."""
-    return batch.sparkSession.read.schema(batch.schema).parquet(_batch_folder(path, batch_id))
+    return batch.sparkSession.read.schema(batch.schema).parquet(_batch_folder(batch, path, batch_id))
