@@ -80,8 +80,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
         "doc_id", "text_key", "words", "position",
         *([F.inline(F.array(*runs))] if len(runs) > 1 else [runs[0]["length"].alias("length"), runs[0]["key"].alias("key")]))
     met = scanned.join(side, "key", "left").where(
-        ((at < 0) & (F.col("length") == (lengths[0] if lengths else 0)))
-        | (F.slice("words", at + 1, F.col("length")) == F.col("gram")))
+        F.when(at < 0, F.col("length") == (lengths[0] if lengths else 0)).otherwise(
+            F.slice("words", F.greatest(at, F.lit(0)) + 1, F.col("length")) == F.col("gram")))
     return met.select(
         "doc_id", "text_key", F.when(F.col("position") < 0, F.size("words")).alias("size"),
         F.when(F.col("position") >= 0, F.struct("position", F.col("length"))).alias("hit"), "items",
