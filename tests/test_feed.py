@@ -40,7 +40,11 @@ def test_feed_mismatches_see_changed_and_unknown_rows(log):
     changed = items.withColumn("detail", F.when(F.col("primary_key") == "user-3", "x").otherwise(F.col("detail")))
     unknown = changed.withColumn("offset", F.when(F.col("primary_key") == "user-5", 999).otherwise(F.col("offset")))
     got = {r.topic: r.mismatches for r in reconcile.feed_mismatches(unknown, items).collect()}
-    assert got == {"user-actions": 2, "content-interactions": 0}
+    # The moved row counts twice: where it now is there is no source, and where it was nothing is served.
+    assert got == {"user-actions": 3, "content-interactions": 0}
+    without = items.where("primary_key != 'user-7'")
+    got = {r.topic: r.mismatches for r in reconcile.feed_mismatches(without, items).collect()}
+    assert got == {"user-actions": 1, "content-interactions": 0}
 
 
 def test_newest_rows_per_stream(log):
@@ -55,6 +59,31 @@ def test_newest_rows_per_stream(log):
     assert "WindowGroupLimit" in plan
 
 
+def test_newest_rows_of_a_hot_stream_beyond_the_group_limit(spark):
+    rows = spark.range(0, 30_000, 1, 12).selectExpr("IF(id % 10 = 0, 'cold', 'hot') AS topic", "id")
+    newest = feed.newest_per_stream(rows, size=2000, newest_by=("id",))
+    got = {r.topic: (r.n, r.least) for r in newest.groupBy("topic").agg(
+        F.count("*").alias("n"), F.min("id").alias("least")).collect()}
+    hot = [i for i in range(30_000) if i % 10][-2000:]
+    assert got == {"hot": (2000, hot[0]), "cold": (2000, 10_000)}
+    assert newest._jdf.queryExecution().executedPlan().toString().count("Window [") >= 3
+
+
+def test_newest_and_first_records_know_their_offsets_without_numbering_the_topic(events):
+    rows = [action(user_id=f"user-{i % 7}", occurred_at=NOW + timedelta(seconds=i * 31 % 97)) for i in range(60)]
+    sent = envelope.publishable(events(*rows, interaction()))
+    numbered = {r.event_id: r.offset for r in envelope.assign_offsets(sent).collect()}
+    newest = feed.newest_with_offsets(sent, size=20)
+    got = newest.collect()
+    assert len(got) == 21 and all(numbered[r.event_id] == r.offset for r in got)
+    first = envelope.first_published(sent)
+    wanted = envelope.first_record(envelope.assign_offsets(sent)).first()
+    assert (first.first().event_id, first.first().offset) == (wanted.event_id, wanted.offset)
+    for plan in (newest, first):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in text and "parquet" not in text.lower()
+
+
 def test_panel_smaller_than_its_size_keeps_everything(log):
     items = feed.feed_from_records(log)
     assert feed.newest_per_stream(items).count() == items.count() == 31

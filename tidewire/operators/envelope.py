@@ -121,6 +121,11 @@ def first_record(records: DataFrame) -> DataFrame:
     return records.orderBy("topic", "partition", "offset").limit(1)
 
 
+def first_published(events: DataFrame, order_by: tuple[str, ...] = ("occurred_at", "event_id")) -> DataFrame:
+    """The first record that ``publishable`` events will have, at offset 0, without numbering the others."""
+    return events.orderBy("topic", "partition", *order_by).limit(1).withColumn("offset", F.lit(0).cast("bigint"))
+
+
 def find_records(records: DataFrame, key: str, contained: str) -> DataFrame:
     """Records with the given key whose value contains the given text."""
     return records.where((F.col("key") == key) & F.col("value").contains(contained))
@@ -129,7 +134,9 @@ def find_records(records: DataFrame, key: str, contained: str) -> DataFrame:
 def key_order_audit(
     records: DataFrame, order_by: tuple[str, ...] = ("occurred_at", "event_id"), block: int = 1_000_000
 ) -> DataFrame:
-    """Per key: partitions it was seen on, and neighbours whose event order and offset order differ.
+    """Per key: partitions it was seen on, and inversions.
+
+    An inversion is a record that comes right after a later one of its key, by offset in one partition.
 
     A hot key may hold any share of the records, so it is not walked in one
     task. Offsets are unique within a topic partition, hence a block of

@@ -13,6 +13,9 @@ PANEL_SIZE = 200
 # Fixed value: shown where an action has no target.
 NO_TARGET = "-"
 
+#: Tasks whose newest rows are compared together before those of the whole stream.
+TASKS_IN_LOT = 256
+
 
 def action_items(actions: DataFrame) -> DataFrame:
     return actions.select(
@@ -43,16 +46,8 @@ def union_feed(actions: DataFrame, interactions: DataFrame) -> DataFrame:
     return action_items(actions).unionByName(interaction_items(interactions))
 
 
-def feed_from_records(records: DataFrame) -> DataFrame:
-    """Feed items of raw topic records; records that do not decode are left out.
-
-    Both topics are read in one pass over the records instead of one per topic.
-    """
-    events = decode(
-        records.where(F.col("topic").isin(schemas.USER_ACTIONS_TOPIC, schemas.CONTENT_INTERACTIONS_TOPIC)),
-        schemas.USER_ACTION,
-        schemas.CONTENT_INTERACTION,
-    ).where(F.col("decode_error").isNull())
+def feed_items(events: DataFrame) -> DataFrame:
+    """Feed items of the events of both topics in one pass."""
     acts = F.col("topic") == schemas.USER_ACTIONS_TOPIC
     return events.select(
         "topic",
@@ -65,15 +60,48 @@ def feed_from_records(records: DataFrame) -> DataFrame:
     )
 
 
+def feed_from_records(records: DataFrame) -> DataFrame:
+    """Feed items of raw topic records; records that do not decode are left out.
+
+    Both topics are read in one pass over the records instead of one per topic.
+    """
+    return feed_items(decode(
+        records.where(F.col("topic").isin(schemas.USER_ACTIONS_TOPIC, schemas.CONTENT_INTERACTIONS_TOPIC)),
+        schemas.USER_ACTION,
+        schemas.CONTENT_INTERACTION,
+    ).where(F.col("decode_error").isNull()))
+
+
 def newest_per_stream(feed: DataFrame, size: int = PANEL_SIZE, newest_by: tuple[str, ...] = ("occurred_at",)) -> DataFrame:
     """The newest ``size`` rows of each stream.
 
-    Spark limits each task to its own newest rows before the shuffle
-    (a window group limit), so a stream's history never meets in one task.
+    A stream's history never meets in one task, whatever the size: the newest
+    rows of each task are kept first, then those of each lot of tasks, then
+    those of the stream.
     """
     order = [F.col(name).desc() for name in newest_by]
-    ranked = feed.withColumn("_rank", F.row_number().over(W.partitionBy("topic").orderBy(*order)))
-    return ranked.where(F.col("_rank") <= size).drop("_rank")
+    rows = feed.withColumn("_task", F.spark_partition_id()).withColumn("_lot", F.floor(F.col("_task") / TASKS_IN_LOT))
+    for held in (["topic", "_task"], ["topic", "_lot"], ["topic"]):
+        rows = rows.withColumn("_rank", F.row_number().over(W.partitionBy(*held).orderBy(*order)))
+        rows = rows.where(F.col("_rank") <= size)
+    return rows.drop("_task", "_lot", "_rank")
+
+
+def newest_with_offsets(
+    records: DataFrame, size: int = PANEL_SIZE, order_by: tuple[str, ...] = ("occurred_at", "event_id")
+) -> DataFrame:
+    """The newest ``size`` records of each topic with their ``offset``, without numbering the topics.
+
+    Whatever is newer in the same partition is among the newest of the topic
+    too, so the rank from the newest and the partition's count give the offset.
+    """
+    counts = records.groupBy("topic", "partition").agg(F.count("*").alias("_size")).select(
+        F.col("topic").alias("_topic"), F.col("partition").alias("_partition"), "_size")
+    from_newest = W.partitionBy("topic", "partition").orderBy(*(F.col(name).desc() for name in order_by))
+    newest = newest_per_stream(records, size, order_by).withColumn("_back", F.row_number().over(from_newest))
+    same = F.col("topic").eqNullSafe(F.col("_topic")) & F.col("partition").eqNullSafe(F.col("_partition"))
+    return newest.join(counts, same).withColumn("offset", F.col("_size") - F.col("_back")).drop(
+        "_topic", "_partition", "_size", "_back")
 
 
 def panel_counts(feed: DataFrame) -> DataFrame:

@@ -47,17 +47,13 @@ def name_intersection(desired: DataFrame, observed: DataFrame) -> DataFrame:
 def audit(desired: DataFrame, observed: DataFrame) -> DataFrame:
     """One row per desired name: missing, verified, or mismatched with both counts."""
     found = observed.select(F.col("topic").alias("name"), F.col("partitions").alias("found"))
-    compared = desired.select("name", "partitions").join(found, "name")
     same = F.col("partitions") == F.col("found")
-    checked = compared.select(
+    absent = F.col("found").isNull()
+    return desired.select("name", "partitions").join(found, "name", "left").select(
         "name",
-        F.when(same, F.lit(VERIFIED)).otherwise(F.lit(MISMATCHED)).alias("status"),
-        F.when(~same, F.expr(fill(MISMATCH_DETAIL, "name", "partitions", "found"))).alias("detail"),
+        F.when(absent, F.lit(MISSING)).when(same, F.lit(VERIFIED)).otherwise(F.lit(MISMATCHED)).alias("status"),
+        F.when(~absent & ~same, F.expr(fill(MISMATCH_DETAIL, "name", "partitions", "found"))).alias("detail"),
     )
-    absent = missing(desired, observed).select(
-        "name", F.lit(MISSING).alias("status"), F.lit(None).cast("string").alias("detail")
-    )
-    return checked.unionByName(absent)
 
 
 def has_mismatches(audited: DataFrame) -> bool:

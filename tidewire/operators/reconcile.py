@@ -31,19 +31,17 @@ def roundtrip_counts(published: DataFrame, consumed: DataFrame, key: str = "even
 
 
 def feed_mismatches(feed: DataFrame, source: DataFrame) -> DataFrame:
-    """Per topic: feed rows that differ in any field from the source item at the same position.
+    """Per topic: positions whose feed row and source item differ in any field, or that only one side has.
 
     Both inputs have the feed's columns. ``(topic, partition, offset)`` names
-    one record, so the join keys spread evenly; a feed row without a source counts as a mismatch.
+    one record, so the groups are small: both sides are stacked and compared
+    per position, where an outer join would shuffle the same rows.
     """
     position = ["topic", "partition", "offset"]
-    fields = [name for name in feed.columns if name not in position]
-    expected = source.select(*position, F.lit(True).alias("_known"), *(F.col(f).alias(f"_{f}") for f in fields))
-    same = F.col("_known").isNotNull()
-    for name in fields:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return (
-        feed.join(expected, position, "left")
-        .groupBy("topic")
-        .agg(F.count_if(~same).alias("mismatches"))
-    )
+    item = F.struct(*(name for name in feed.columns if name not in position)).alias("_item")
+    sides = feed.select(*position, item, F.lit(1).alias("_served")).unionByName(
+        source.select(*position, item, F.lit(-1).alias("_served")))
+    paired = sides.groupBy(*position).agg(
+        F.sum("_served").alias("_balance"), F.size(F.collect_set("_item")).alias("_forms"))
+    differs = (F.col("_balance") != 0) | (F.col("_forms") != 1)
+    return paired.groupBy("topic").agg(F.count_if(differs).alias("mismatches"))
