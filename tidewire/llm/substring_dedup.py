@@ -28,26 +28,45 @@ def _mixed(value: np.ndarray) -> np.ndarray:
     return value ^ value >> np.uint64(29)
 
 
+def _rolled(hashed: np.ndarray, size: int, factor: np.uint64) -> np.ndarray:
+    """Polynomial hash of every ``size`` values in a row, put together from runs whose lengths are powers of two."""
+    n, made, covered = len(hashed) - size + 1, None, 0
+    run, width, power = hashed, 1, int(factor)
+    while size:
+        if size & 1:
+            part = run[covered:covered + n]
+            made = part if made is None else made * np.uint64(power) + part
+            covered += width
+        size >>= 1
+        if size:
+            run = run[:-width] * np.uint64(power) + run[width:]
+            power, width = power * power % 2 ** 64, 2 * width
+    return made
+
+
+def _least(values: np.ndarray, size: int) -> np.ndarray:
+    """Place of the first least value of every ``size`` in a row."""
+    place, width = np.arange(len(values)), 1
+    while width < size:
+        step = min(width, size - width)
+        later = values[step:] < values[:-step]
+        place = np.where(later, place[step:], place[:-step])
+        values = np.minimum(values[:-step], values[step:])
+        width += step
+    return place
+
+
 class Windows:
     """Word windows of a text: two 64-bit hashes of each (``high``, ``low``), its anchor and the anchor's place."""
 
     def __init__(self, words: list[bytes], size: int, both: bool = True):
-        n = len(words) - size + 1
-        hashed = pd.util.hash_array(np.array(words, object), categorize=len(words) > 200)
-        grams = np.zeros(len(words) - ANCHOR + 1, np.uint64)
-        for step in range(ANCHOR):
-            grams = grams * _FACTORS[0] + hashed[step:step + len(grams)]
-        grams = _mixed(grams)
-        least = np.lib.stride_tricks.sliding_window_view(grams, size - ANCHOR + 1).argmin(axis=1)
-        self.place = np.arange(n) + least
+        hashed = pd.util.hash_array(np.array(words, object), categorize=False)
+        grams = _mixed(_rolled(hashed, ANCHOR, _FACTORS[0]))
+        self.place = _least(grams, size - ANCHOR + 1)
         self.anchor = grams[self.place].view(np.int64)
         if both:
-            self.high, self.low = (np.zeros(n, np.uint64) for _ in range(2))
-            other = _mixed(hashed)
-            for step in range(size):
-                self.high = self.high * _FACTORS[0] + hashed[step:step + n]
-                self.low = self.low * _FACTORS[1] + other[step:step + n]
-            self.high, self.low = _mixed(self.high), _mixed(self.low)
+            self.high = _mixed(_rolled(hashed, size, _FACTORS[0]))
+            self.low = _mixed(_rolled(_mixed(hashed), size, _FACTORS[1]))
 
     def paths(self, anchors: np.ndarray):
         """(start, windows, anchor, high, low) of the runs of windows around one place whose anchor is among ``anchors``."""
@@ -76,8 +95,8 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             anchors = twice = np.empty(0, np.int64)
             if len(words) >= size:
                 windows = Windows(words, size, both=False)
-                places = np.unique(windows.place, return_index=True)[1]
-                anchors, counts = np.unique(windows.anchor[places], return_counts=True)
+                changes = np.concatenate(([True], np.diff(windows.place) > 0))
+                anchors, counts = np.unique(windows.anchor[changes], return_counts=True)
                 twice = anchors[counts > 1]
             for column, value in zip(made, (
                     len(words), hashlib.blake2b(joined, digest_size=16).digest(), hashlib.sha256(joined).hexdigest(),
