@@ -12,7 +12,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -86,7 +86,7 @@ def split(text: str) -> list[bytes]:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """Stored ``doc_id, text_key, n_words, digest, sha, anchors, repeated``: ``repeated`` anchors occur twice in it."""
+    """Stored ``doc_id, text_key, row_key, n_words, digest, sha, anchors, repeated``: ``repeated`` ones occur twice in it."""
     def judge(texts: list[str]) -> list:
         made = ([], [], [], [], [])
         for text in texts:
@@ -104,9 +104,9 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 column.append(value)
         return list(made)
 
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"), F.xxhash64("doc_id", "text").alias("row_key"))
     return stored(map_texts(
-        keyed, ["doc_id", "text_key"], lambda: judge,
+        keyed, ["doc_id", "text_key", "row_key"], lambda: judge,
         "n_words long, digest binary, sha string, anchors array<long>, repeated array<long>"), "substring-sketches")
 
 
@@ -134,13 +134,34 @@ def _expand(df: DataFrame, keep: list[str], extra: str, make) -> DataFrame:
     return map_batches(df.select(*keep, "text", "given"), run, schema)
 
 
+def based(sketched: DataFrame) -> DataFrame:
+    """Stored ``digest, doc_id, text_key, row_key, base``: the first row of each word sequence and its base.
+
+    Bases number the words of these rows in the order of doc_id and text, with one more per row: ``base + start`` is
+    one long that orders all windows. Sums run inside ranges; one row per range carries them on.
+    """
+    firsts = sketched.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "text_key", "row_key")).alias("first"), F.max("n_words").alias("n_words")
+    ).select("digest", "first.*", (F.col("n_words") + 1).alias("room"))
+    ranged = stored(
+        firsts.repartitionByRange("doc_id", "text_key").withColumn("range", F.spark_partition_id()), "substring-ranges")
+    earlier = ranged.groupBy("range").agg(F.sum("room").alias("room")).select(
+        "range", F.sum("room").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"))
+    inside = F.sum("room").over(
+        Window.partitionBy("range").orderBy("doc_id", "text_key").rowsBetween(Window.unboundedPreceding, -1))
+    numbered = ranged.withColumn("inside", inside).join(F.broadcast(earlier), "range")  # one row per range
+    return stored(numbered.select(
+        "digest", "doc_id", "text_key", "row_key",
+        (F.coalesce("inside", F.lit(0)) + F.coalesce("earlier", F.lit(0))).alias("base")), "substring-firsts")
+
+
 def first_of(rows: DataFrame) -> DataFrame:
-    """Least (doc_id, text_key, start) of each (high, low)."""
-    return rows.groupBy("high", "low").agg(F.min(F.struct("doc_id", "text_key", "start")).alias("first"))
+    """Place of the first window of each (high, low)."""
+    return rows.groupBy("high", "low").agg(F.min(F.col("base") + F.col("start")).alias("first"))
 
 
 def repeated_spans(docs: DataFrame, sketched: DataFrame, firsts: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """Stored texts with shared anchors, and spans ``doc_id, text_key, start, n`` of windows that start earlier too."""
+    """Stored texts with shared anchors by base, and spans ``base, start, n`` of windows that start earlier too."""
     # An anchor is shared if texts of different words hold it; copies of one text are judged by their digest.
     held = sketched.select(
         F.xxhash64("digest").alias("short"), F.explode("anchors").alias("anchor"))
@@ -150,21 +171,20 @@ def repeated_spans(docs: DataFrame, sketched: DataFrame, firsts: DataFrame, size
     wanted = held.join(shared, "anchor").select("short", "anchor").unionByName(own).groupBy("short").agg(
         F.collect_set("anchor").alias("given"))
     places = firsts.select(
-        F.xxhash64("digest").alias("short"), F.col("first.doc_id").alias("_doc"), F.col("first.text_key").alias("_key")
-    ).join(wanted, "short").select("_doc", "_key", "given")
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+        F.xxhash64("digest").alias("short"), F.col("doc_id").alias("_doc"), F.col("row_key").alias("_row"), "base"
+    ).join(wanted, "short").select("_doc", "_row", "base", "given")
+    # The hash of the whole row deals the texts once, for the join and for dropping repeated rows.
+    keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
     texts = stored(keyed.join(
-        places, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))
-    ).drop("_doc", "_key").dropDuplicates(["doc_id", "text_key"]), "substring-texts")
-    key = ["doc_id", "text_key"]
+        places, (F.col("row_key") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+    ).select("row_key", "base", "text", "given").dropDuplicates(["row_key", "base"]).drop("row_key"), "substring-texts")
 
     def paths(text, anchors):
         return Windows(split(text), size).paths(np.array(anchors, np.int64))
 
-    found = stored(_expand(texts, key, "start long, n long, anchor long, high long, low long", paths), "substring-paths")
-    judged = found.join(first_of(found), ["high", "low"]).withColumn(
-        "again", ~F.struct("doc_id", "text_key", "start").eqNullSafe(F.col("first")))
-    judged = stored(judged.select("doc_id", "text_key", "start", "n", "anchor", "again"), "substring-judged")
+    found = stored(_expand(texts, ["base"], "start int, n int, anchor long, high long, low long", paths), "substring-paths")
+    judged = found.join(first_of(found), ["high", "low"]).withColumn("again", F.expr("base + start != first"))
+    judged = stored(judged.select("base", "start", "n", "anchor", "again"), "substring-judged")
 
     def windows(text, spans):
         made = Windows(split(text), size)
@@ -174,18 +194,13 @@ def repeated_spans(docs: DataFrame, sketched: DataFrame, firsts: DataFrame, size
     # Windows of different paths can only be equal where the paths have their anchor in common.
     once = judged.where("NOT again")
     branching = once.groupBy("anchor").agg(F.count("*").alias("paths")).where("paths > 1").select("anchor")
-    fresh = once.join(branching, "anchor").groupBy(*key).agg(F.collect_list(F.struct("start", "n")).alias("given"))
+    fresh = once.join(branching, "anchor").groupBy("base").agg(F.collect_list(F.struct("start", "n")).alias("given"))
     ends = stored(
-        _expand(_with(texts.drop("given"), fresh), key, "start long, high long, low long", windows), "substring-windows")
-    late = ends.join(first_of(ends), ["high", "low"]).where(
-        ~F.struct("doc_id", "text_key", "start").eqNullSafe(F.col("first"))).select(*key, "start", F.lit(1).cast("long").alias("n"))
-    return texts, judged.where("again").select(*key, "start", "n").unionByName(late)
-
-
-def _with(texts: DataFrame, per_text: DataFrame) -> DataFrame:
-    renamed = per_text.withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
-    return texts.join(
-        renamed, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))).drop("_doc", "_key")
+        _expand(texts.drop("given").join(fresh, "base"), ["base"], "start int, high long, low long", windows),
+        "substring-windows")
+    late = ends.join(first_of(ends), ["high", "low"]).where("base + start != first").select(
+        "base", "start", F.lit(1).alias("n"))
+    return texts, judged.where("again").select("base", "start", "n").unionByName(late)
 
 
 def kept_words(text: str, spans: list, size: int) -> list[bytes]:
@@ -208,24 +223,19 @@ def substring_dedup(docs: DataFrame, size: int = 20) -> DataFrame:
     by 128 bits of hash.
     """
     sketched = sketches(docs, size)
-    firsts = stored(
-        sketched.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("first")), "substring-firsts")
+    firsts = based(sketched)
     texts, spans = repeated_spans(docs, sketched, firsts, size)
-    given = spans.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n")).alias("given"))
+    given = spans.groupBy("base").agg(F.collect_list(F.struct("start", "n")).alias("given"))
 
     def judge(text, found):
         words = kept_words(text, found, size)
         return np.array([len(words)]), np.array([hashlib.sha256(b" ".join(words)).hexdigest()])
 
-    cut = _expand(_with(texts.drop("given"), given), ["doc_id", "text_key"], "n_kept long, cut_sha string", judge)
+    cut = _expand(texts.drop("given").join(given, "base"), ["base"], "n_kept long, cut_sha string", judge)
+    heads = firsts.join(cut, "base", "left").select(
+        "digest", F.struct("doc_id", "text_key").alias("first"), "n_kept", "cut_sha")
     copy = ~F.struct("doc_id", "text_key").eqNullSafe(F.col("first")) & (F.col("n_words") >= size)
-    rows = sketched.select("doc_id", "text_key", "n_words", "digest", "sha").join(firsts, "digest").select(
-        "doc_id", "text_key", "n_words", "sha", copy.alias("copy"))
-    cut = cut.withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
-    return rows.join(
-        cut, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key")), "left"
-    ).select(
+    return sketched.select("doc_id", "text_key", "n_words", "digest", "sha").join(heads, "digest").select(
         "doc_id", "n_words",
-        F.when(F.col("copy"), F.col("n_words")).otherwise(
-            F.col("n_words") - F.coalesce("n_kept", "n_words")).alias("n_removed"),
-        F.when(F.col("copy"), F.lit(EMPTY_SHA)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"))
+        F.when(copy, F.col("n_words")).otherwise(F.col("n_words") - F.coalesce("n_kept", "n_words")).alias("n_removed"),
+        F.when(copy, F.lit(EMPTY_SHA)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"))
