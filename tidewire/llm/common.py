@@ -55,6 +55,17 @@ def stored(df: DataFrame, label: str, *partitioned: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(table: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote without partitions, once all that is read from it has been stored."""
+    files = table.inputFiles()
+    if files:
+        jvm = table.sparkSession._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        if not folder.getName().startswith("tidewire-"):
+            raise ValueError(f"{folder} is no stored table")
+        folder.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch with their texts (null: empty), bounded in rows and characters."""
     start, chars, texts = 0, 0, []

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewire.llm.common import map_batches, map_texts, schema_of, slices, stored
+from tidewire.llm.common import map_batches, map_texts, release, schema_of, slices, stored
 
 ANCHOR = 4
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -150,14 +150,20 @@ def based(sketched: DataFrame) -> DataFrame:
     inside = F.sum("room").over(
         Window.partitionBy("range").orderBy("doc_id", "text_key").rowsBetween(Window.unboundedPreceding, -1))
     numbered = ranged.withColumn("inside", inside).join(F.broadcast(earlier), "range")  # one row per range
-    return stored(numbered.select(
+    made = stored(numbered.select(
         "digest", "doc_id", "text_key", "row_key",
         (F.coalesce("inside", F.lit(0)) + F.coalesce("earlier", F.lit(0))).alias("base")), "substring-firsts")
+    release(ranged)
+    return made
+
 
+def first_of(rows: DataFrame, label: str) -> DataFrame:
+    """Stored place of the first row of each (high, low) that has several.
 
-def first_of(rows: DataFrame) -> DataFrame:
-    """Place of the first window of each (high, low)."""
-    return rows.groupBy("high", "low").agg(F.min(F.col("base") + F.col("start")).alias("first"))
+    As a table of its own it leaves both sides of the later join plain shuffles, which Spark splits where a key is hot.
+    """
+    firsts = rows.groupBy("high", "low").agg(F.min(F.col("base") + F.col("start")).alias("first"), F.count("*").alias("rows"))
+    return stored(firsts.where("rows > 1").drop("rows"), label).hint("merge")
 
 
 def repeated_spans(docs: DataFrame, sketched: DataFrame, firsts: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
@@ -183,8 +189,10 @@ def repeated_spans(docs: DataFrame, sketched: DataFrame, firsts: DataFrame, size
         return Windows(split(text), size).paths(np.array(anchors, np.int64))
 
     found = stored(_expand(texts, ["base"], "start int, n int, anchor long, high long, low long", paths), "substring-paths")
-    judged = found.join(first_of(found), ["high", "low"]).withColumn("again", F.expr("base + start != first"))
+    judged = found.join(first_of(found, "substring-first-paths"), ["high", "low"], "left").withColumn(
+        "again", F.expr("coalesce(base + start != first, false)"))
     judged = stored(judged.select("base", "start", "n", "anchor", "again"), "substring-judged")
+    release(found)
 
     def windows(text, spans):
         made = Windows(split(text), size)
@@ -198,9 +206,12 @@ def repeated_spans(docs: DataFrame, sketched: DataFrame, firsts: DataFrame, size
     ends = stored(
         _expand(texts.drop("given").join(fresh, "base"), ["base"], "start int, high long, low long", windows),
         "substring-windows")
-    late = ends.join(first_of(ends), ["high", "low"]).where("base + start != first").select(
+    late = ends.join(first_of(ends, "substring-first-windows"), ["high", "low"]).where("base + start != first").select(
         "base", "start", F.lit(1).alias("n"))
-    return texts, judged.where("again").select("base", "start", "n").unionByName(late)
+    spans = stored(judged.where("again").select("base", "start", "n").unionByName(late), "substring-spans")
+    release(ends)
+    release(judged)
+    return texts, spans
 
 
 def kept_words(text: str, spans: list, size: int) -> list[bytes]:
