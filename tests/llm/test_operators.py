@@ -225,6 +225,47 @@ def test_secret_spans(docs, nothing):
     assert secret_scan.redact(nothing).columns == docs.columns and secret_scan.secret_spans(nothing).count() == 0
 
 
+def test_whole_values_in_credential_contexts(spark):
+    hard = "".join(hashlib.sha256(str(i).encode()).hexdigest()[:8].upper() + "$x" for i in range(40))
+    texts = ["password=Tr0ub4dor&3xK9!vQ2$Lm end", f"pwd={hard} end", "Authorization: Bearer x7$Kp!2vQz9&Lm end",
+             "pwd=" + "xy" * 5000 + " end", f"token={hard * 500} end"]
+    assert [secret_scan.written(secret_scan.scan(t, 48)[1]) for t in texts] == [
+        "assign:0:18,guess:9:30", "guess:4:404", "guess:22:36", "", "assign:0:14,guess:6:200006"]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in secret_scan.redact(made).collect()}
+    assert clean == {0: "[SECRET] end", 1: "pwd=[SECRET] end", 2: "Authorization: Bearer [SECRET] end", 3: texts[3],
+                     4: "[SECRET] end"}
+
+
+def test_guess_cost_is_the_least_over_all_cuts():
+    def slow(value):
+        low, size, brute, best = value.lower(), len(value), secret_scan._classes(value), [0.0]
+        for end in range(1, size + 1):
+            costs = [best[end - 1] + brute]
+            for at in range(end):
+                n, part = end - at, low[at:end]
+                if n > 1 and (rank := secret_scan.RANK.get(part)):
+                    cased = sum(c.isupper() for c in value[at:end])
+                    costs.append(best[at] + math.log2(rank + 1) + 1 + (cased > 0) * (1 + (cased > 1)))
+                if secret_scan.DATE.fullmatch(value, at, end):
+                    costs.append(best[at] + secret_scan.DATE_BITS + 1)
+                costs += [best[at] + u * brute + math.log2(n) + 1 for u in (1, 2, 3, 4)
+                          if n >= max(3, 2 * u) and n % u == 0 and part == part[:u] * (n // u)]
+                if n >= 3 and any(all(s.get(a) == b for a, b in zip(part, part[1:])) for s in (secret_scan.NEXT, secret_scan.BACK)):
+                    costs.append(best[at] + secret_scan.WALK_BITS + math.log2(n) + 1)
+            best.append(min(costs))
+        return best[size]
+
+    random = np.random.default_rng(3)
+    parts = ["a", "b", "ab", "aaaa", "abab", "xyz", "Pass", "password", "d", "qwert", "2019", "20190412", "7$K", "bbb"]
+    for _ in range(400):
+        value = "".join(random.choice(parts, random.integers(1, 14)))
+        cost = slow(value)
+        assert math.isclose(secret_scan.guess_bits(value), cost, abs_tol=1e-9)
+        assert (secret_scan.guess_bits(value, 48) >= 48) == (cost >= 48)
+    assert secret_scan.guess_bits("a" * 100_000) < 30
+
+
 @pytest.mark.parametrize("text", [
     "", " ", "  two  blanks ", "tabs\t\tand\n\n lines \n", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "it's we'll 'S",
     "Grüße 123 ½ ١٢٣ 日本語 🙂🙂", "x" * 5000, " nb  sp", "!!!???...", "a 　 b", "​ z"])

@@ -20,10 +20,10 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-#: A credential context: a naming word, an assignment sign, a value up to blank or quote.
+#: A credential context: a naming word, an assignment sign (after bearer, a blank will do), a value up to blank or quote.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|private[_-]?key|access[_-]?key|credentials?|"""
-    r"""auth|bearer)["']?[ \t]*(?::|=>|=)[ \t]*["']?([^\s"'<>]{8,200})""", re.I | re.A)
+    r"""(?:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|private[_-]?key|access[_-]?key|credentials?|"""
+    r"""auth|bearer)["']?[ \t]*(?::|=>|=)|bearer[ \t])[ \t]*["']?([^\s"'<>]{8,})""", re.I | re.A)
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer")
 
 #: Words that guessers try first, most frequent first.
@@ -43,6 +43,10 @@ DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[1
                   r"|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d")
 DATE_BITS = math.log2(366 * 120)
 WALK_BITS = math.log2(2 * sum(map(len, ROWS)))
+#: Lengths of a repeated unit, and the least length of such a repeat.
+UNITS = {1: 3, 2: 4, 3: 6, 4: 8}
+#: More characters than a word, date, walk or least repeat has.
+REACH = max(LONGEST_WORD, 10, *map(len, ROWS)) + 1
 
 
 def _classes(value: str) -> float:
@@ -54,13 +58,38 @@ def _classes(value: str) -> float:
     return math.log2(max(size, 2))
 
 
-def guess_bits(value: str) -> float:
-    """Least guess cost of ``value`` in bits; 0 for an empty one."""
+def guess_bits(value: str, limit: float = math.inf) -> float:
+    """Least guess cost of ``value`` in bits; 0 for an empty one, infinite if the cost reaches ``limit``.
+
+    Linear in the length: words, dates and walks are short, and of the starts of a repeat only those are kept that
+    may still be the cheapest.
+    """
     low, size, brute = value.lower(), len(value), _classes(value)
     best = [0.0] + [math.inf] * size
+    repeats = {unit: [[] for _ in range(unit)] for unit in UNITS}
+    begun = dict.fromkeys(UNITS, 0)
+    last = 0
     # Spans that start at ``at`` reach forward; a span costs its own guesses and one bit for the cut.
-    for at in range(size):
+    for at in range(size + 1):
+        for unit, least in UNITS.items():
+            if at <= unit or low[at - 1] != low[at - 1 - unit]:  # no repeat goes on from before
+                begun[unit] = max(0, at - unit)
+                for starts in repeats[unit]:
+                    starts.clear()
+            first, starts = at - least, repeats[unit][at % unit]
+            if first >= begun[unit] and best[first] < limit:
+                # Later starts gain on earlier ones as long as the repeat lasts, but never more than now.
+                if all(best[s] + math.log2(at - s) > best[first] + math.log2(least) for s in starts):
+                    starts[:] = [s for s in starts if best[s] < best[first]] + [first]
+            if starts:
+                best[at] = min(best[at], min(best[s] + unit * brute + math.log2(at - s) + 1 for s in starts))
         here = best[at]
+        if here < limit:
+            last = at
+        elif at - last > REACH and not any(starts for every in repeats.values() for starts in every):
+            return math.inf
+        if at == size or here >= limit:
+            continue
         best[at + 1] = min(best[at + 1], here + brute)
         for end in range(at + 2, min(size, at + LONGEST_WORD) + 1):
             if rank := RANK.get(low[at:end]):
@@ -70,19 +99,13 @@ def guess_bits(value: str) -> float:
             for end in {at + 4, at + 6, at + 7, at + 8, at + 10}:
                 if end <= size and DATE.fullmatch(value, at, end):
                     best[end] = min(best[end], here + DATE_BITS + 1)
-        for unit in (1, 2, 3, 4):
-            end = at + unit
-            while end + unit <= size and low[end:end + unit] == low[at:at + unit]:
-                end += unit
-                if end - at >= max(3, 2 * unit):
-                    best[end] = min(best[end], here + unit * brute + math.log2(end - at) + 1)
         for step in (NEXT, BACK):
             end = at + 1
             while end < size and step.get(low[end - 1]) == low[end]:
                 end += 1
                 if end - at >= 3:
                     best[end] = min(best[end], here + WALK_BITS + math.log2(end - at) + 1)
-    return best[size]
+    return best[size] if best[size] < limit else math.inf
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -96,20 +119,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def guessed_spans(text: str, taken: list[tuple[int, int, int]], bits: float) -> Iterator[tuple[int, int, int]]:
-    """Values in credential contexts that cost at least ``bits`` to guess and that no base span touches."""
+def guessed_spans(text: str, bits: float) -> Iterator[tuple[int, int, int]]:
+    """Values of any length in credential contexts that cost at least ``bits`` to guess."""
     low = text.lower()
     if not any(w in low for w in CONTEXT_WORDS):
         return
     for m in CONTEXT.finditer(text):
         start, end = m.span(1)
-        if not any(s < end and start < e for s, _, e in taken) and guess_bits(text[start:end]) >= bits:
+        if guess_bits(text[start:end], bits) >= bits:
             yield start, 3, end
 
 
 def scan(text: str, bits: float) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Spans of the fixed patterns, and these with the guessed ones; a guessed span may overlap or equal others."""
     base = base_spans(text)
-    return base, sorted([*base, *guessed_spans(text, base, bits)])
+    return base, sorted([*base, *guessed_spans(text, bits)])
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
@@ -119,7 +143,8 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 def secret_spans(docs: DataFrame, bits: float = 48.0) -> DataFrame:
     """Spans of secrets in every whole text, one row per input row.
 
-    ``spans`` lists all spans as kind:start:end in code points, ``base_spans`` those of the fixed patterns. A null
+    ``spans`` lists all spans as kind:start:end in code points, ``base_spans`` those of the fixed patterns; spans of
+    different kinds may overlap. A null
     or empty text has none; repeated rows are scanned each; other columns are ignored.
     """
     def make():
