@@ -166,6 +166,32 @@ def test_license_scan(spark, nothing):
     assert license_scan.license_scan(nothing, F.col("source"), F.lit(True)).count() == 0
 
 
+def licenses(spark, texts, is_file=False, **more):
+    from pyspark.sql import functions as F
+
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = license_scan.license_scan(made, F.col("doc_id").cast("string"), F.lit(is_file), **more).collect()
+    return [(r.license, round(r.similarity or 0, 6)) for r in sorted(got, key=lambda r: r.doc_id)]
+
+
+def test_license_notices_inside_lines(spark):
+    prose = "the quick report on rivers and trade goes on for a while and says nothing else of use to anyone " * 3
+    texts = [
+        prose + "Released under the MIT License. " + prose, "Licensed under the Apache License, Version 2.0. " + prose,
+        "Copyright (c) 2020 Jane Doe. All rights reserved.", "// SPDX-License-Identifier: MIT",
+        "# SPDX-License-Identifier: Apache-2.0", "A driver's licence is needed. " + prose + "Released under the MIT License.",
+        prose * 20 + "Licensed under the\n# GNU General Public License,\n# version 3.\n" + prose,
+        "All rights reserved. Released under the MIT License.", prose + " a driver's licence released under the sea",
+    ]
+    assert licenses(spark, texts) == [
+        ("MIT", 1), ("Apache-2.0", 1), ("proprietary", 1), ("MIT", 1), ("Apache-2.0", 1), ("MIT", 1), ("GPL-3.0", 1),
+        ("MIT", 1), (None, 0)]
+    assert licenses(spark, [prose + "My own license of the house " + prose], templates={"own": "own license of the house"}) == [("own", 1)]
+    # An anchor at every place of a block meets its window across the blocks' ends.
+    for at in range(license_scan.BLOCK - 6, license_scan.BLOCK + 2):
+        assert licenses(spark, ["w " * at + "Released under the MIT License. " + "w " * 1200]) == [("MIT", 1)]
+
+
 def test_attention_gradients_match_differences():
     vocabulary = attention_model.Vocabulary(np.arange(3000.0)[::-1].copy(), [b"x"] * 3000)
     model = attention_model.Attention(vocabulary)
