@@ -192,6 +192,22 @@ def test_license_notices_inside_lines(spark):
         assert licenses(spark, ["w " * at + "Released under the MIT License. " + "w " * 1200]) == [("MIT", 1)]
 
 
+def test_license_files_and_header_blocks(spark):
+    whole = {p.stem: p.read_text() for p in sorted(license_scan.TEXTS.glob("*.txt"))}
+    named = [f"Copyright (c) 2020 Jane Doe and others\n\n{text}\n" for text in whole.values()]
+    prose = "the report of the year on the use of rivers and of the trade in the north is given to the public " * 40
+    got = licenses(spark, [*named, prose, "GNU GENERAL PUBLIC LICENSE", "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007"], True)
+    assert [g[0] for g in got] == [*whole, None, "GPL", "GPL-3.0"] and all(g[1] > 0.9 for g in got[:len(whole)])
+    free = license_scan.FREE.format("General Public License", "2").replace("GNU", "GNU\n#").replace("either", "\n# either")
+    headers = [
+        "# " + free + "\nimport os\n", free.replace("version 2", "version 3"), free.replace("General", "Lesser General").replace("version 2", "version 2.1"),
+        "/* " + whole["MIT"] + " */ int main() {}", whole["BSD-2-Clause"] + prose, whole["BSD-3-Clause"] + prose, whole["ISC"],
+        "rivers and trade", "Licensed under the GNU General Public License.",
+    ]
+    assert [g[0] for g in licenses(spark, headers)] == [
+        "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", None, "GPL"]
+
+
 def test_attention_gradients_match_differences():
     vocabulary = attention_model.Vocabulary(np.arange(3000.0)[::-1].copy(), [b"x"] * 3000)
     model = attention_model.Attention(vocabulary)
