@@ -237,6 +237,30 @@ def test_attention_scores_each_token_once_and_probabilities_add_up():
     assert math.isclose(attention_model.score_documents(model, vocabulary, [text, text[:129]])[1], parts[0], rel_tol=1e-4)
 
 
+def test_lm_fit_sees_whole_texts_and_grows(spark, monkeypatch):
+    end = 50257
+    long = np.arange(5000, dtype="<u2")
+    rows = [(i, i, False, "ids", bytearray(long[:n].tobytes())) for i, n in enumerate((5000, 10, 0, 63))] + [
+        (9, 9, True, "ids", bytearray(long.tobytes()))]
+    prepared = spark.createDataFrame(rows, "doc_id long, text_key long, held_out boolean, kind string, ids binary")
+    seen = lm_scoring.fit_windows(prepared, end, 4000)[:, 1:]
+    kept = Counter(seen[seen != attention_model.NONE].tolist())
+    assert kept == Counter([*range(5000), *range(10), *range(63), *[end] * 4])
+    monkeypatch.setattr(lm_scoring, "FIT_SHARE", 0.5)
+    few, many = (len(lm_scoring.fit_windows(d, end, 0)) for d in (prepared, prepared.union(prepared.selectExpr(
+        "doc_id + 100", "text_key", "held_out", "kind", "ids"))))
+    assert 20 < few < 62 and 1.4 * few < many < 2.8 * few
+    # Filled-up places change nothing.
+    vocabulary = attention_model.Vocabulary(np.arange(3000.0)[::-1].copy(), [b"x"] * 3000)
+    model = attention_model.Attention(vocabulary)
+    parts = attention_model.picked(vocabulary, attention_model.training_windows(np.arange(70)))
+    whole = model.gradients(*parts)
+    assert parts[3].sum() == 70 and parts[0][1, 0] == vocabulary.inputs[63]
+    parts[1][1, 6:], parts[2][1, 6:] = 5, 7
+    other = model.gradients(*parts)
+    assert whole[0] == other[0] and all(np.allclose(whole[1][n], other[1][n], atol=1e-7) for n in whole[1])
+
+
 def test_lm_base_scores(docs, nothing):
     counts = Counter()
     for doc_id, text, _ in ROWS:
