@@ -1,12 +1,7 @@
-import sys
-from pathlib import Path
-
 import pytest
 from pyspark.sql import types as T
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
-from conftest_rows import ROWS  # noqa: E402
+from .conftest_rows import ROWS
 
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType()),

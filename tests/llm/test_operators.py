@@ -3,24 +3,20 @@
 import hashlib
 import math
 import re
-import sys
 import zlib
 from collections import Counter
-from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
-from conftest_rows import PASSAGE, ROWS  # noqa: E402
-
-from tidewire.llm import (  # noqa: E402
+from tidewire.llm import (
     attention_model, decontaminate, jaccard_join, license_scan, lm_scoring, packing, preference, quality_rules, secret_scan,
     substring_dedup, token_counts)
 
+from .conftest_rows import PASSAGE, ROWS
+
 RANKS, JSON = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("tiktoken", "json"))
 TOKENIZER = Tokenizer.from_file(JSON)
 
