@@ -4,7 +4,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontaminate, jaccard_join, license_scan, lm_scoring, packing, preference, quality_rules, secret_scan, substring_dedup, token_counts
+from tidewire.llm import (
+    collocations, decontaminate, html_extraction, jaccard_join, license_scan, lm_scoring, packing, preference, quality_rules,
+    secret_scan, substring_dedup, token_alignment, token_counts)
 from tidewire.llm.common import table
 from tidewire.plans.registry import Query
 
@@ -103,3 +105,53 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return license_scan.license_scan(docs, path, F.length("text") < 200)
+
+
+@query
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract_articles(table(spark, folder, "pages"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = token_alignment.align_tokens(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op13_collocations"] = r"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY 1),
+g AS (
+    SELECT lang, s, array_to_string(list_slice(w, i, i + s - 1), ' ') AS phrase
+    FROM (SELECT lang, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM p, range(1, 6) t(s) WHERE len(w) >= s)),
+f AS (SELECT lang, s, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, s, phrase, f AS a FROM f WHERE s > 1),
+kept AS (
+    SELECT * FROM c WHERE NOT EXISTS (
+        SELECT 1 FROM c o WHERE o.lang = c.lang AND o.s > c.s AND 100 * o.a >= 100 * c.a
+            AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))),
+k AS (
+    SELECT lang, phrase, a, k, array_to_string(list_slice(string_split(phrase, ' '), 1, k), ' ') AS x,
+        array_to_string(list_slice(string_split(phrase, ' '), k + 1, s), ' ') AS y
+    FROM (SELECT *, unnest(range(1, s)) AS k FROM kept)),
+scored AS (
+    SELECT k.lang, k.phrase, a, k, l.f AS l, r.f AS r, n,
+        CAST(1000::HUGEINT * a * n // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+    FROM k JOIN f l ON l.lang = k.lang AND l.phrase = x JOIN f r ON r.lang = k.lang AND r.phrase = y
+        JOIN n ON n.lang = k.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+    CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score
+FROM best QUALIFY rank <= 2000
+"""
