@@ -66,11 +66,13 @@ def release(table: DataFrame) -> None:
         folder.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def slices(
+    batch: pa.RecordBatch, text: str, rows: int = BATCH_ROWS, most: int = BATCH_CHARS
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch with their texts (null: empty), bounded in rows and characters."""
     start, chars, texts = 0, 0, []
     for at, value in enumerate(batch.column(batch.schema.get_field_index(text)).to_pylist()):
-        if texts and (len(texts) >= BATCH_ROWS or chars > BATCH_CHARS):
+        if texts and (len(texts) >= rows or chars > most):
             yield batch.slice(start, at - start), texts
             start, chars, texts = at, 0, []
         texts.append(value or "")

@@ -10,6 +10,7 @@ documents that hold it; only these rows are shuffled by pair, so a pair that eve
 """
 
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,11 @@ from tidewire.llm.common import map_batches, schema_of, slices, stored, workers_
 from tidewire.llm.encoders import byte_encoder
 
 #: Offsets of the shorter list between two that are sought from their document's start.
-STRIDE = 32
+STRIDE = 8
 #: Links written out at once while the pairs of a lot are counted.
-LINKS = 4_000_000
+LINKS = 1_000_000
+#: A lot: so many documents and characters at most, or one longer document.
+LOT_ROWS, LOT_CHARS = 1000, 3_000_000
 _WIDE = 32
 _LOW = (1 << _WIDE) - 1
 _NONE = np.zeros(0, np.int64)
@@ -45,6 +48,7 @@ class PieceEncoder:
                 bytes([int(piece[3:5], 16)]) if self._model.is_byte(at) else piece.replace("▁", " ").encode())
 
     def ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of every text, in front of which the model puts a blank."""
         return self._model.encode(texts, num_threads=1)
 
 
@@ -53,6 +57,33 @@ def piece_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+class Pair:
+    """Ids of both tokenizers for a blank and each of many texts."""
+
+    def __init__(self, ranks: str, pieces: str):
+        self.a, self.b = byte_encoder(ranks), piece_encoder(pieces)
+        self.widths = tuple(np.array([len(t) for t in side.table]) for side in (self.a, self.b))
+
+    def ids(self, texts: list[str]) -> tuple[list[int], tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Places of the texts that both tokenizers give back, their ids of A and of B in a row, and the ids in each."""
+        kept, every = [], ([], [])
+        for at, (text, other) in enumerate(zip(texts, self.b.ids(texts))):
+            if not text:
+                continue
+            # A cuts the bytes themselves and always gives them back; B knows a text's characters, or changes them.
+            if b"".join(map(self.b.table.__getitem__, other)) == (" " + text).encode():
+                kept.append(at)
+                every[0].append(self.a.plain(" " + text))
+                every[1].append(other)
+        joined = [_joined(lists) for lists in every]
+        return kept, (joined[0][0], joined[1][0]), (joined[0][1], joined[1][1])
+
+
+def _joined(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.array([len(x) for x in lists], np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+
+
 def gallop(values: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
     """First index of ``ends``, not before ``at``, whose offset is not below the value; the last offset is the greatest."""
     low, high, last = at.copy(), at.copy(), len(ends) - 1
@@ -84,46 +115,38 @@ def common_ends(ends_a: np.ndarray, ends_b: np.ndarray, starts_a: np.ndarray, st
     return (places[both], both) if swap else (both, places[both])
 
 
-def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if keys.size else _NONE
-    return keys[first], np.add.reduceat(counts, first) if keys.size else counts
-
-
-def links_of(a: np.ndarray, b: np.ndarray, first_a, size_a, first_b, size_b, doc) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted ``doc, pair, links`` of all groups; a pair is its two ids in one long."""
-    made = []
+def links_of(
+    a: np.ndarray, b: np.ndarray, first_a, size_a, first_b, size_b, doc, widths: tuple[int, int]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``doc, pair, links`` of all groups, sorted; a pair is its two ids in one long."""
+    made, (width_a, width_b) = [], widths
     sizes = size_a * size_b
     big = sizes > LINKS
     for g in np.flatnonzero(big):  # a group without common offsets for long: distinct ids only
         ids_a, times_a = np.unique(a[first_a[g]:first_a[g] + size_a[g]], return_counts=True)
         ids_b, times_b = np.unique(b[first_b[g]:first_b[g] + size_b[g]], return_counts=True)
-        pairs = (ids_a[:, None] << _WIDE | ids_b[None, :]).ravel()
-        made.append((np.full(pairs.size, doc[g]), pairs, (times_a[:, None] * times_b[None, :]).ravel()))
+        keys = (doc[g] * width_a + ids_a)[:, None] * width_b + ids_b[None, :]
+        made.append((keys.ravel(), (times_a[:, None] * times_b[None, :]).ravel()))
     small = np.flatnonzero(~big)
     lots = (np.cumsum(sizes[small]) - 1) // LINKS
     for part in np.split(small, np.flatnonzero(np.diff(lots)) + 1) if small.size else ():
         wide = np.repeat(part, size_a[part])  # the group of every A token
         at = np.repeat(first_a[part] - np.cumsum(size_a[part]) + size_a[part], size_a[part]) + np.arange(wide.size)
         rep = size_b[wide]
-        ids = np.repeat(a[at], rep)
-        inside = np.arange(rep.sum()) - np.repeat(np.cumsum(rep) - rep, rep)
-        pairs = ids << _WIDE | b[np.repeat(first_b[wide], rep) + inside]
-        holder = np.repeat(doc[wide], rep)
-        order = np.lexsort((pairs, holder))
-        holder, pairs = holder[order], pairs[order]
-        new = np.flatnonzero(np.append(True, (holder[1:] != holder[:-1]) | (pairs[1:] != pairs[:-1])))
-        made.append((holder[new], pairs[new], np.diff(np.append(new, holder.size))))
+        keys = np.repeat((doc[wide] * width_a + a[at]) * width_b, rep)
+        shift = first_b[wide] - np.cumsum(rep) + rep
+        keys += b[np.repeat(shift, rep) + np.arange(keys.size)]
+        made.append(np.unique(keys, return_counts=True))
     if not made:
         return _NONE, _NONE, _NONE
-    holder, pairs, times = (np.concatenate(m) for m in zip(*made))
-    if len(made) == 1:
-        return holder, pairs, times
-    order = np.lexsort((pairs, holder))
-    holder, pairs, times = holder[order], pairs[order], times[order]
-    new = np.flatnonzero(np.append(True, (holder[1:] != holder[:-1]) | (pairs[1:] != pairs[:-1])))
-    return holder[new], pairs[new], np.add.reduceat(times, new)
+    keys, times = (np.concatenate(m) for m in zip(*made))
+    if len(made) > 1:
+        order = np.argsort(keys, kind="stable")
+        keys, times = keys[order], times[order]
+        new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        keys, times = keys[new], np.add.reduceat(times, new)
+    holder, pairs = np.divmod(keys, width_a * width_b)
+    return holder, pairs // width_b << _WIDE | pairs % width_b, times
 
 
 class Writer:
@@ -142,8 +165,7 @@ class Writer:
         mark_a[0] = 0
         code[np.arange(a.size) + first_b[group_a]] = mark_a * self.width + a
         code[np.arange(b.size) + first_a[group_b] + size_a[group_b]] = mark_b * self.width + b
-        parts = self.parts
-        return "".join([parts[c] for c in code.tolist()])
+        return "".join(map(self.parts.__getitem__, code.tolist()))
 
 
 def aligned(docs: DataFrame, ranks: str, pieces: str, digest: bool) -> DataFrame:
@@ -157,28 +179,19 @@ def aligned(docs: DataFrame, ranks: str, pieces: str, digest: bool) -> DataFrame
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        encode_a, encode_b = byte_encoder(ranks), piece_encoder(pieces)
-        table_a, table_b = encode_a.table, encode_b.table
-        width_a, width_b = (np.array([len(t) for t in table]) for table in (table_a, table_b))
+        encode = Pair(ranks, pieces)
+        table_a, table_b = encode.a.table, encode.b.table
+        width_a, width_b = encode.widths
         writer, part, seq = Writer(len(table_a), len(table_b)), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for piece, texts in slices(batch, "text"):
+            for piece, texts in slices(batch, "text", LOT_ROWS, LOT_CHARS):
                 n, lot = len(texts), part << 32 | seq
                 seq += 1
-                ids, kept = [], []
-                for at, (text, found) in enumerate(zip(texts, encode_b.ids(texts))):
-                    if not text:
-                        continue
-                    data, other = (" " + text).encode(), encode_a.plain(" " + text)
-                    if b"".join([table_a[i] for i in other]) == data and b"".join([table_b[i] for i in found]) == data:
-                        ids.append((other, found))
-                        kept.append(at)
+                kept, (a, b), (lengths_a, lengths_b) = encode.ids(texts)
                 counts = {k: np.zeros(n, np.int64) for k in ("a", "b", "groups", "links")}
                 groups, places, links = [""] * n, [_NONE] * n, [_NONE] * n
                 dictionary, holders = _NONE, _NONE
                 if kept:
-                    lengths_a, lengths_b = (np.array([len(i[k]) for i in ids]) for k in (0, 1))
-                    a, b = (np.fromiter((x for i in ids for x in i[k]), np.int64) for k in (0, 1))
                     starts_a, starts_b = np.cumsum(lengths_a) - lengths_a, np.cumsum(lengths_b) - lengths_b
                     cut_a, cut_b = common_ends(np.cumsum(width_a[a]), np.cumsum(width_b[b]), starts_a, starts_b)
                     first_a, first_b = np.append(0, cut_a[:-1] + 1), np.append(0, cut_b[:-1] + 1)
@@ -193,7 +206,8 @@ def aligned(docs: DataFrame, ranks: str, pieces: str, digest: bool) -> DataFrame
                             a[starts_a[k]:starts_a[k] + lengths_a[k]], b[starts_b[k]:starts_b[k] + lengths_b[k]],
                             first_a[lo:hi] - starts_a[k], size_a[lo:hi], first_b[lo:hi] - starts_b[k], size_b[lo:hi])
                         groups[kept[k]] = hashlib.sha256(text.encode()).hexdigest() if digest else text
-                    holder, found, times = links_of(a, b, first_a, size_a, first_b, size_b, doc)
+                    holder, found, times = links_of(
+                        a, b, first_a, size_a, first_b, size_b, doc, (len(table_a), len(table_b)))
                     dictionary, place, holders = np.unique(found, return_inverse=True, return_counts=True)
                     edges = np.searchsorted(holder, np.arange(len(kept) + 1))
                     for k, at in enumerate(kept):
@@ -222,7 +236,7 @@ def align_tokens(docs: DataFrame, ranks: str, pieces: str, digest: bool = False)
 
     A text that is null, empty, or that one of the tokenizers does not give back byte by byte has no tokens: zeros and
     empty ``groups``. Repeated rows count each. An empty table gives no rows; other columns are ignored. Both files must
-    lie on all executors. A task holds one lot of at most 2000 documents or 8 million characters, or one longer document.
+    lie on all executors. A task holds one lot of documents, or one longer document, and the distinct pairs in it.
     """
     spark = docs.sparkSession
     rows = aligned(docs, ranks, pieces, digest)
