@@ -6,9 +6,9 @@ so every phrase lies whole in the chunk that holds its first word before the cut
 texts give equal chunks: the corpus becomes a dictionary of distinct chunks with the number of times each was parsed,
 and phrases are counted inside the distinct chunks, times that number.
 
-Phrases are counted by length. One of k words can only be frequent if both phrases of k - 1 words inside it are; a bit
-table of fixed size names these, so most rare phrases are never written. The table may pass a phrase too many, never
-one too few, and all counts are of whole strings.
+Words are counted first, then pairs, then all longer phrases at once. A phrase can only be frequent if its words, and
+then its pairs, are; a bit table of fixed size names these, so most rare phrases are never written. The table may pass a
+phrase too many, never one too few, and all counts are of whole strings.
 """
 
 import zlib
@@ -16,6 +16,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from tidewire.llm.common import map_batches, schema_of, slices, stored
 #: One word in so many is a trigger, by its checksum.
 TRIGGER = 8
 #: Chunks, or rows of counted phrases, that a task holds before it writes them out.
-HELD = 400_000
+HELD = 200_000
 #: Size of the bit table, as a power of two: 16 MB, of which the driver sees set words of 64 bits only.
 TABLE_BITS = 27
 #: Lots in which the best phrases of a language are chosen first.
@@ -88,7 +89,7 @@ def chunk_dictionary(docs: DataFrame, longest: int) -> DataFrame:
                         else:
                             held[key] = 1
                             size += len(chunk) + 100
-                    if len(held) >= HELD or size > 100_000_000:
+                    if len(held) >= HELD or size > 40_000_000:
                         yield rows(held, schema.names)
                         held, size = {}, 0
         if held:
@@ -99,11 +100,10 @@ def chunk_dictionary(docs: DataFrame, longest: int) -> DataFrame:
 
 
 def _hashes(words: pa.Array) -> np.ndarray:
-    """One 64-bit number a word, from two checksums of its bytes."""
+    """A 64-bit hash of each word."""
     distinct = words.dictionary_encode()
-    each = np.array([
-        zlib.crc32(w) << 32 | zlib.adler32(w) for w in distinct.dictionary.cast(pa.binary()).to_pylist()], np.uint64)
-    return (each * _MIX + (each >> np.uint64(29)))[distinct.indices.to_numpy()] if len(words) else np.zeros(0, np.uint64)
+    each = np.array(list(map(xxhash.xxh3_64_intdigest, distinct.dictionary.cast(pa.large_binary()).to_pylist())), np.uint64)
+    return each[distinct.indices.to_numpy()] if len(words) else np.zeros(0, np.uint64)
 
 
 def _rolled(words: np.ndarray, langs: np.ndarray, size: int) -> np.ndarray:
@@ -139,51 +139,57 @@ def bit_table(frequent: DataFrame, size: int) -> np.ndarray:
     return made.view(np.uint64)
 
 
-def counted(dictionary: DataFrame, size: int, table: np.ndarray | None, least: int) -> DataFrame:
-    """Stored ``lang, phrase, f`` of all phrases of ``size`` words with at least ``least`` occurrences."""
-    spark = dictionary.sparkSession
-    shared = spark.sparkContext.broadcast(table) if table is not None else None
+def counted(dictionary: DataFrame, sizes: list[int], table: np.ndarray | None, inner: int, least: int) -> DataFrame:
+    """Stored ``lang, phrase, f`` of all phrases of ``sizes`` words with at least ``least`` occurrences.
+
+    Only phrases whose parts of ``inner`` words are all in ``table`` are looked at.
+    """
+    shared = dictionary.sparkSession.sparkContext.broadcast(table) if table is not None else None
     schema = schema_of(dictionary, ["lang"], "phrase string, n long")
 
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        made = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        return pa.table({"lang": made["lang"], "phrase": made["phrase"], "n": made["n_sum"]})
+
+    def written(made: pa.Table):
+        return made.set_column(1, "phrase", made["phrase"].cast(pa.string())).to_batches()
+
     def run(batches):
         bits = shared.value if shared is not None else None
         held, rows = [], 0
-
-        def emit(tables):
-            summed = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
-            return pa.table({"lang": summed["lang"], "phrase": summed["phrase"].cast(pa.string()), "n": summed["n_sum"]})
-
         for batch in batches:
             words, lengths = _split(batch.column(1))
             chunk = np.repeat(np.arange(batch.num_rows), lengths)
             start = np.cumsum(lengths) - lengths
             inside = np.arange(len(words)) - start[chunk]
-            good = (inside < batch.column(2).to_numpy()[chunk]) & (inside + size <= lengths[chunk])
+            own, left = inside < batch.column(2).to_numpy()[chunk], lengths[chunk] - inside
             if bits is not None:
-                places = _rolled(_hashes(words), _hashes(batch.column(0))[chunk], size - 1)
+                places = _rolled(_hashes(words), _hashes(batch.column(0))[chunk], inner)
                 known = (bits[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63)) & np.uint64(1)).astype(bool)
-                good &= known & np.append(known[1:], False)
-            at = np.flatnonzero(good)
-            if not at.size:
-                continue
-            parts = [words.take(pa.array(at + k)) for k in range(size)]
-            phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if size > 1 else parts[0]
-            of = pa.array(chunk[at])
-            held.append(pa.table({"lang": batch.column(0).take(of), "phrase": phrase, "n": batch.column(3).take(of)}))
-            rows += at.size
-            if rows >= 4 * HELD:
-                held = [emit(held)]
+            good = own
+            for size in range(1, sizes[-1] + 1):
+                good = good & (left >= size)
+                if bits is not None and size >= inner:
+                    good &= np.append(known[size - inner:], np.zeros(size - inner, bool))
+                if size not in sizes or not (at := np.flatnonzero(good)).size:
+                    continue
+                parts = [words.take(pa.array(at + k)) for k in range(size)]
+                phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if size > 1 else parts[0]
+                of = pa.array(chunk[at])
+                held.append(pa.table({"lang": batch.column(0).take(of), "phrase": phrase, "n": batch.column(3).take(of)}))
+                rows += at.size
+            if rows >= 3 * HELD:
+                held = [summed(held)]
                 rows = held[0].num_rows
-                held[0] = held[0].set_column(1, "phrase", held[0]["phrase"].cast(pa.large_string()))
                 if rows >= HELD:
-                    yield from emit(held).to_batches()
+                    yield from written(held[0])
                     held, rows = [], 0
         if held:
-            yield from emit(held).to_batches()
+            yield from written(summed(held))
 
     found = map_batches(dictionary.select("lang", F.col("chunk").cast("string"), "own", "n"), run, schema).groupBy(
         "lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return stored(found, f"phrases-{size}")
+    return stored(found, f"phrases-{sizes[0]}")
 
 
 def _words(column: str, first: int, length: Column) -> Column:
@@ -201,16 +207,13 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     columns are ignored. The driver holds a bit table of 16 MB, at most.
     """
     dictionary = chunk_dictionary(docs, longest)
-    levels = [counted(dictionary, 1, None, least)]
-    for size in range(2, longest + 1):
-        levels.append(counted(dictionary, size, bit_table(levels[-1], size - 1), least))
+    single = counted(dictionary, [1], None, 1, least)
+    pairs = counted(dictionary, [2], bit_table(single, 1), 1, least)
+    found = pairs
+    if longest > 2:
+        found = found.unionByName(counted(dictionary, list(range(3, longest + 1)), bit_table(pairs, 2), 2, least))
+    known = single.unionByName(found)
     sizes = dictionary.groupBy("lang").agg(F.sum(F.col("n") * F.col("own")).alias("n"))
-    known = levels[0]
-    for level in levels[1:-1]:
-        known = known.unionByName(level)
-    found = levels[1]
-    for level in levels[2:]:
-        found = found.unionByName(level)
     # As frequent a phrase one word longer: if any longer one is, so is one of these.
     words = F.split("phrase", " ")
     longer = found.withColumn("w", words).where(F.size("w") > 2).select("lang", "f", F.explode(F.array(
