@@ -39,7 +39,7 @@ def engagement_outcomes(
     reason = cases({
         "decode_error IS NOT NULL": "decode_error",
         "size(_found) > 0": fill(INVALID_REASON, "offset", c.violations_text("_found")),
-        f"content_id IN ({literals(poison_ids)})": fill(POISON_REASON, "content_id"),
+        f"content_id IN ({literals(poison_ids)})" if poison_ids else "false": fill(POISON_REASON, "content_id"),
     })
     checked = computed_once(interactions, c.violations(c.interaction_rules(now)), "_found")
     return checked.selectExpr(*kept, f"{reason} AS reason").selectExpr(
