@@ -217,3 +217,47 @@ def test_a_new_checkpoint_keeps_what_an_old_one_stored(spark, records, tmp_path)
     for run in ("one", "two"):
         jobs.drain(jobs.copy_job(topic_log.stream(spark, log), out, str(tmp_path / run)))
     assert read_table(spark, out).count() == 2 * records.count()
+
+
+def test_latest_goes_by_arrival_and_not_by_time(spark, records, tmp_path):
+    log, mark, out, progress = (str(tmp_path / name) for name in ("log", "mark", "out", "p"))
+    old = records.where("offset % 2 = 0").withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 900 DAYS"))
+    late = records.where("offset % 2 = 1").withColumn("timestamp", F.col("timestamp") - F.expr("INTERVAL 900 DAYS"))
+    topic_log.append(old, log)
+    topic_log.mark_start(spark, log, mark)
+    for _ in range(2):  # started before and after the late-stamped records arrive
+        jobs.drain(jobs.copy_job(topic_log.stream_from_mark(spark, log, mark), out, progress))
+        topic_log.append(late, log)
+        topic_log.mark_start(spark, log, mark)
+    jobs.drain(jobs.copy_job(topic_log.stream_from_mark(spark, log, mark, files_per_batch=1), out, progress))
+    twice = late.unionByName(late)
+    assert same(read_table(spark, out, records.schema).select(*records.columns), twice.select(*records.columns))
+
+
+def test_meter_keeps_time_and_declared_topics_start_with_zeros(spark, records, tmp_path):
+    log, rows = str(tmp_path / "log"), []
+    topic_log.append(records.where("topic = 'user-actions'"), log)
+    declared = spark.createDataFrame([("user-actions",), ("content-interactions",)], "name string")
+
+    def slow(batch, batch_id):
+        rows.extend(batch.collect())
+        time.sleep(1.5)  # every batch takes longer than a tick
+
+    stream = meter(topic_log.stream(spark, log), tick_millis=400, history=3, topics=declared)
+    query = stream.writeStream.outputMode("append").foreachBatch(slow).option(
+        "checkpointLocation", str(tmp_path / "p")).trigger(processingTime="200 milliseconds").start()
+    with jobs.running(query):
+        deadline = time.time() + 90
+        while len(rows) < 24 and time.time() < deadline and query.isActive:
+            if len(rows) > 8 and records is not None:
+                topic_log.append(records.where("topic = 'content-interactions'"), log)
+                records = None
+            time.sleep(0.3)
+        assert query.exception() is None
+    assert len(rows) >= 24 and {r.topic for r in rows} == {"user-actions", "content-interactions"}
+    for topic in ("user-actions", "content-interactions"):
+        mine = sorted((r for r in rows if r.topic == topic), key=lambda r: r.tick)
+        assert {b.tick - a.tick for a, b in zip(mine, mine[1:])} == {400}
+        assert all(r.total == sum(x.rate for x in mine[:at + 1]) or at == 0 for at, r in enumerate(mine) if r.rate)
+    quiet = [r for r in rows if r.topic == "content-interactions"]
+    assert quiet[0].rate == 0 and quiet[0].total == 0

@@ -31,6 +31,20 @@ def src_earliest_resume(spark, folder):
     return stored.select("event_id", "topic")
 
 
+@register("src_latest_arrival", model("env", 'SELECT event_id, topic FROM env WHERE "offset" % 2 = 1'))
+def src_latest_arrival(spark, folder):
+    """A monitor that starts when half of the records, of all times, have arrived."""
+    log, mark, out, checkpoint = (fresh_path(spark, name) for name in ("log", "mark", "copy", "progress"))
+    records = envelope.topic_records(tables.social_events(spark, folder, *ROUTED))
+    odd = F.col("offset") % 2 == 1
+    topic_log.append(records.where(~odd), log)
+    topic_log.mark_start(spark, log, mark)
+    topic_log.append(records.where(odd), log)
+    jobs.drain(jobs.copy_job(topic_log.stream_from_mark(spark, log, mark), out, checkpoint))
+    stored = codec.decode(read_table(spark, out), schemas.USER_ACTION, schemas.CONTENT_INTERACTION)
+    return stored.select("event_id", "topic")
+
+
 @register("stream_engagement", model("judged", """
 SELECT event_id, topic, partition, "offset", status, reason, attempts FROM judged"""))
 def stream_engagement(spark, folder):

@@ -43,6 +43,32 @@ def stream(
     return from_latest(records, after) if after else records
 
 
+def mark_start(spark: SparkSession, path: str, mark: str) -> None:
+    """Note the files the log has now, as a table at ``mark``: what a monitor that starts now must not see.
+
+    Arrival is a matter of files, not of the times their records carry. A mark that exists stays as it is, so a
+    monitor that resumes keeps its own start.
+    """
+    files = spark.read.schema(schemas.TOPIC_RECORD).parquet(path).select(F.col("_metadata.file_path").alias("file")).distinct()
+    files.write.mode("ignore").parquet(mark)
+
+
+def stream_from_mark(spark: SparkSession, path: str, mark: str, *topics: str, files_per_batch: int | None = None) -> DataFrame:
+    """Records that arrived after ``mark_start``, whatever their times: the log's files without those of the mark.
+
+    Use a mark and a checkpoint of its own for every start of a monitor that never replays. The names of the marked
+    files are joined by Spark, which sends them to all tasks only if their measured size allows.
+    """
+    reader = spark.readStream.schema(schemas.TOPIC_RECORD)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    records = reader.parquet(path).withColumn("_file", F.col("_metadata.file_path"))
+    if topics:
+        records = records.where(F.col("topic").isin(*topics))
+    seen = spark.read.schema("file string").parquet(mark)
+    return records.join(seen, F.col("_file") == F.col("file"), "left_anti").drop("_file")
+
+
 def from_latest(records: DataFrame, start: str, time: str = "timestamp") -> DataFrame:
     """Only records after the start, a UTC wall time; the filter reaches the scan."""
     limit = f"TIMESTAMP_NTZ {literal(start)}"

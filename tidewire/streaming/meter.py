@@ -1,8 +1,11 @@
 """Wall-clock throughput meter: once a second, rate, total and the last thirty rates per topic.
 
-The tick comes from a processing-time timer, so an idle topic still emits
-zeros. A topic nobody has written to yet has no state and emits nothing.
-Only per-task counts reach the stateful step, never the records themselves.
+The tick comes from a processing-time timer that is re-armed from its own
+time, so ticks neither drift nor get lost: a batch that is late catches up,
+with a zero row for every tick it has passed over. Topics that are declared
+start with the job and emit zeros before their first record; any other topic
+starts with its first record. Only per-task counts reach the stateful step,
+never the records themselves.
 """
 
 from collections.abc import Iterator
@@ -21,6 +24,7 @@ TICK_MILLIS = 1000
 ARRIVALS = T.StructType([T.StructField("topic", T.StringType()), T.StructField("n", T.LongType())])
 SNAPSHOT = T.StructType([
     T.StructField("topic", T.StringType()),
+    T.StructField("tick", T.LongType()),
     T.StructField("rate", T.LongType()),
     T.StructField("total", T.LongType()),
     T.StructField("history", T.ArrayType(T.LongType())),
@@ -59,6 +63,10 @@ class Meter(StatefulProcessor):
         self._handle = handle
         self._state = handle.getValueState("meter", _STATE)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._state.update((0, 0, []))
+        self._arm(timerValues)
+
     def handleInputRows(self, key, rows, timerValues):
         arrived = sum(row.n for row in rows)
         if self._state.exists():
@@ -71,10 +79,13 @@ class Meter(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         rate, total, history = self._state.get()
-        history = [*history, rate][-self._history:]
+        history, tick, now = list(history), expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentProcessingTimeInMs()
+        while tick <= now:
+            history = [*history, rate][-self._history:]
+            yield Row(topic=key[0], tick=tick, rate=rate, total=total, history=history)
+            rate, tick = 0, tick + self._tick_millis
         self._state.update((0, total, history))
-        self._arm(timerValues)
-        yield Row(topic=key[0], rate=rate, total=total, history=history)
+        self._handle.registerTimer(tick)
 
     def close(self) -> None:
         pass
@@ -83,8 +94,17 @@ class Meter(StatefulProcessor):
         self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self._tick_millis)
 
 
-def meter(records: DataFrame, tick_millis: int = TICK_MILLIS, history: int = HISTORY) -> DataFrame:
-    """Snapshots per topic and tick; needs the RocksDB state store provider."""
+def meter(
+    records: DataFrame, tick_millis: int = TICK_MILLIS, history: int = HISTORY, topics: DataFrame | None = None
+) -> DataFrame:
+    """Snapshots per topic and tick (milliseconds since 1970); needs the RocksDB state store provider.
+
+    ``topics`` names the declared topics (column ``name``, such as the topic catalog): these tick from the start. The
+    ticks of a topic follow each other by ``tick_millis`` without gaps, however late a batch runs.
+    """
+    declared = None
+    if topics is not None:
+        declared = topics.selectExpr("name AS topic", "0L AS n").groupBy("topic")
     return (
         arrivals(records)
         .groupBy("topic")
@@ -93,5 +113,6 @@ def meter(records: DataFrame, tick_millis: int = TICK_MILLIS, history: int = HIS
             outputStructType=SNAPSHOT,
             outputMode="Append",
             timeMode="processingTime",
+            initialState=declared,
         )
     )
