@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from tidewire import schemas
+from tidewire.functions import codec
 from tidewire.operators import catalog, dead_letters, dedup, envelope, outcomes, skew, trends, views
-from tidewire.plans.oracle import NOW, model
+from tidewire.plans.oracle import model
 from tidewire.plans.records import ROUTED, interaction_records
 from tidewire.plans.registry import register
 from tidewire.session import fresh_path
 from tidewire.sources import tables, topic_log
-from tidewire.streaming import jobs
+from tidewire.streaming import compaction, jobs, ordering
 from tidewire.streaming.sinks import read_table
 
 HORIZON = 600
@@ -158,3 +159,30 @@ def dead_letters_query(spark, folder):
     return every.selectExpr(
         "get_json_object(value, '$.eventId') AS event_id", "topic", "partition", "offset", "reason", "attempts", "round",
         "coalesce(fate, 'dead') AS fate")
+
+
+@register("stream_compacted_feed", model("feed", 'SELECT topic, event_type, primary_key, detail, partition, "offset" FROM feed'))
+def stream_compacted_feed(spark, folder):
+    """The feed of a job that ran in three parts, its first batches compacted and their folders deleted."""
+    log, out, checkpoint = (fresh_path(spark, name) for name in ("log", "feed", "progress"))
+    records = envelope.topic_records(tables.social_events(spark, folder, *ROUTED))
+    for part in range(3):
+        topic_log.append(records.where(F.col("offset") % 3 == part), log)
+        jobs.drain(jobs.feed_job(topic_log.stream(spark, log), out, checkpoint))
+    compaction.compact(spark, out, "stream_name")
+    compaction.vacuum(spark, out)
+    return read_table(spark, out).select("topic", "event_type", "primary_key", "detail", "partition", "offset")
+
+
+@register("stream_in_order", model("env", """
+SELECT topic, partition, "offset", event_id FROM env WHERE topic = 'user-actions'"""))
+def stream_in_order(spark, folder):
+    """Records that arrive by falling offset, those of each third offset twice, leave in order and once."""
+    log, out, checkpoint = (fresh_path(spark, name) for name in ("log", "ordered", "progress"))
+    records = envelope.topic_records(tables.social_events(spark, folder, schemas.USER_ACTION))
+    for part in (F.col("offset") % 3 > 0, F.col("offset") % 3 == 0, F.col("offset") % 3 == 0):
+        topic_log.append(records.where(part).orderBy(F.desc("offset")), log)
+        stream = ordering.in_order(topic_log.stream(spark, log, schemas.USER_ACTIONS_TOPIC), most=1_000_000)
+        jobs.drain(jobs.copy_job(stream, out, checkpoint))
+    stored = codec.decode(read_table(spark, out).where("missing = 0"), schemas.USER_ACTION)
+    return stored.select("topic", "partition", "offset", "event_id")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidewire.operators.outcomes import BACK_OFF_SECONDS, RETRIES
+from tidewire.streaming import compaction
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -72,8 +73,11 @@ def line_sink(path: str) -> BatchSink:
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """All batches of a table sink; ``batch_id`` and the partition columns come from the folders.
 
-    Give the schema where every batch may have been empty: empty batches leave no file to take it from.
+    Give the schema where every batch may have been empty: empty batches leave no file to take it from. A table that
+    has been compacted is read by its manifest.
     """
+    if compaction.is_compacted(spark, path):
+        return compaction.read_compacted(spark, path, schema)
     reader = spark.read.option("basePath", path)
     if schema:
         reader = reader.schema(StructType([*schema, StructField("batch_id", IntegerType())]))
