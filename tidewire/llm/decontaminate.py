@@ -64,7 +64,6 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
         F.coalesce(F.sum(F.size("items")), F.lit(0)).alias("items"), F.collect_set(F.size("gram")).alias("lengths"),
     ).first()  # one row; lengths are at most ``size`` numbers
     small = known.n <= BROADCAST_GRAMS and 2 * known.chars + 16 * known.items <= BROADCAST_BYTES
-    side = F.broadcast(grams) if small else grams
     worded = docs.select("doc_id", F.xxhash64("text").alias("text_key"), once(words(F.col("text"))).alias("words"))
     # The position -1 stands for the document, so documents without windows stay. Keys are taken from the exploded
     # rows, not inside array lambdas: that compiles.
@@ -79,13 +78,21 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
     scanned = placed.select(
         "doc_id", "text_key", "words", "position",
         *([F.inline(F.array(*runs))] if len(runs) > 1 else [runs[0]["length"].alias("length"), runs[0]["key"].alias("key")]))
-    met = scanned.join(side, "key", "left").where(
-        F.when(at < 0, F.col("length") == (lengths[0] if lengths else 0)).otherwise(
-            F.slice("words", F.greatest(at, F.lit(0)) + 1, F.col("length")) == F.col("gram")))
-    return met.select(
+    first = F.col("length") == (lengths[0] if lengths else 0)
+    if small:
+        met = scanned.join(F.broadcast(grams), "key", "left").where(
+            F.when(at < 0, first).otherwise(F.slice("words", F.greatest(at, F.lit(0)) + 1, F.col("length")) == F.col("gram")))
+    else:  # a window takes its own words through the shuffle, not those of its document
+        heads = scanned.where((at < 0) & first).select("doc_id", "text_key", "words", "position", "length").withColumn(
+            "items", F.lit(None).cast(grams.schema["items"].dataType))
+        windows = scanned.where(F.col("key").isNotNull()).select(
+            "doc_id", "text_key", "position", "length", "key", F.slice("words", at + 1, F.col("length")).alias("window"))
+        met = heads.unionByName(windows.join(grams, "key").where(F.col("window") == F.col("gram")).select(
+            "doc_id", "text_key", F.lit(None).cast("array<string>").alias("words"), "position", "length", "items"))
+    met = met.select(
         "doc_id", "text_key", F.when(F.col("position") < 0, F.size("words")).alias("size"),
-        F.when(F.col("position") >= 0, F.struct("position", F.col("length"))).alias("hit"), "items",
-    ).groupBy("doc_id", "text_key").agg(
+        F.when(F.col("position") >= 0, F.struct("position", F.col("length"))).alias("hit"), "items")
+    return met.groupBy("doc_id", "text_key").agg(
         F.count("size").alias("n_rows"), F.max("size").cast("long").alias("n_words"), F.collect_set("hit").alias("hits"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
 

@@ -7,7 +7,6 @@ through prefix sums, and no task walks a queue.
 """
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidewire.llm.common import map_batches, schema_of, slices, stored
+from tidewire.llm.encoders import byte_encoder
 
 #: Rounds whose slices are ordered together: bounds a window group by the tokens of so many rounds.
 ROUNDS = 64
@@ -24,21 +24,6 @@ ROUNDS = 64
 GROUPS = 4096
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str):
-    """The vocabulary of a ``.tiktoken`` rank file; the special string gets the first free id."""
-    import base64
-
-    import public_tokenizers
-    import tiktoken
-
-    with open(path, "rb") as file:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    return tiktoken.Encoding(
-        "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-        special_tokens={"<|endoftext|>": len(ranks)})
-
-
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Stored rows ``row, part, queue, doc_id, n, before, ids``: ids as 16-bit integers, ``before`` the tokens of the
     same queue earlier in the same task."""
@@ -47,13 +32,13 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     types = list(to_arrow_schema(schema))[2:]
 
     def run(batches):
-        encode, part, row, sent = encoder(tokenizer), TaskContext.get().partitionId(), 0, {}
+        encode, part, row, sent = byte_encoder(tokenizer), TaskContext.get().partitionId(), 0, {}
         for batch in batches:
             for piece, texts in slices(batch, "text"):
                 queues = piece.column(1).to_pylist()
                 made = ([], [], [], [], [])
                 for queue, text in zip(queues, texts):
-                    ids = encode.encode(text, allowed_special="all") if text else []
+                    ids = encode.ids(text)
                     ids.append(end_id)
                     before = sent.get(queue, 0)
                     sent[queue] = before + len(ids)
