@@ -2,6 +2,7 @@
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -55,6 +56,18 @@ def stored(df: DataFrame, label: str, *partitioned: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of every query that ends in here: what it made has been stored."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def release(table: DataFrame) -> None:
     """Delete a table that ``stored`` wrote without partitions, once all that is read from it has been stored."""
     files = table.inputFiles()

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewire.llm.common import map_batches, map_texts, release, schema_of, slices, stored
+from tidewire.llm.common import map_batches, map_texts, release, schema_of, shuffles_deleted, slices, stored
 
 ANCHOR = 4
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -233,9 +233,10 @@ def substring_dedup(docs: DataFrame, size: int = 20) -> DataFrame:
     doc_ids come first. Null, empty and short texts lose nothing. Other columns are ignored. Windows are told apart
     by 128 bits of hash.
     """
-    sketched = sketches(docs, size)
-    firsts = based(sketched)
-    texts, spans = repeated_spans(docs, sketched, firsts, size)
+    with shuffles_deleted(docs.sparkSession):
+        sketched = sketches(docs, size)
+        firsts = based(sketched)
+        texts, spans = repeated_spans(docs, sketched, firsts, size)
     given = spans.groupBy("base").agg(F.collect_list(F.struct("start", "n")).alias("given"))
 
     def judge(text, found):
