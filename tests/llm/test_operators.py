@@ -9,6 +9,8 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidewire.llm import (
@@ -60,6 +62,29 @@ def test_packing_holds_target_shares_while_queues_last(spark):
     assert abs(share - 0.75) < 0.02
 
 
+def test_packing_keeps_the_shares_of_many_small_sources(spark, monkeypatch):
+    """Sources of one slice and of several: in every tenth of the windows each class of sizes has its share."""
+    sizes = [101 + (i * 7) % 1801 for i in range(3000)]
+    rows = spark.createDataFrame(
+        [(i * 4 + p, f"s{i}", sum(divmod(size, 4)) if p == 0 else size // 4, i % 3) for i, size in enumerate(sizes)
+         for p in range(4)], "row long, queue string, n long, part int")
+    before = Window.partitionBy("queue", "part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    tokens = rows.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    planned = packing.schedule(tokens, 2048, None, 256).collect()
+    total = sum(sizes)
+    ends = sorted((r.position, r.position + r.length) for r in planned)
+    assert ends[0][0] == 0 and ends[-1][1] == total and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    got = Counter()
+    for r in planned:
+        got[r.position * 10 // total, sizes[int(r.queue[1:])] // 500] += r.length
+    for size_class in range(4):
+        of_class = [s for s in sizes if s // 500 == size_class]
+        for tenth in range(10):
+            # Independent phases: the spread of a sum over sources of at most a slice each.
+            off = got[tenth, size_class] - sum(of_class) / 10
+            assert abs(off) < 4 * 256 * len(of_class) ** 0.5
+
+
 def test_decontamination(docs, nothing, spark):
     items = [(1, " ".join(PASSAGE.split()[10:30])), (12, "ONE two"), (3, None), (4, ""), (5, "not anywhere " * 9)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")

@@ -1,9 +1,10 @@
 """Mixture-controlled packing: deficit round-robin over source queues into windows of fixed length.
 
-Every round gives each queue its quantum, the window length times its target share. A queue sends its next slice as
-soon as its saved-up quanta cover it and carries the rest as deficit. With all queue lengths known, the round of a
-slice has a closed form, ceil(queue tokens up to its end / quantum), so deficits carry across windows and tasks
-through prefix sums, and no task walks a queue.
+Every round gives each queue its quantum, the window length times its target share, an exact fraction. A queue sends
+its next slice as soon as its saved-up quanta cover it but for a credit below the slice's length, and carries the rest
+as deficit. The credit comes from a hash of the queue's name, so that queues of one slice do not all end in the last
+round. With all queue lengths known, the round of a slice has a closed form, ceil((queue tokens up to its end - credit)
+/ quantum), so deficits carry across windows and tasks through prefix sums, and no task walks a queue.
 """
 
 import zlib
@@ -20,6 +21,8 @@ from tidewire.llm.encoders import byte_encoder
 
 #: Rounds whose slices are ordered together: bounds a window group by the tokens of so many rounds.
 ROUNDS = 64
+#: Units of the largest target; the others are rounded to them.
+TARGET_UNITS = 1_000_000_000
 #: Groups of rounds whose sums are added up together.
 GROUPS = 4096
 
@@ -58,21 +61,26 @@ def schedule(tokens: DataFrame, window: int, targets: dict[str, float] | None, l
     sums = tokens.groupBy("part", "queue").agg(F.sum("n").alias("sum"))
     earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = sums.groupBy("queue").agg(F.sum("sum").alias("weight"))
-    if targets is not None:  # a queue without a target gets what is left over after the others: the least quantum
-        given = spark.createDataFrame([(k, float(v)) for k, v in targets.items()], "queue string, target double")
-        totals = totals.join(given, "queue", "left").withColumn("weight", F.coalesce("target", F.lit(0.0))).drop("target")
-    whole = totals.agg(F.coalesce(F.sum("weight"), F.lit(1))).first()[0]
-    quanta = totals.select(
-        "queue", F.greatest(F.lit(1), F.round(window * F.col("weight") / F.lit(whole))).cast("long").alias("quantum"))
+    if targets is not None:  # a queue without a target gets what is left over after the others: a token a round
+        largest = max(map(float, targets.values()), default=0.0) or 1.0
+        given = spark.createDataFrame(
+            [(k, int(float(v) / largest * TARGET_UNITS)) for k, v in targets.items()], "queue string, target long")
+        totals = totals.drop("weight").join(given, "queue", "left").withColumn("weight", F.coalesce("target", F.lit(0))).drop("target")
+    whole = totals.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    weight = F.when(F.col("weight") > 0, F.col("weight")).otherwise(max(1, whole // window))
+    step = F.greatest(F.lit(least), F.expr(f"CAST(CAST({window} AS DECIMAL(10,0)) * weight div {max(1, whole)} AS BIGINT)"))
+    quanta = totals.withColumn("weight", weight.cast("long")).withColumn("step", step.cast("long"))
     starts = sums.withColumn("base", F.coalesce(F.sum("sum").over(earlier), F.lit(0))).join(quanta, "queue").select(
-        "part", "queue", "base", "quantum")
-    step = F.greatest(F.col("quantum"), F.lit(least))
+        "part", "queue", "base", "weight", "step")
     sliced = tokens.select("row", "part", "queue", "n", "before").join(starts, ["part", "queue"]).select(
-        "row", "queue", "n", "quantum", (F.col("base") + F.col("before")).alias("at"), step.alias("step"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, step)).alias("start"))
+        "row", "queue", "n", "weight", (F.col("base") + F.col("before")).alias("at"), "step",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.col("step"))).alias("start"))
+    # Tokens and weights stay below 10^18, so the products are exact in 38 digits.
+    share = f"CAST({window} AS DECIMAL(10,0)) * CAST(weight AS DECIMAL(18,0))"
+    owed = f"CAST(end - pmod(xxhash64(queue), length) AS DECIMAL(18,0)) * CAST({max(1, whole)} AS DECIMAL(18,0))"
     slices_ = sliced.withColumn("length", F.least("step", F.col("n") - F.col("start"))).withColumn(
         "end", F.col("at") + F.col("start") + F.col("length")).withColumn(
-        "round", F.expr("(end + quantum - 1) div quantum")).withColumn(
+        "round", F.expr(f"({owed} + {share} - 1) div ({share})")).withColumn(
         "group", F.expr(f"round div {ROUNDS}")).select("row", "queue", "start", "length", "end", "round", "group")
     # Tokens sent before each group of rounds, added up in two steps.
     groups = slices_.groupBy("group").agg(F.sum("length").alias("sum")).withColumn("over", F.expr(f"group div {GROUPS}"))
@@ -105,8 +113,8 @@ def pack(
 
     Each document's ids, then ``end_id``, are cut into slices of at most the quantum of its source (``least`` or
     more), sent by deficit round-robin and cut at the ends of the windows; every id lies in one piece. ``targets``
-    gives the shares of the sources (default: their shares of all tokens, so all queues end together); a queue that
-    runs dry is skipped. All sequences are full but the last few, whose lengths are falling powers of two.
+    gives the shares of the sources (default: their shares of all tokens, so all queues last to the end, within a slice
+    each); a queue that runs dry is skipped. Queues that send in the same round do so by name. All sequences are full but the last few, whose lengths are falling powers of two.
     ``tokenizer`` is the path of a rank file on all executors. A null text is empty and yields its end id alone; null
     sources form one queue; repeated rows are packed each; an empty table gives no rows; other columns are ignored.
     """
