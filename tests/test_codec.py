@@ -40,6 +40,21 @@ def test_what_cannot_be_read_keeps_its_row_and_says_why(spark):
     assert [r.decode_error for r in rows] == [None, codec.NULL_PAYLOAD, bad, bad, bad, bad, bad]
 
 
+def test_objects_and_lists_are_no_text(spark):
+    fine = GOOD % '"2024-01-01T00:00:00Z"'
+    values = ['{"a":1}', "[1]", " { }", '"{\\"a\\":1}"', '"[x"', "17", "true", "null"]
+    rows = decode_values(spark, *(fine.replace('"u"', v) for v in values))
+    bad = codec.UNDECODABLE
+    assert [r.decode_error for r in rows] == [bad, bad, bad, None, None, None, None, None]
+    assert [r.user_id for r in rows[3:]] == ['{"a":1}', "[x", "17", "true", None]
+    system = ('{"eventId":"00000000-0000-4000-8000-000000000001","occurredAt":"2024-01-01T00:00:00Z",'
+              '"systemEventType":"RECOMMENDATION_MODEL_UPDATED","subjectId":"s","metadata":%s}')
+    rows = decode_values(
+        spark, *(system % m for m in ('{"k":"[v"}', '{"k":{"a":1}}', '{"k":[1]}', '{"k":null}', "null", "[]")),
+        category=schemas.SYSTEM)
+    assert [r.decode_error for r in rows] == [None, bad, bad, None, None, bad]
+
+
 def test_missing_and_unknown_fields(spark):
     row, = decode_values(spark, '{"userId":"u","later":{"a":1}}')
     assert row.decode_error is None and row.user_id == "u" and row.event_id is None

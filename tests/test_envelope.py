@@ -1,10 +1,12 @@
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
-from conftest import action, interaction, system_event
+from conftest import NOW, action, interaction, system_event
 from pyspark.sql import functions as F
 
 from tidewire.operators import envelope
+from tidewire.session import released
 
 START = datetime(2024, 1, 1)
 
@@ -87,6 +89,30 @@ def test_topic_records_and_search(spark, events):
     assert first.offset == 0 and first.partition == min(r.partition for r in log.collect())
 
 
+def test_published_records_are_found_with_their_offsets(spark, events):
+    rows = [action(user_id=f"user-{i % 4}", occurred_at=NOW + timedelta(minutes=i * 37 % 600),
+                   action_type=("POST_CREATED", "USER_FOLLOWED")[i % 3 == 0]) for i in range(120)]
+    rows += [action(user_id="user-1", occurred_at=NOW, action_type="USER_FOLLOWED") for _ in range(30)]
+    sent = envelope.publishable(events(*rows))
+    wanted = {r.event_id: (r.topic, r.partition, r.offset) for r in envelope.assign_offsets(sent).where(
+        "key = 'user-1' AND action_type = 'USER_FOLLOWED'").collect()}
+    assert len(wanted) == 40
+    for span in ("hour", "day", "minute"):
+        found = envelope.find_published(sent, "key = 'user-1' AND action_type = 'USER_FOLLOWED'", span=span).collect()
+        assert {r.event_id: (r.topic, r.partition, r.offset) for r in found} == wanted
+    assert envelope.find_published(sent, "key = 'nobody'").count() == 0
+
+
+def test_tables_are_deleted_with_their_block(spark, events):
+    with released(spark):
+        placed = envelope.assign_offsets(envelope.publishable(events(action(), action())))
+        files = placed.inputFiles()
+        assert placed.count() == 2 and files and all(Path(f.removeprefix("file:")).exists() for f in files)
+    assert not any(Path(f.removeprefix("file:")).exists() for f in files)
+    kept = envelope.assign_offsets(envelope.publishable(events(action())))
+    assert kept.count() == 1
+
+
 def brute_audit(rows):
     out = {}
     for topic, key in {(r[0], r[1]) for r in rows}:

@@ -85,6 +85,19 @@ def test_consumers_of_one_topic_each_see_every_record(spark, records, now, tmp_p
     assert read_table(spark, str(tmp_path / "copy")).count() == records.count()
 
 
+def test_feed_puts_aside_what_it_cannot_read(spark, records, tmp_path):
+    log, out, aside, progress = (str(tmp_path / name) for name in ("log", "feed", "rejects", "progress"))
+    spoiled = records.withColumn("value", F.expr("CASE WHEN offset % 3 = 0 THEN left(value, 9) ELSE value END"))
+    topic_log.append(spoiled, log)
+    for _ in range(2):  # a second run finds nothing new
+        jobs.drain(jobs.feed_job(topic_log.stream(spark, log), out, progress, rejects_path=aside))
+    items, rejects = read_table(spark, out), read_table(spark, aside)
+    wanted = feed.feed_rejects(spoiled)
+    assert same(items.select(*feed.feed_from_records(spoiled).columns), feed.feed_from_records(spoiled))
+    assert rejects.count() > 0 and same(rejects.select(*wanted.columns), wanted)
+    assert items.count() + rejects.count() == records.count()
+
+
 def test_restart_resumes_where_it_stopped(spark, records, tmp_path):
     log, out, progress = (str(tmp_path / name) for name in ("log", "out", "progress"))
 

@@ -1,7 +1,8 @@
 """JSON wire format of events: no type header, camelCase names, UTC instants.
 
 ``decode`` never fails a job. A value that cannot be read as the expected type
-keeps its envelope and carries a reason in ``decode_error``.
+keeps its envelope and carries a reason in ``decode_error``. A text field takes any
+single value, as numbers and truth values have a text form, but no object or list.
 """
 
 from pyspark.sql import DataFrame
@@ -30,6 +31,26 @@ def encode_any(*categories: str) -> str:
     return cases({f"category = {literal(name)}": encode(name) for name in categories or schemas.CATEGORIES})
 
 
+def _nested(value: str, fields: dict[str, str]) -> str:
+    """Whether a field that should hold a single value holds an object or a list; null if it cannot be told.
+
+    The reader gives both as their JSON text, so a text that begins like one is looked up in the value itself. Few
+    texts do, and only their values are parsed again.
+    """
+    tests = []
+    for name, column in fields.items():
+        found = f"try_variant_get(try_parse_json({value}), '$.{name}'"
+        if column == "metadata":
+            begins = rf"exists(map_values(r.json.{name}), v -> rlike(v, r'^[{{\[]'))"
+            kinds = f"exists(map_values({found}, 'map<string, variant>')), v -> rlike(schema_of_variant(v), '^(OBJECT|ARRAY)'))"
+        else:
+            begins = rf"rlike(r.json.{name}, r'^[{{\[]')"
+            kinds = f"rlike(schema_of_variant({found}, 'variant')), '^(OBJECT|ARRAY)')"
+        if column != "occurred_at":
+            tests.append(f"({begins} AND {kinds})")
+    return " OR ".join(tests)
+
+
 def decode(records: DataFrame, *categories: str, value: str = "value") -> DataFrame:
     """Replace ``value`` by typed event columns and ``decode_error``.
 
@@ -50,11 +71,12 @@ def decode(records: DataFrame, *categories: str, value: str = "value") -> DataFr
     # Text, then time, each taken once from what came before.
     texts = f"transform(array({parsed}), j -> struct(j, try_variant_get(j.occurredAt, '$', 'string') AS text))"
     times = f"transform({texts}, r -> struct(r.j AS json, r.text AS text, {parse_instant('r.text')} AS time))"
-    raw = computed_once(records, f"named_struct('absent', {value} IS NULL, 'read', {times}[0])", "_raw").selectExpr(
+    judged = f"transform({times}, r -> struct(r.json, r.text, r.time, {_nested(value, fields)} AS nested))"
+    raw = computed_once(records, f"named_struct('absent', {value} IS NULL, 'read', {judged}[0])", "_raw").selectExpr(
         *kept, "_raw.absent AS _absent", "_raw.read AS _raw"
     )
 
-    columns, broken = [], ["_raw.json IS NULL", "_raw.json._corrupt IS NOT NULL"]
+    columns, broken = [], ["_raw.json IS NULL", "_raw.json._corrupt IS NOT NULL", "_raw.nested"]
     for name, column in fields.items():
         if column == "occurred_at":
             columns.append("_raw.time AS occurred_at")

@@ -48,8 +48,10 @@ def assign_offsets(records: DataFrame, order_by: tuple[str, ...] = ("occurred_at
     keys are split by arrival), each range is sorted on its own, and the
     position inside a range plus the count of the ranges before it gives the
     offset. The ranged rows are stored once, because the counts and the offsets
-    must see the same ranges. The table of range starts has at most one row
-    per range and topic partition, so it is broadcast.
+    must see the same ranges; ``session.released`` deletes them. The table of range starts has at most one row
+    per range and topic partition, so it is broadcast. The number of ranges is
+    the session's (``spark.sql.adaptive.coalescePartitions.initialPartitionNum``,
+    else ``spark.sql.shuffle.partitions``): set it high, adaptive execution merges small ranges before the sort.
     """
     sort_key = ["topic", "partition", *order_by, "_arrival"]
     ranged = (
@@ -131,6 +133,31 @@ def find_records(records: DataFrame, key: str, contained: str) -> DataFrame:
     return records.where((F.col("key") == key) & F.col("value").contains(contained))
 
 
+def find_published(
+    records: DataFrame, found: str, order_by: tuple[str, ...] = ("occurred_at", "event_id"), span: str = "hour"
+) -> DataFrame:
+    """The ``publishable`` events that meet the condition ``found``, with the ``offset`` they will have.
+
+    The topic is not numbered for a few records. Counts per partition and span of the first ordering column tell how
+    many records precede a span; only the spans that hold a record found are put in order, by ``assign_offsets``, with
+    no more than the ordering columns. Those spans may hold any share of the topic.
+    """
+    place = ["topic", "partition"]
+    marked = records.select(
+        *place, *order_by, F.date_trunc(span, F.col(order_by[0])).alias("_span"),
+        F.expr(f"coalesce({found}, false)").alias("_found"))
+    counts = marked.groupBy(*place, "_span").agg(F.count("*").alias("_size"), F.max("_found").alias("_holds"))
+    earlier = W.partitionBy(*place).orderBy("_span").rowsBetween(W.unboundedPreceding, -1)
+    left_out = F.sum(F.when(~F.col("_holds"), F.col("_size")).otherwise(0)).over(earlier)
+    spans = counts.withColumn("_before", F.coalesce(left_out, F.lit(0))).where("_holds").select(
+        *(F.col(name).alias(f"_of_{name}") for name in place), F.col("_span").alias("_of_span"), "_before")
+    same = F.col("_span").eqNullSafe(F.col("_of_span"))
+    for name in place:
+        same &= F.col(name).eqNullSafe(F.col(f"_of_{name}"))
+    placed = assign_offsets(marked.join(spans, same).select(*place, *order_by, "_found", "_before"), order_by)
+    return placed.where("_found").withColumn("offset", F.col("offset") + F.col("_before")).drop("_found", "_before")
+
+
 def key_order_audit(
     records: DataFrame, order_by: tuple[str, ...] = ("occurred_at", "event_id"), block: int = 1_000_000
 ) -> DataFrame:

@@ -60,16 +60,31 @@ def feed_items(events: DataFrame) -> DataFrame:
     )
 
 
+def decoded(records: DataFrame) -> DataFrame:
+    """Records of both topics, read in one pass instead of one per topic; ``raw_value`` keeps what was sent."""
+    of_feed = records.where(F.col("topic").isin(schemas.USER_ACTIONS_TOPIC, schemas.CONTENT_INTERACTIONS_TOPIC))
+    return decode(of_feed.withColumn("raw_value", F.col("value")), schemas.USER_ACTION, schemas.CONTENT_INTERACTION)
+
+
+def readable(read: DataFrame) -> DataFrame:
+    """Feed items of ``decoded`` records."""
+    return feed_items(read.where(F.col("decode_error").isNull()))
+
+
+def rejects(read: DataFrame) -> DataFrame:
+    """The ``decoded`` records that could not be read: their place, key and value as sent, and the reason."""
+    return read.where(F.col("decode_error").isNotNull()).select(
+        "topic", "partition", "offset", "key", F.col("raw_value").alias("value"), F.col("decode_error").alias("reason"))
+
+
 def feed_from_records(records: DataFrame) -> DataFrame:
-    """Feed items of raw topic records; records that do not decode are left out.
+    """Feed items of raw topic records; what cannot be read is in ``feed_rejects``."""
+    return readable(decoded(records))
 
-    Both topics are read in one pass over the records instead of one per topic.
-    """
-    return feed_items(decode(
-        records.where(F.col("topic").isin(schemas.USER_ACTIONS_TOPIC, schemas.CONTENT_INTERACTIONS_TOPIC)),
-        schemas.USER_ACTION,
-        schemas.CONTENT_INTERACTION,
-    ).where(F.col("decode_error").isNull()))
+
+def feed_rejects(records: DataFrame) -> DataFrame:
+    """Records of the feed's topics that cannot be read. Each record is an item or a reject."""
+    return rejects(decoded(records))
 
 
 def newest_per_stream(feed: DataFrame, size: int = PANEL_SIZE, newest_by: tuple[str, ...] = ("occurred_at",)) -> DataFrame:

@@ -136,7 +136,7 @@ SELECT event_id,
   CAST(least(ceil(k / 30.0), 2) AS BIGINT) AS capped,
   epoch_us(TIMESTAMP '2024-01-30 00:00:00' - occurred_at) AS elapsed_us,
   occurred_at + INTERVAL 7 DAY AS kept_until,
-  true AS uuid_shaped,
+  k % 5 <> 0 AS uuid_shaped,
   CASE category WHEN 'UserActionEvent' THEN 'userId' WHEN 'ContentInteractionEvent' THEN 'contentId' END AS key_field,
   ['CONTENT_LIKED', 'CONTENT_COMMENTED', 'CONTENT_SHARED'][k % 3 + 1] AS picked,
   '1,2,' || k AS last_three,
@@ -170,7 +170,8 @@ def scalar_functions(spark, folder):
         F.least(F.ceil(k / 30), F.lit(2)).cast("bigint").alias("capped"),
         elapsed.alias("elapsed_us"),
         (F.col("occurred_at") + F.expr("INTERVAL 7 DAYS")).alias("kept_until"),
-        F.expr(is_uuid("event_id")).alias("uuid_shaped"),
+        # One id in five is a digit short.
+        F.expr(is_uuid("IF(k % 5 = 0, left(event_id, 35), event_id)")).alias("uuid_shaped"),
         F.element_at(keys, F.col("category")).alias("key_field"),
         F.element_at(F.array(*map(F.lit, schemas.INTERACTION_TYPES)), k % 3 + 1).alias("picked"),
         F.array_join(F.slice(appended, 2, 3).cast("array<string>"), ",").alias("last_three"),

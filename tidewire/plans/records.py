@@ -65,14 +65,34 @@ def decode_interaction(spark, folder):
     return decoded.where(F.col("decode_error").isNull()).drop("decode_error")
 
 
-@register("encode_event", model("typed", "SELECT event_id, true AS equal FROM typed"))
+def _json(**fields: str) -> str:
+    """DuckDB text of a JSON object; the values need no escapes."""
+    parts = [f"""'"{name}":' || coalesce('"' || {value} || '"', 'null')""" for name, value in fields.items()]
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+#: Fractions of a second without their last zeros, and none without a fraction.
+_ISO = "regexp_replace(strftime(occurred_at, '%Y-%m-%dT%H:%M:%S.%f'), '[.]?0*$', '') || 'Z'"
+_HEAD = {"eventId": "event_id", "occurredAt": _ISO}
+_SPAM = """CASE WHEN k % 3 = 0 THEN '{"reason":"spam"}' ELSE 'null' END"""
+_SYSTEM_JSON = _json(**_HEAD, systemEventType="system_event_type", subjectId="subject_id")
+
+
+@register("encode_event", model("typed", f"""
+SELECT event_id, true AS equal, CASE category
+  WHEN 'UserActionEvent' THEN {_json(**_HEAD, userId="user_id", actionType="action_type", targetId="target_id")}
+  WHEN 'ContentInteractionEvent'
+  THEN {_json(**_HEAD, userId="user_id", contentId="content_id", interactionType="interaction_type")}
+  ELSE left({_SYSTEM_JSON}, -1) || ',"metadata":' || {_SPAM} || '}}' END AS value
+FROM typed"""))
 def encode_event(spark, folder):
     columns = list(dict.fromkeys(c for fields in schemas.WIRE_FIELDS.values() for c in fields.values()))
     sent = tables.social_events(spark, folder).selectExpr(
         f"struct({', '.join(columns)}) AS sent", f"{codec.encode_any()} AS value"
     )
     equal = f"decode_error IS NULL AND {ev.same_event('sent', columns)}"
-    return codec.decode(sent).selectExpr("sent.event_id", f"{equal} AS equal")
+    read = codec.decode(sent.withColumn("wire", F.col("value")))
+    return read.selectExpr("sent.event_id", f"{equal} AS equal", "wire AS value")
 
 
 @register("record_envelope", model("env", 'SELECT topic, event_id, key, partition, "offset" FROM env'))
@@ -193,6 +213,17 @@ def feed_by_stream(spark, folder):
     return panels[0].unionByName(panels[1])
 
 
+@register("feed_rejects", model("feed", """
+SELECT topic, partition, "offset", CASE "offset" % 50 WHEN 7 THEN 'null payload' ELSE 'undecodable value' END AS reason
+FROM feed WHERE "offset" % 50 IN (7, 11, 13)"""))
+def feed_rejects(spark, folder):
+    # Of fifty records one has no value, one is cut off and one has an object where its user should be.
+    records = envelope.topic_records(tables.social_events(spark, folder, *ROUTED))
+    spoiled = F.expr("""CASE offset % 50 WHEN 7 THEN NULL WHEN 11 THEN left(value, length(value) - 1)
+                        WHEN 13 THEN regexp_replace(value, '"userId":"[^"]*"', '"userId":{"id":1}') ELSE value END""")
+    return feed.feed_rejects(records.withColumn("value", spoiled)).select("topic", "partition", "offset", "reason")
+
+
 @register("panel_counts", model("pub", "SELECT topic AS stream_name, count(*) AS n FROM pub GROUP BY topic"))
 def panel_counts(spark, folder):
     return feed.panel_counts(published(spark, folder))
@@ -269,8 +300,9 @@ def enrich_request(spark, folder):
 SELECT topic, partition, "offset" FROM env
 WHERE key = 'user-99' AND action_type = 'USER_FOLLOWED'"""))
 def topic_search(spark, folder):
-    records = envelope.topic_records(tables.social_events(spark, folder, schemas.USER_ACTION))
-    return envelope.find_records(records, "user-99", "USER_FOLLOWED").select("topic", "partition", "offset")
+    sent = envelope.publishable(tables.social_events(spark, folder, schemas.USER_ACTION))
+    found = f"key = 'user-99' AND contains({codec.encode(schemas.USER_ACTION)}, 'USER_FOLLOWED')"
+    return envelope.find_published(sent, found).select("topic", "partition", "offset")
 
 
 @register("engagement_outcomes", model("judged", """

@@ -2,6 +2,9 @@
 
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,5 +57,30 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    held = _held.get()
+    if held is not None:
+        held.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Folders that ``write_through`` has filled inside the innermost ``released`` block.
+_held: ContextVar[list[str] | None] = ContextVar("held", default=None)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``write_through`` writes in the block when it ends, whether it fails or not.
+
+    Results that read them are to be written inside the block. Without one, the tables stay until the folder is
+    expired.
+    """
+    paths: list[str] = []
+    token = _held.set(paths)
+    try:
+        yield
+    finally:
+        _held.reset(token)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

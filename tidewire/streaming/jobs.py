@@ -68,10 +68,24 @@ def engagement_job(
     return start(judged, with_retries(keep), checkpoint, poll)
 
 
-def feed_job(records: DataFrame, path: str, checkpoint: str, poll: str | None = None) -> StreamingQuery:
-    """Feed items of both topics, stored by stream name."""
-    items = feed.feed_from_records(records).withColumn("stream_name", F.col("topic"))
-    return start(items, with_retries(table_sink(path, "stream_name")), checkpoint, poll)
+def feed_job(
+    records: DataFrame, path: str, checkpoint: str, poll: str | None = None, rejects_path: str | None = None
+) -> StreamingQuery:
+    """Feed items of both topics, stored by stream name; records that cannot be read go to ``rejects_path``, if given."""
+    if rejects_path is None:
+        items = feed.feed_from_records(records).withColumn("stream_name", F.col("topic"))
+        return start(items, with_retries(table_sink(path, "stream_name")), checkpoint, poll)
+    store, put_aside = table_sink(path, "stream_name"), table_sink(rejects_path)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        read = batch.persist()  # decoded once for both tables
+        try:
+            store(feed.readable(read).withColumn("stream_name", F.col("topic")), batch_id)
+            put_aside(feed.rejects(read), batch_id)
+        finally:
+            read.unpersist()
+
+    return start(feed.decoded(records), with_retries(keep), checkpoint, poll)
 
 
 def copy_job(records: DataFrame, path: str, checkpoint: str, poll: str | None = None) -> StreamingQuery:
