@@ -171,6 +171,26 @@ def test_quality_rules(docs, nothing):
     assert quality_rules.quality_rules(nothing).count() == 0
 
 
+def test_policies_and_ablations_follow_the_ledger(docs, nothing):
+    judged = quality_rules.stored_ledger(docs)
+    rows = judged.collect()
+    fails = [{name for name, bit in quality_rules.BITS.items() if r.failed_bits & bit} for r in rows]
+    for r, failed in zip(rows, fails):
+        given = {m: r[m] for m in quality_rules.MEASURES}
+        assert failed == {name for name, rule in quality_rules.RULES.items() if eval(rule, {}, given)}
+    got = {(r.policy, r.rule): tuple(r[2:]) for r in quality_rules.ablations(judged).collect()}
+    want = {}
+    for policy, rules in quality_rules.POLICIES.items():
+        kept = quality_rules.apply_policy(judged, policy).where("kept").count()
+        assert kept == sum(not failed & set(rules) for failed in fails)
+        for rule in rules:
+            want[policy, rule] = (
+                sum(rule in f for f in fails), sum(f & set(rules) == {rule} for f in fails),
+                sum(not f & (set(rules) - {rule}) for f in fails))
+    assert got == want
+    assert {r.n_kept_without for r in quality_rules.ablations(quality_rules.ledger(quality_rules.measure(nothing))).collect()} <= {0}
+
+
 def test_license_scan(spark, nothing):
     rows = [
         ("top/LICENSE", "Licensed under the Apache License, Version 2.0."), ("top/a/x", "plain"), ("top/a/b/y", None),

@@ -6,13 +6,14 @@ aggregation what each rule of a policy drops alone. No text is read twice.
 """
 
 from collections import Counter
+from functools import reduce
 from itertools import compress
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import map_texts
+from tidewire.llm.common import map_texts, stored
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters",
@@ -91,6 +92,11 @@ def ledger(measured: DataFrame) -> DataFrame:
     return measured.withColumn("failed_bits", total)
 
 
+def stored_ledger(docs: DataFrame) -> DataFrame:
+    """Measurements and failure bits, one stored row per input row."""
+    return stored(ledger(measure(docs)), "quality-ledger")
+
+
 def mask(policy: str) -> int:
     return sum(BITS[rule] for rule in POLICIES[policy])
 
@@ -118,11 +124,17 @@ def ablation(judged: DataFrame, policy: str) -> DataFrame:
         F.sum(F.when(alone | (F.col("bits") == 0), F.col("n")).otherwise(0)).alias("n_kept_without"))
 
 
+def ablations(judged: DataFrame) -> DataFrame:
+    """``policy`` and the rows of ``ablation`` for every policy, read from one ledger."""
+    parts = [ablation(judged, policy).select(F.lit(policy).alias("policy"), "*") for policy in POLICIES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def quality_rules(docs: DataFrame, policy: str = "v2") -> DataFrame:
-    """Measurements, failure bits, ``base_failed`` and ``kept`` by a policy, one row per input row.
+    """Measurements, failure bits, ``base_failed`` and ``kept`` by a policy, one row per input row, from a stored ledger.
 
     Repeated rows are judged each; null and empty texts fail the base rules; other columns are ignored.
     """
-    judged = apply_policy(ledger(measure(docs)), "base", "base_kept")
+    judged = apply_policy(stored_ledger(docs), "base", "base_kept")
     return apply_policy(judged, policy).withColumn("base_failed", ~F.col("base_kept")).withColumn(
         "kept", F.col("base_kept") & F.col("kept")).drop("base_kept")
