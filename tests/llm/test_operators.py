@@ -284,11 +284,13 @@ def test_lm_fit_sees_whole_texts_and_grows(spark, monkeypatch):
     rows = [(i, i, False, "ids", bytearray(long[:n].tobytes())) for i, n in enumerate((5000, 10, 0, 63))] + [
         (9, 9, True, "ids", bytearray(long.tobytes()))]
     prepared = spark.createDataFrame(rows, "doc_id long, text_key long, held_out boolean, kind string, ids binary")
-    seen = lm_scoring.fit_windows(prepared, end, 4000)[:, 1:]
+    rows_of = lambda windows: np.array(
+        [np.frombuffer(r.window, "<u2") for r in windows.collect()]).reshape(-1, attention_model.SPAN + 1)
+    seen = rows_of(lm_scoring.fit_windows(prepared, end, 4000))[:, 1:]
     kept = Counter(seen[seen != attention_model.NONE].tolist())
     assert kept == Counter([*range(5000), *range(10), *range(63), *[end] * 4])
     monkeypatch.setattr(lm_scoring, "FIT_SHARE", 0.5)
-    few, many = (len(lm_scoring.fit_windows(d, end, 0)) for d in (prepared, prepared.union(prepared.selectExpr(
+    few, many = (lm_scoring.fit_windows(d, end, 0).count() for d in (prepared, prepared.union(prepared.selectExpr(
         "doc_id + 100", "text_key", "held_out", "kind", "ids"))))
     assert 20 < few < 62 and 1.4 * few < many < 2.8 * few
     # Filled-up places change nothing.
@@ -302,6 +304,37 @@ def test_lm_fit_sees_whole_texts_and_grows(spark, monkeypatch):
     assert whole[0] == other[0] and all(np.allclose(whole[1][n], other[1][n], atol=1e-7) for n in whole[1])
 
 
+def test_lm_fit_in_shards_averages_what_single_runs_give(spark, monkeypatch):
+    vocabulary = attention_model.Vocabulary(np.arange(3000.0)[::-1].copy(), [b"x"] * 3000)
+    random = np.random.default_rng(3)
+    rows = [(int(i), bytearray(random.integers(0, 300, attention_model.SPAN + 1).astype("<u2").tobytes())) for i in range(120)]
+    windows = spark.createDataFrame(rows, "`order` long, window binary")
+
+    def alone(part):
+        given = np.array([np.frombuffer(w, "<u2") for _, w in sorted(part)])
+        model = attention_model.Attention(vocabulary)
+        model.train(len(given), lambda at: attention_model.picked(vocabulary, given[at]), 8, 48)
+        return model
+
+    # One shard in four rounds is one run.
+    model = attention_model.Attention(vocabulary)
+    lm_scoring.train_shards(windows, model, vocabulary, 8)
+    assert np.allclose(model.state(), alone(rows).state(), atol=1e-5)
+    # Many shards are averaged, through several levels of the tree, each by its number of windows.
+    monkeypatch.setattr(lm_scoring, "FAN_IN", 2)
+    states = [(i, i + 1, bytearray((np.arange(4.0) * i * (i + 1)).tobytes())) for i in range(11)]
+    mean = lm_scoring.averaged(spark.createDataFrame(states, "shard long, n long, state binary"), 11)
+    assert np.allclose(mean, np.arange(4.0) * sum(i * (i + 1) for i in range(11)) / sum(i + 1 for i in range(11)))
+    monkeypatch.setattr(lm_scoring, "SHARD", 25)
+    loss = lambda m: m.gradients(*attention_model.picked(vocabulary, np.array([np.frombuffer(w, "<u2") for _, w in rows])))[0]
+    dealt, fresh = (attention_model.Attention(vocabulary) for _ in range(2))
+    lm_scoring.train_shards(windows, dealt, vocabulary, 40)
+    assert loss(dealt) < loss(fresh)
+    untouched = fresh.state()
+    lm_scoring.train_shards(windows.limit(0), fresh, vocabulary, 8)
+    assert (fresh.state() == untouched).all()
+
+
 def test_lm_base_scores(docs, nothing):
     counts = Counter()
     for doc_id, text, _ in ROWS:
