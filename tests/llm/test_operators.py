@@ -377,32 +377,44 @@ def test_whole_values_in_credential_contexts(spark):
                      4: "[SECRET] end"}
 
 
-def test_guess_cost_is_the_least_over_all_cuts():
+@pytest.mark.parametrize("vocabulary", [None, RANKS])
+def test_guess_cost_is_the_least_over_all_cuts(vocabulary):
+    words = secret_scan.dictionary(vocabulary)
+
     def slow(value):
         low, size, brute, best = value.lower(), len(value), secret_scan._classes(value), [0.0]
         for end in range(1, size + 1):
             costs = [best[end - 1] + brute]
             for at in range(end):
                 n, part = end - at, low[at:end]
-                if n > 1 and (rank := secret_scan.RANK.get(part)):
-                    cased = sum(c.isupper() for c in value[at:end])
-                    costs.append(best[at] + math.log2(rank + 1) + 1 + (cased > 0) * (1 + (cased > 1)))
+                cased = sum(c.isupper() for c in value[at:end])
+                ways = [(part, 0), (part[::-1], 1)]
+                for one in "li":
+                    spelt = "".join({**dict(zip("034578@$!", "oeastbasi")), "1": one}.get(c, c) for c in part)
+                    ways.append((spelt, 1 + sum(a != b for a, b in zip(spelt, part))))
+                costs += [best[at] + math.log2(rank + 1) + more + 1 + (cased > 0) * (1 + (cased > 1))
+                          for word, more in ways if n > 1 and (rank := words.ranks.get(word))]
                 if secret_scan.DATE.fullmatch(value, at, end):
                     costs.append(best[at] + secret_scan.DATE_BITS + 1)
                 costs += [best[at] + u * brute + math.log2(n) + 1 for u in (1, 2, 3, 4)
                           if n >= max(3, 2 * u) and n % u == 0 and part == part[:u] * (n // u)]
-                if n >= 3 and any(all(s.get(a) == b for a, b in zip(part, part[1:])) for s in (secret_scan.NEXT, secret_scan.BACK)):
-                    costs.append(best[at] + secret_scan.WALK_BITS + math.log2(n) + 1)
+                costs += [best[at] + bits + math.log2(n) + 1 for step, bits in secret_scan.RUNS
+                          if n >= 3 and all(step.get(a) == b for a, b in zip(part, part[1:]))]
             best.append(min(costs))
         return best[size]
 
     random = np.random.default_rng(3)
-    parts = ["a", "b", "ab", "aaaa", "abab", "xyz", "Pass", "password", "d", "qwert", "2019", "20190412", "7$K", "bbb"]
-    for _ in range(400):
+    parts = ["a", "b", "ab", "aaaa", "abab", "xyz", "Pass", "password", "d", "qwert", "2019", "20190412", "7$K", "bbb",
+             "drowssap", "p4$$w0rd", "we1come", "abcdef", "zyxw", "Garden", "x1q"]
+    for _ in range(250):
         value = "".join(random.choice(parts, random.integers(1, 14)))
         cost = slow(value)
-        assert math.isclose(secret_scan.guess_bits(value), cost, abs_tol=1e-9)
-        assert (secret_scan.guess_bits(value, 48) >= 48) == (cost >= 48)
+        assert math.isclose(secret_scan.guess_bits(value, words=words), cost, abs_tol=1e-9)
+        assert (secret_scan.guess_bits(value, 48, words) >= 48) == (cost >= 48)
+    # Words a vocabulary knows, backwards or with substitutes, cost little; a random value of that length does not.
+    for value in ("correcthorsebattery", "yrettabesroh", "h0rs3b4tt3ry", "abcdefghijklmnop"):
+        assert secret_scan.guess_bits(value, words=secret_scan.dictionary(RANKS)) < 48
+    assert secret_scan.guess_bits("xq7vkzp2wjr9dhtm", words=secret_scan.dictionary(RANKS)) > 60
     assert secret_scan.guess_bits("a" * 100_000) < 30
 
 

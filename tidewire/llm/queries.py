@@ -87,7 +87,8 @@ FROM ledger, policies, rules WHERE mask & bit <> 0 GROUP BY policy, rule
 
 @query
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found = secret_scan.secret_spans(table(spark, folder, "documents"))
+    found = secret_scan.secret_spans(
+        table(spark, folder, "documents"), vocabulary=public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_guess")
 
