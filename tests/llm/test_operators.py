@@ -249,6 +249,34 @@ def test_license_files_and_header_blocks(spark):
         "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", None, "GPL"]
 
 
+def test_all_licenses_of_a_text_and_denied_ones(spark):
+    prose = "the quick report on rivers and trade goes on for a while and says nothing else of use to anyone " * 3
+    texts = [
+        "License: MIT OR Apache-2.0", prose + "Released under the MIT License and the Apache License, Version 2.0. " + prose,
+        "Released under the MIT License. " + prose * 40 + " Licensed under the GNU General Public License, version 3.",
+        "This is not licensed under the MIT License.", "no longer released under the MIT License " + prose,
+        "Not released under the MIT License, but licensed under the Apache License, Version 2.0.",
+        prose + "a license of Harvard and MIT or so", "All rights reserved. Licensed under the ISC License or MIT or Zlib.",
+        "Licensed under the GNU Lesser General Public License, version 3", None, "",
+    ]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = license_scan.license_scan(made, F.col("doc_id").cast("string"), F.lit(False)).collect()
+    assert [r.licenses for r in sorted(got, key=lambda r: r.doc_id)] == [
+        ["Apache-2.0", "MIT"], ["Apache-2.0", "MIT"], ["GPL-3.0", "MIT"], None, None, ["Apache-2.0"], None,
+        ["ISC", "MIT", "Zlib"], ["LGPL-3.0"], None, None]
+
+
+def test_license_files_by_their_match(spark):
+    whole = (license_scan.TEXTS / "MPL-2.0.txt").read_text()
+    prose = "the license of the report on rivers and trade goes on for a while and says nothing else of use to anyone " * 3
+    rows = [("a/x", whole), ("a/y", prose), ("b/x", prose + "Released under the MIT License."), ("b/y", "plain"),
+            ("c/x", "MIT License\n\n" + prose), ("c/y", prose + " MIT License"), ("d/x", "")]
+    made = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string")
+    got = license_scan.license_scan(made, F.col("path"), F.col("text").rlike(license_scan.CUE), leading=10).collect()
+    assert [(r.license, r.effective) for r in sorted(got, key=lambda r: r.doc_id)] == [
+        ("MPL-2.0", "MPL-2.0"), (None, "MPL-2.0"), ("MIT", "MIT"), (None, None), ("MIT", "MIT"), (None, "MIT"), (None, None)]
+
+
 def test_attention_gradients_match_differences():
     vocabulary = attention_model.Vocabulary(np.arange(3000.0)[::-1].copy(), [b"x"] * 3000)
     model = attention_model.Attention(vocabulary)

@@ -197,10 +197,10 @@ def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents lie in folders by source and language; one that is little more than a notice is a licence file."""
+    """Documents lie in folders by source and language; a licence text, or one that begins with a notice, is a licence file."""
     docs = table(spark, folder, "documents")
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
-    return license_scan.license_scan(docs, path, F.length("text") < 200)
+    return license_scan.license_scan(docs, path, F.col("text").rlike(license_scan.CUE), leading=10)
 
 
 @query
