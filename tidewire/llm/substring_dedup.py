@@ -1,6 +1,7 @@
-"""Substring deduplication: windows of words as edges of a de Bruijn graph, compacted into paths, judged by coordinates.
+"""Substring deduplication: windows of 20 words, gathered into paths around anchors, judged by coordinates.
 
-An edge is a window of 20 words between the nodes of its first and last 19 words. Every window has an anchor, the
+This stands in for the compaction of a de Bruijn graph by joins: no nodes or degrees are counted, and paths are cut in
+each text instead of being joined node by node. The README says why. Every window has an anchor, the
 least-hashed 4-gram inside it, so equal windows have equal anchors: an anchor that only one text holds proves its
 windows unique, and they are never shuffled. The other windows compact into the paths of consecutive windows around
 one anchor. A path that occurs earlier as a whole is removed as a whole. The first occurrences of paths whose anchor
