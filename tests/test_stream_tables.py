@@ -1,10 +1,13 @@
 """Compaction of batch folders and the order of records."""
 
 import time
+from datetime import datetime, timedelta
 
 import pytest
 
 from tidewire import schemas
+from tidewire.plans import QUERIES
+from tidewire.session import ROOT
 from tidewire.streaming import compaction, jobs
 from tidewire.streaming.ordering import in_order
 from tidewire.streaming.sinks import read_table, table_sink
@@ -93,3 +96,39 @@ def test_a_full_buffer_and_an_end_of_patience_report_the_gap(spark, tmp_path):
             time.sleep(0.3)
         assert query.exception() is None
     assert [(r.offset, r.missing) for r in seen] == [(0, 0), (5, 4), (6, 0), (9, 2)]
+
+
+def test_stream_in_order_brings_its_own_state_store_and_package(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(minutes=i), i % 5, "purchase", 1.0, f'{{"k": {i}}}') for i in range(40)]
+    spark.createDataFrame(
+        rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(
+        str(tmp_path / "events.parquet"))
+    name, env = "spark.sql.streaming.stateStore.providerClass", spark.sparkContext.environment
+    before, path = spark.conf.get(name), env.pop("PYTHONPATH", None)
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(name, plain)
+    try:
+        got = QUERIES["stream_in_order"](spark, str(tmp_path)).collect()
+        assert spark.conf.get(name) == plain and ROOT in env["PYTHONPATH"]
+    finally:
+        spark.conf.set(name, before)
+        if path is not None:
+            env["PYTHONPATH"] = path
+    sent = {(r.topic, r.partition, r.offset) for r in got}
+    assert len(got) == len(sent) > 20
+    last = {}
+    for _, partition, offset in sent:
+        last[partition] = max(offset, last.get(partition, 0))
+    assert len(got) == sum(n + 1 for n in last.values())
+
+
+def test_any_number_of_records_is_held_back_without_a_limit(spark, tmp_path):
+    log, seen = str(tmp_path / "log"), []
+    for offsets in (range(12_000, 0, -1), [0]):  # more than the default limit
+        records(spark, offsets).coalesce(1).write.mode("append").parquet(log)
+        stream = spark.readStream.schema(schemas.TOPIC_RECORD).parquet(log)
+        jobs.drain(in_order(stream, most=None).writeStream.foreachBatch(
+            lambda b, _: seen.extend(b.select("offset", "missing").collect())).outputMode("append").option(
+            "checkpointLocation", str(tmp_path / "p")).trigger(availableNow=True).start())
+    assert [tuple(r) for r in seen] == [(n, 0) for n in range(12_001)]

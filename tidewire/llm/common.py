@@ -1,9 +1,7 @@
 """Steps the training-data operators share: columns, folds, Arrow batches of texts, stored tables."""
 
-import os
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,24 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewire.session import fresh_path
+from tidewire.session import fresh_path, workers_find_package
 
 #: Texts handled at once inside a task; a batch is cut further when its texts are long.
 BATCH_ROWS = 2000
 BATCH_CHARS = 8_000_000
 
 
-ROOT = str(Path(__file__).resolve().parents[2])
-
-
-def workers_find_package(spark: SparkSession) -> None:
-    """Put this package's folder on the path of the Python workers; where it is installed, this changes nothing."""
-    env = spark.sparkContext.environment
-    paths = env.get("PYTHONPATH", "").split(os.pathsep)
-    if ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])
-
-
 def map_batches(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
     workers_find_package(df.sparkSession)
     return df.mapInArrow(run, schema)

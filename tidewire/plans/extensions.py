@@ -8,7 +8,7 @@ from tidewire.operators import catalog, dead_letters, dedup, envelope, outcomes,
 from tidewire.plans.oracle import model
 from tidewire.plans.records import ROUTED, interaction_records
 from tidewire.plans.registry import register
-from tidewire.session import fresh_path
+from tidewire.session import fresh_path, state_in_rocksdb
 from tidewire.sources import tables, topic_log
 from tidewire.streaming import compaction, jobs, ordering
 from tidewire.streaming.sinks import read_table
@@ -182,7 +182,8 @@ def stream_in_order(spark, folder):
     records = envelope.topic_records(tables.social_events(spark, folder, schemas.USER_ACTION))
     for part in (F.col("offset") % 3 > 0, F.col("offset") % 3 == 0, F.col("offset") % 3 == 0):
         topic_log.append(records.where(part).orderBy(F.desc("offset")), log)
-        stream = ordering.in_order(topic_log.stream(spark, log, schemas.USER_ACTIONS_TOPIC), most=1_000_000)
-        jobs.drain(jobs.copy_job(stream, out, checkpoint))
+        stream = ordering.in_order(topic_log.stream(spark, log, schemas.USER_ACTIONS_TOPIC), most=None)
+        with state_in_rocksdb(spark):
+            jobs.drain(jobs.copy_job(stream, out, checkpoint))
     stored = codec.decode(read_table(spark, out).where("missing = 0"), schemas.USER_ACTION)
     return stored.select("topic", "partition", "offset", "event_id")

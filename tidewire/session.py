@@ -1,14 +1,20 @@
 """Session settings and the shared folder for tables that cut lineage."""
 
+import os
 import re
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROOT = str(Path(__file__).resolve().parents[1])
+#: The provider of state stores that operators with arbitrary state need.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app_name: str = "tidewire", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the jobs expect; ``settings`` override them."""
@@ -16,8 +22,7 @@ def build_session(app_name: str = "tidewire", master: str | None = None, **setti
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     }
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -27,6 +32,29 @@ def build_session(app_name: str = "tidewire", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Put this package's folder on the path of the Python workers; where it is installed, this changes nothing."""
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])
+
+
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streaming queries that start in here keep their state in RocksDB, whatever the session's provider is."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
