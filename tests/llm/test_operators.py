@@ -277,6 +277,39 @@ def test_license_files_by_their_match(spark):
         ("MPL-2.0", "MPL-2.0"), (None, "MPL-2.0"), ("MIT", "MIT"), (None, None), ("MIT", "MIT"), (None, "MIT"), (None, None)]
 
 
+def test_notices_without_cue_words_or_with_words_between(spark):
+    prose = "the quick report on rivers and trade goes on for a while and says nothing else of use to anyone " * 3
+    texts = [
+        prose + "Released under the MIT.", "Distributed under the GPLv2 " + prose, "Available under the terms of Apache-2.0",
+        prose + "Licensed under the Apache Software License, Version 2.0 " + prose, prose]
+    assert [g[0] for g in licenses(spark, texts)] == ["MIT", "GPL-2.0", "Apache-2.0", "Apache-2.0", None]
+    # Templates of one's own need none of the cue words, and their first term may be the one that differs.
+    own = {"own": "do what you want with it"}
+    got = licenses(spark, [prose + " do what you want with it " + prose, "you do what you want with them", "please what you want with it", prose], templates=own)
+    assert [g[0] for g in got] == ["own", "own", "own", None] and got[0][1] == 1 > got[2][1] > 0.6
+
+
+def test_every_window_that_is_near_enough_is_found(spark):
+    words, least = "a b c d e x".split(), 0.6
+    template = ["a", "b", "c", "d", "b"]
+    random = np.random.default_rng(4)
+    rows = [(i, " ".join(random.choice(words, 30, p=[.05, .1, .1, .1, .15, .5]))) for i in range(40)]
+    made = spark.createDataFrame(rows, "doc_id long, text string").withColumn("is_file", F.lit(False))
+    found = license_scan.header_matches(made, [("own", " ".join(template), [], 2, False, False)], least, None)
+    got = Counter((r.doc_id, r.start, round(r.similarity, 6)) for r in found.collect())
+    idf, unseen, (unit,) = license_scan.term_weights([Counter(template)])
+    want = Counter()
+    for i, text in rows:
+        terms = text.split()
+        for start in range(-4, 30):
+            window = {at: terms[at] for at in range(max(0, start), min(30, start + 5))}
+            weight = {t: n * idf.get(t, unseen) for t, n in Counter(window.values()).items()}
+            cosine = sum(w * unit.get(t, 0) for t, w in weight.items()) / math.sqrt(sum(w * w for w in weight.values()))
+            if cosine >= least and any(window.get(start + at) == t for at, t in enumerate(template)):
+                want[i, start, round(cosine, 6)] += 1
+    assert got == want and len(want) > 20
+
+
 def test_attention_gradients_match_differences():
     vocabulary = attention_model.Vocabulary(np.arange(3000.0)[::-1].copy(), [b"x"] * 3000)
     model = attention_model.Attention(vocabulary)

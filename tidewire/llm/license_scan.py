@@ -94,7 +94,7 @@ COMMON = {"license", "version", "v", "gnu", "universal", "international"}
 #: reserve all rights as well, and a name without version or the common beginning of BSD texts tells less than others.
 RESERVED, VAGUE, NAMED, TEXT = range(4)
 VAGUE_NAMES = {"GPL", "LGPL", "AGPL"}
-#: A text without any of these has no notice and is not cut into terms.
+#: Words that licence files have.
 CUE = r"(?i)licen[sc]e|all\W+rights\W+reserved|public\W+domain|creative\W+commons|spdx" \
     r"|permission\W+(?:is|to)|redistribution\W+and\W+use|to\W+endorse|unencumbered"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -109,9 +109,29 @@ def terms_of(text: str) -> list[str]:
     return [re.sub(NUMBER, r"\1", t) for t in re.findall(TERM, text.lower().replace("licence", "license"))]
 
 
+def lowered(text: Column) -> Column:
+    return F.replace(F.lower(text), F.lit("licence"), F.lit("license"))
+
+
+def any_term(terms: list[str]) -> str:
+    """A pattern that ``lowered`` texts with any of the terms match, and maybe others."""
+    spelled = [f"v?{t}(?:[.]0)?" if t.isdigit() else re.escape(t) for t in terms]
+    return f"(?<![a-z0-9])(?:{'|'.join(spelled)})(?![a-z0-9])"
+
+
+def deciding(rarest: list[str], unit: dict[str, float], least: float) -> list[str]:
+    """The first terms without any of which no window has a cosine of ``least``."""
+    rest = 1.0
+    for n, term in enumerate(rarest, 1):
+        rest -= unit[term] ** 2
+        if rest < least * abs(least) - 1e-9:
+            return rarest[:n]
+    return rarest
+
+
 def text_terms(text: Column) -> Column:
     """The same in Spark."""
-    parts = F.split(F.replace(F.lower(text), F.lit("licence"), F.lit("license")), NOT_TERM)
+    parts = F.split(lowered(text), NOT_TERM)
     return F.transform(F.filter(parts, lambda t: t != ""), lambda t: F.regexp_replace(t, NUMBER, "$1"))
 
 
@@ -184,28 +204,33 @@ def header_matches(
     ``doc_id, text_key, is_file, rank, similarity, license, start, end, joined, denied``; ``start`` and ``end`` count
     terms. Titles count in licence files, with ``leading`` only among their first so many terms.
 
-    Every occurrence of a notice's rarest needed term is an anchor. The window around it has the notice's own length
-    and place, whatever the lines, so neither the words around a notice nor other notices change its similarity.
+    A window has the notice's own length and holds all its needed terms, one of them at least at its own place, whatever
+    the lines, so neither the words around a notice nor other notices change its similarity. Of a notice without needed
+    terms any term may be the one at its place. Texts that lack a term without which no window can be near are not cut.
     """
     spark = docs.sparkSession
     split = [terms_of(text) for _, text, *_ in templates]
     idf, unseen, units = term_weights([Counter(terms) for terms in split])
-    anchors = []
+    listed, anchors, cues = [], [], set()
     for at, ((license, _, needs, rank, title, joined), terms) in enumerate(zip(templates, split)):
-        anchor = max(needs or terms, key=lambda t: (idf[t], -terms.index(t)))
-        anchors.append((at, license, rank, title, joined, anchor, terms.index(anchor), len(terms), needs))
+        rarest = sorted(set(needs or terms), key=lambda t: (-idf[t], terms.index(t)))
+        telling = rarest[:1] if needs else deciding(rarest, units[at], least)
+        cues.update(telling)
+        places = [(term, before) for before, term in enumerate(terms) if not needs or term in needs]
+        listed.append((at, license, rank, title, joined, len(terms), needs, telling))
+        anchors += [(at, term, before, places[:i]) for i, (term, before) in enumerate(places)]
     listed = spark.createDataFrame(
-        anchors,
-        "notice int, license string, rank int, title boolean, joined boolean, anchor string, before int, size int, "
-        "needs array<string>")
+        listed, "notice int, license string, rank int, title boolean, joined boolean, size int, needs array<string>, "
+        "telling array<string>").join(spark.createDataFrame(
+            anchors, "notice int, anchor string, before int, prior array<struct<term:string,before:int>>"), "notice")
     weights = spark.createDataFrame(
         [(at, t, w) for at, unit in enumerate(units) for t, w in unit.items()], "notice int, term string, unit double")
     rarities = spark.createDataFrame(list(idf.items()), "term string, idf double")
     reach = max(map(len, split)) + 2  # and the two terms before a notice
-    starting = sorted({a[5] for a in anchors})
+    starting, cues = sorted({a[1] for a in anchors}), sorted(cues)
 
     # Blocks of terms with margins, then the surroundings of each anchor: bounded rows for texts of any length.
-    cut = docs.where(F.col("text").rlike(CUE)).select(
+    cut = docs.where(lowered(F.col("text")).rlike(any_term(cues))).select(
         "doc_id", F.xxhash64("text").alias("text_key"), "is_file", text_terms(F.col("text")).alias("terms"))
     blocks = cut.select("doc_id", "text_key", "is_file", F.inline(F.transform(
         F.sequence(F.lit(0), F.size("terms"), F.lit(BLOCK)),
@@ -217,17 +242,19 @@ def header_matches(
     around = blocks.select("doc_id", "text_key", "is_file", F.inline(F.transform(places, lambda i: F.struct(
         (F.col("block") + i).alias("at"), F.get("part", F.col("margin") + i).alias("anchor"),
         F.least(F.col("margin") + i, F.lit(reach)).alias("lead"),
-        F.slice("part", F.greatest(F.col("margin") + i - reach, F.lit(0)) + 1, F.lit(2 * reach)).alias("near")))))
+        F.slice("part", F.greatest(F.col("margin") + i - reach, F.lit(0)) + 1, F.lit(2 * reach)).alias("near"))))).where(
+        F.arrays_overlap("near", F.array(*map(F.lit, cues))))
     begin = F.col("lead") - F.col("before")
     window = F.slice("near", F.greatest(begin, F.lit(0)) + 1, F.col("size") + F.least(begin, F.lit(0)))
     start = (F.col("at") - F.col("before")).cast("int")
     last, earlier = (F.coalesce(F.when(begin >= n, F.get("near", begin - n)), F.lit("")) for n in (1, 2))
     denied = last.isin(DENIED) | (last.isin(BETWEEN) & earlier.isin(DENIED))
+    sooner = F.exists("prior", lambda q: F.coalesce(F.get("near", begin + q["before"]) == q["term"], F.lit(False)))
     titled = F.lit(True) if leading is None else start <= leading
-    windows = around.join(F.broadcast(listed), "anchor").where(~F.col("title") | F.col("is_file") & titled).select(
-        "doc_id", "text_key", "is_file", "notice", "license", "rank", "needs", start.alias("start"),
+    windows = around.join(F.broadcast(listed), "anchor").where(~F.col("title") | F.col("is_file") & titled).where(
+        ~sooner).select("doc_id", "text_key", "is_file", "notice", "license", "rank", "needs", "telling", start.alias("start"),
         (start + F.col("size")).alias("end"), "joined", denied.alias("denied"), window.alias("window")).where(
-        F.size(F.array_except("needs", "window")) == 0)
+        F.arrays_overlap("window", "telling")).where(F.size(F.array_except("needs", "window")) == 0)
     keys = ["doc_id", "text_key", "is_file", "notice", "license", "rank", "start", "end", "joined", "denied"]
     counted = windows.select(*keys, F.explode("window").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("n"))
     weight = F.col("n") * F.coalesce("idf", F.lit(unseen))
@@ -286,7 +313,8 @@ def license_scan(
 ) -> DataFrame:
     """``doc_id, folder, similarity, license, licenses, inherited, origin, effective``, one row per input row.
 
-    ``license`` is that of the notice nearest to any window of the text by TF-IDF cosine, if ``least`` or more. A licence
+    ``license`` is that of the notice nearest to any window of the text (see ``header_matches``) by TF-IDF cosine, if
+    ``least`` or more. A licence
     file is also compared as a whole with whole licence texts, which decide where one is near. Names without a version
     count only where no better notice is found, a reservation of all rights only where no licence is; of equal ones the
     last by name. ``licenses`` has all licences that count like that one, in order of their names, joined ones ("MIT or
