@@ -153,6 +153,30 @@ def test_preference_scores(spark, docs, nothing):
     assert preference.quality_scores(nothing, labels).count() == 0
 
 
+def test_preference_learns_from_every_pair_of_labelled_documents(spark, monkeypatch):
+    random = np.random.default_rng(2)
+    x = np.round(random.normal(size=(120, preference.N_FEATURES)), 2)
+    y = (x[:, 0] + x[:, 1] + random.normal(size=120) > -1).astype(int)
+    featured = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(x)], "doc_id long, features binary")
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)] + [(3, None), (999, 1)], "doc_id long, quality int")
+    monkeypatch.setattr(preference, "WIDTH", 1e-5)
+    monkeypatch.setattr(preference, "BINS", 2 ** 24)
+    got = preference.fit(featured, labels)
+    use = np.array([zlib.crc32(str(i).encode()) % 5 != 0 for i in range(120)])
+    z = np.clip((x - x[use].mean(axis=0)) / (x[use].std(axis=0) + 1e-9), -8, 8)
+    good, bad = z[use & (y == 1)], z[use & (y == 0)]
+    pairs = (good[:, None, :] - bad[None, :, :]).reshape(-1, z.shape[1])
+    p = 1 / (1 + np.exp(-pairs @ got.weights))
+    # The gradient of the loss over all pairs is zero, and the cut and the slope are those of all utilities.
+    assert np.abs(pairs.T @ (p - 1) * preference.PAIRS / len(pairs) + got.weights).max() < 1
+    order = np.sort(z[use] @ got.weights)
+    below = [np.searchsorted(np.sort(kind @ got.weights), order) / len(kind) for kind in (good, bad)]
+    best = np.flatnonzero(below[1] - below[0] >= (below[1] - below[0]).max() - 1e-9)
+    cut = np.quantile(order, (max(0, best[0] - 1) + best[-1]) / 2 / (len(order) - 1))
+    assert math.isclose(got.cut, cut, rel_tol=1e-9)
+    assert math.isclose(got.slope, 4 / max(1e-6, np.median(good @ got.weights) - cut), rel_tol=1e-9)
+
+
 def test_quality_rules(docs, nothing):
     def base(text):
         text = text or ""
@@ -365,6 +389,12 @@ def test_lm_fit_sees_whole_texts_and_grows(spark, monkeypatch):
     assert whole[0] == other[0] and all(np.allclose(whole[1][n], other[1][n], atol=1e-7) for n in whole[1])
 
 
+def test_lm_fit_sees_every_window_of_a_large_corpus(spark):
+    ids_ = bytearray(np.arange(60_000, dtype="<u2").tobytes())
+    prepared = spark.createDataFrame([(i, i, False, "ids", ids_) for i in range(40)], "doc_id long, text_key long, held_out boolean, kind string, ids binary")
+    assert lm_scoring.fit_windows(prepared, 50257, 1).count() == 40 * -(-60_001 // attention_model.SPAN)
+
+
 def test_lm_fit_in_shards_averages_what_single_runs_give(spark, monkeypatch):
     vocabulary = attention_model.Vocabulary(np.arange(3000.0)[::-1].copy(), [b"x"] * 3000)
     random = np.random.default_rng(3)

@@ -1,7 +1,6 @@
 """Language-model scores of texts: a word-count base, and a causal self-attention model over subword ids.
 
-Counts come from all training documents. The attention weights alone are fit on a fixed share of the windows of whole
-documents, chosen by hash, so the fit's data and steps grow with the corpus; a small corpus gives a larger share.
+Counts come from all training documents, and the attention weights are fit on all windows of them.
 They are fit on the executors: windows are dealt into shards, each round trains every shard from the same weights and
 averages what comes out in a tree. The driver holds one set of weights.
 """
@@ -18,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidewire.llm import attention_model as attention
-from tidewire.llm.common import crc_fold, map_batches, map_texts, release, schema_of, slices, stored
+from tidewire.llm.common import crc_fold, map_batches, map_texts, release, schema_of, shuffles_deleted, slices, stored
 from tidewire.llm.encoders import byte_encoder
 
 #: A word with more than this share of all tokens is looked up in a table that every task has; there are fewer such
@@ -27,8 +26,8 @@ FREQUENT_SHARE = 1 / 500_000
 HELD_WORDS = 200_000
 #: Windows of one step of the fit.
 BATCH = 48
-#: Share of all training windows that the fit sees; of small corpora so many windows for each of ``sample`` or all.
-FIT_SHARE = 1 / 64
+#: Share of all training windows that the fit sees: all. With a smaller one, so many windows for each of ``sample`` at least.
+FIT_SHARE = 1.0
 FIT_LEAST = 8
 #: Windows that one task trains on, rounds of training and averaging, and sets of weights that one task adds up.
 SHARD = 32_768
@@ -216,7 +215,8 @@ def train_shards(windows: DataFrame, model: attention.Attention, vocabulary: att
                 "shard": pa.array([part.column("shard")[0].as_py()], pa.int64()), "n": pa.array([len(rows)], pa.int64()),
                 "state": pa.array([(mine.state().astype(np.float64) * len(rows)).tobytes()], pa.binary())})
 
-        trained = stored(dealt.groupBy("shard").applyInArrow(train, schema), "lm-states")
+        with shuffles_deleted(windows.sparkSession):  # each round deals all windows anew
+            trained = stored(dealt.groupBy("shard").applyInArrow(train, schema), "lm-states")
         model.resume(averaged(trained, shards))
         release(trained)
 
@@ -238,8 +238,8 @@ def fit(prepared: DataFrame, tokenizer: str, sample: int, steps: int) -> tuple[a
 def lm_scores(docs: DataFrame, tokenizer: str, sample: int = 4000, steps: int = 1500) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, one row per input row.
 
-    Documents whose crc32(doc_id) modulo 7 is 2 are held out of all counts and of the fit. The fit sees a 64th
-    of all windows, or 8 for each of ``sample`` if that is more, in ``steps`` steps or as many as meet each window once. Null texts are empty: their end token alone is
+    Documents whose crc32(doc_id) modulo 7 is 2 are held out of all counts and of the fit. The fit sees
+    all windows, in ``steps`` steps or as many as meet each window once; ``sample`` counts with a lower ``FIT_SHARE`` alone. Null texts are empty: their end token alone is
     scored. Repeated rows score alike and count each; other columns are ignored. Without training documents every
     count is 0 and the model is untrained.
     """
