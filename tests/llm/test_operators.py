@@ -305,8 +305,9 @@ def test_notices_without_cue_words_or_with_words_between(spark):
     prose = "the quick report on rivers and trade goes on for a while and says nothing else of use to anyone " * 3
     texts = [
         prose + "Released under the MIT.", "Distributed under the GPLv2 " + prose, "Available under the terms of Apache-2.0",
-        prose + "Licensed under the Apache Software License, Version 2.0 " + prose, prose]
-    assert [g[0] for g in licenses(spark, texts)] == ["MIT", "GPL-2.0", "Apache-2.0", "Apache-2.0", None]
+        prose + "Licensed under the Apache Software License, Version 2.0 " + prose, prose,
+        "Mit der Zeit", "Flieder mit Efeu mit Mohn"]
+    assert [g[0] for g in licenses(spark, texts)] == ["MIT", "GPL-2.0", "Apache-2.0", "Apache-2.0", None, None, None]
     # Templates of one's own need none of the cue words, and their first term may be the one that differs.
     own = {"own": "do what you want with it"}
     got = licenses(spark, [prose + " do what you want with it " + prose, "you do what you want with them", "please what you want with it", prose], templates=own)

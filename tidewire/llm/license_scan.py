@@ -206,7 +206,8 @@ def header_matches(
 
     A window has the notice's own length and holds all its needed terms, one of them at least at its own place, whatever
     the lines, so neither the words around a notice nor other notices change its similarity. Of a notice without needed
-    terms any term may be the one at its place. Texts that lack a term without which no window can be near are not cut.
+    terms any term may be the one at its place. In texts without the words of ``CUE`` a window also holds another word of
+    the notice: a bare name, the German "mit" say, is no notice. Texts that lack a term without which no window can be near are not cut.
     """
     spark = docs.sparkSession
     split = [terms_of(text) for _, text, *_ in templates]
@@ -217,11 +218,12 @@ def header_matches(
         telling = rarest[:1] if needs else deciding(rarest, units[at], least)
         cues.update(telling)
         places = [(term, before) for before, term in enumerate(terms) if not needs or term in needs]
-        listed.append((at, license, rank, title, joined, len(terms), needs, telling))
+        others = sorted(set(terms) - set(needs)) if needs else []
+        listed.append((at, license, rank, title, joined, len(terms), needs, telling, others))
         anchors += [(at, term, before, places[:i]) for i, (term, before) in enumerate(places)]
     listed = spark.createDataFrame(
         listed, "notice int, license string, rank int, title boolean, joined boolean, size int, needs array<string>, "
-        "telling array<string>").join(spark.createDataFrame(
+        "telling array<string>, others array<string>").join(spark.createDataFrame(
             anchors, "notice int, anchor string, before int, prior array<struct<term:string,before:int>>"), "notice")
     weights = spark.createDataFrame(
         [(at, t, w) for at, unit in enumerate(units) for t, w in unit.items()], "notice int, term string, unit double")
@@ -231,15 +233,16 @@ def header_matches(
 
     # Blocks of terms with margins, then the surroundings of each anchor: bounded rows for texts of any length.
     cut = docs.where(lowered(F.col("text")).rlike(any_term(cues))).select(
-        "doc_id", F.xxhash64("text").alias("text_key"), "is_file", text_terms(F.col("text")).alias("terms"))
-    blocks = cut.select("doc_id", "text_key", "is_file", F.inline(F.transform(
+        "doc_id", F.xxhash64("text").alias("text_key"), "is_file", F.col("text").rlike(CUE).alias("cued"),
+        text_terms(F.col("text")).alias("terms"))
+    blocks = cut.select("doc_id", "text_key", "is_file", "cued", F.inline(F.transform(
         F.sequence(F.lit(0), F.size("terms"), F.lit(BLOCK)),
         lambda b: F.struct(
             b.alias("block"), F.least(b, F.lit(reach)).alias("margin"),
             F.slice("terms", F.greatest(b - reach, F.lit(0)) + 1, F.least(b, F.lit(reach)) + BLOCK + reach).alias("part")))))
     places = F.filter(
         F.sequence(F.lit(0), F.lit(BLOCK - 1)), lambda i: F.get("part", F.col("margin") + i).isin(starting))
-    around = blocks.select("doc_id", "text_key", "is_file", F.inline(F.transform(places, lambda i: F.struct(
+    around = blocks.select("doc_id", "text_key", "is_file", "cued", F.inline(F.transform(places, lambda i: F.struct(
         (F.col("block") + i).alias("at"), F.get("part", F.col("margin") + i).alias("anchor"),
         F.least(F.col("margin") + i, F.lit(reach)).alias("lead"),
         F.slice("part", F.greatest(F.col("margin") + i - reach, F.lit(0)) + 1, F.lit(2 * reach)).alias("near"))))).where(
@@ -252,9 +255,10 @@ def header_matches(
     sooner = F.exists("prior", lambda q: F.coalesce(F.get("near", begin + q["before"]) == q["term"], F.lit(False)))
     titled = F.lit(True) if leading is None else start <= leading
     windows = around.join(F.broadcast(listed), "anchor").where(~F.col("title") | F.col("is_file") & titled).where(
-        ~sooner).select("doc_id", "text_key", "is_file", "notice", "license", "rank", "needs", "telling", start.alias("start"),
+        ~sooner).select("doc_id", "text_key", "is_file", "cued", "notice", "license", "rank", "needs", "telling", "others", start.alias("start"),
         (start + F.col("size")).alias("end"), "joined", denied.alias("denied"), window.alias("window")).where(
-        F.arrays_overlap("window", "telling")).where(F.size(F.array_except("needs", "window")) == 0)
+        F.arrays_overlap("window", "telling")).where(
+        F.col("cued") | (F.size("others") == 0) | F.arrays_overlap("window", "others")).where(F.size(F.array_except("needs", "window")) == 0)
     keys = ["doc_id", "text_key", "is_file", "notice", "license", "rank", "start", "end", "joined", "denied"]
     counted = windows.select(*keys, F.explode("window").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("n"))
     weight = F.col("n") * F.coalesce("idf", F.lit(unseen))
