@@ -4,6 +4,9 @@ import json
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -133,6 +136,29 @@ def test_chunks_hold_every_phrase_once(monkeypatch):
     assert got == want and len(made) > 10
 
 
+def test_only_distinct_phrases_are_put_into_words(spark, monkeypatch):
+    runs, joined, real, join = [], [], collocations.map_batches, pc.binary_join_element_wise
+    monkeypatch.setattr(collocations, "map_batches", lambda df, run, schema: runs.append(run) or real(df, run, schema))
+    rows = [("en", bytearray(b"a b a b a b a b"), 8, 3), ("de", bytearray(b"a b c"), 1, 5)]
+    found = collocations.counted(
+        spark.createDataFrame(rows, "lang string, chunk binary, own int, n long"), [2, 3], None, 1, 1)
+    assert {tuple(r) for r in found.collect()} == {
+        ("en", "a b", 12), ("en", "b a", 9), ("en", "a b a", 9), ("en", "b a b", 9), ("de", "a b", 5), ("de", "a b c", 5)}
+    monkeypatch.setattr(pc, "binary_join_element_wise", lambda *parts: joined.append(len(parts[0])) or join(*parts))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["en"]), pa.array(["a b a b a b a b"]), pa.array([8], pa.int32()), pa.array([3])],
+        names=["lang", "chunk", "own", "n"])
+    list(runs[0](iter([batch])))
+    assert joined == [2, 2]
+
+
+def test_a_word_has_one_hash_wherever_it_stands():
+    words = ["", "x", "x\0", "É" * 4, *("a" * n for n in range(2, 200))]
+    found = collocations._hashes(pa.array(words))
+    assert len(set(found.tolist())) == len(words)
+    assert (collocations._hashes(pa.array(words[::-1] * 2, pa.large_string())) == np.tile(found[::-1], 2)).all()
+
+
 def page(i, body, kind="div class=post"):
     return (
         f'<!doctype html><html><head><title>T {i}</title><script>var t="</p>";</script></head><body class="has-sidebar">'

@@ -26,6 +26,10 @@ from tidewire.llm.common import map_batches, schema_of, slices, stored
 TRIGGER = 8
 #: Chunks, or rows of counted phrases, that a task holds before it writes them out.
 HELD = 200_000
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
+#: Bytes of chunks whose words and phrases a task numbers together.
+LOT_BYTES = 8_000_000
 #: Size of the bit table, as a power of two: 16 MB, of which the driver sees set words of 64 bits only.
 TABLE_BITS = 27
 #: Lots in which the best phrases of a language are chosen first.
@@ -100,9 +104,26 @@ def chunk_dictionary(docs: DataFrame, longest: int) -> DataFrame:
 
 
 def _hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word."""
+    """A 64-bit hash of each word: eight bytes at a time for all words at once, the few long ones by themselves."""
     distinct = words.dictionary_encode()
-    each = np.array(list(map(xxhash.xxh3_64_intdigest, distinct.dictionary.cast(pa.large_binary()).to_pylist())), np.uint64)
+    text = distinct.dictionary.cast(pa.large_binary())
+    bounds = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
+    start, end = bounds[:-1], bounds[1:]
+    long = end - start > LONG_WORD
+    each = (end - start).astype(np.uint64)
+    data = np.append(np.frombuffer(text.buffers()[2] or b"", np.uint8), np.zeros(8, np.uint8))
+    eights = np.lib.stride_tricks.sliding_window_view(data, 8)
+    at = np.flatnonzero((end > start) & ~long)
+    begin = start[at]
+    while at.size:
+        rest = np.minimum(end[at] - begin, 8).astype(np.uint64)
+        block = eights[begin].view("<u8").ravel() & (~np.uint64(0) >> np.uint64(64) - np.uint64(8) * rest)
+        mixed = (each[at] * _PRIME ^ block) * _MIX
+        each[at] = mixed ^ mixed >> np.uint64(29)
+        more = begin + 8 < end[at]
+        at, begin = at[more], begin[more] + 8
+    which = np.flatnonzero(long)
+    each[which] = [xxhash.xxh3_64_intdigest(w) for w in text.take(pa.array(which)).to_pylist()]
     return each[distinct.indices.to_numpy()] if len(words) else np.zeros(0, np.uint64)
 
 
@@ -154,30 +175,61 @@ def counted(dictionary: DataFrame, sizes: list[int], table: np.ndarray | None, i
     def written(made: pa.Table):
         return made.set_column(1, "phrase", made["phrase"].cast(pa.string())).to_batches()
 
+    def lots(batches):
+        lot, size = [], 0
+        for batch in batches:
+            lot.append(batch)
+            size += batch.column(1).nbytes
+            if size >= LOT_BYTES:
+                yield from pa.Table.from_batches(lot).combine_chunks().to_batches()
+                lot, size = [], 0
+        if lot:
+            yield from pa.Table.from_batches(lot).combine_chunks().to_batches()
+
+    def phrases(lot: pa.RecordBatch, bits: np.ndarray | None) -> pa.Table:
+        """Phrases of a lot with their times. They are told apart by numbers; only distinct ones are put into words."""
+        words, lengths = _split(lot.column(1))
+        coded, langs = words.dictionary_encode(), lot.column(0).dictionary_encode()
+        codes, many = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+        chunk = np.repeat(np.arange(lot.num_rows), lengths)
+        inside = np.arange(len(words)) - (np.cumsum(lengths) - lengths)[chunk]
+        left = lengths[chunk] - inside
+        if bits is not None:
+            places = _rolled(_hashes(coded.dictionary)[codes], _hashes(lot.column(0))[chunk], inner)
+            known = (bits[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63)) & np.uint64(1)).astype(bool)
+        at = np.flatnonzero(inside < lot.column(2).to_numpy()[chunk])
+        ids, most, made = langs.indices.to_numpy().astype(np.int64)[chunk[at]], len(langs.dictionary), []
+        for size in range(1, sizes[-1] + 1):
+            fits = left[at] >= size
+            at, ids = at[fits], ids[fits]
+            if bits is not None and size >= inner:
+                fits = known[at + size - inner]
+                at, ids = at[fits], ids[fits]
+            # A phrase is the phrase one word shorter and its last word.
+            ids, most = ids * many + codes[at + size - 1], most * many
+            if size not in sizes and most * many < 2 ** 63:
+                continue
+            ids, most = pa.array(ids).dictionary_encode().indices.to_numpy().astype(np.int64), len(at)
+            if size in sizes:
+                first = np.zeros(ids.max(initial=-1) + 1, np.int64)
+                first[ids[::-1]] = at[::-1]
+                n = np.zeros(len(first), np.int64)
+                np.add.at(n, ids, lot.column(3).to_numpy()[chunk[at]])
+                parts = [coded.dictionary.take(pa.array(codes[first + k])) for k in range(size)]
+                phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if size > 1 else parts[0]
+                made.append(pa.table({"lang": lot.column(0).take(pa.array(chunk[first])), "phrase": phrase, "n": n}))
+        return pa.concat_tables(made)
+
     def run(batches):
         bits = shared.value if shared is not None else None
         held, rows = [], 0
-        for batch in batches:
-            words, lengths = _split(batch.column(1))
-            chunk = np.repeat(np.arange(batch.num_rows), lengths)
-            start = np.cumsum(lengths) - lengths
-            inside = np.arange(len(words)) - start[chunk]
-            own, left = inside < batch.column(2).to_numpy()[chunk], lengths[chunk] - inside
-            if bits is not None:
-                places = _rolled(_hashes(words), _hashes(batch.column(0))[chunk], inner)
-                known = (bits[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63)) & np.uint64(1)).astype(bool)
-            good = own
-            for size in range(1, sizes[-1] + 1):
-                good = good & (left >= size)
-                if bits is not None and size >= inner:
-                    good &= np.append(known[size - inner:], np.zeros(size - inner, bool))
-                if size not in sizes or not (at := np.flatnonzero(good)).size:
-                    continue
-                parts = [words.take(pa.array(at + k)) for k in range(size)]
-                phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if size > 1 else parts[0]
-                of = pa.array(chunk[at])
-                held.append(pa.table({"lang": batch.column(0).take(of), "phrase": phrase, "n": batch.column(3).take(of)}))
-                rows += at.size
+        for lot in lots(batches):
+            made = phrases(lot, bits)
+            if made.num_rows >= HELD:
+                yield from written(made)
+                continue
+            held.append(made)
+            rows += made.num_rows
             if rows >= 3 * HELD:
                 held = [summed(held)]
                 rows = held[0].num_rows
