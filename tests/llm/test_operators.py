@@ -123,6 +123,18 @@ def test_substring_dedup(docs, nothing):
     assert substring_dedup.substring_dedup(nothing).count() == 0
 
 
+def test_texts_are_shuffled_when_the_shuffles_of_anchors_are_gone(docs, monkeypatch):
+    plans, stored = {}, substring_dedup.stored
+
+    def seen(df, label, *partitioned):
+        plans[label] = df._jdf.queryExecution().sparkPlan().toString()
+        return stored(df, label, *partitioned)
+
+    monkeypatch.setattr(substring_dedup, "stored", seen)
+    assert substring_dedup.substring_dedup(docs).count() == len(ROWS)
+    assert "Generate explode" in plans["substring-wanted"] and "Generate explode" not in plans["substring-texts"]
+
+
 def test_jaccard_join(docs, nothing):
     grams = lambda t: (lambda w: {tuple(w[a:a + 5]) for a in range(max(1, len(w) - 4))} if w else set())((t or "").split())
     sets = [grams(r[1]) for r in ROWS]

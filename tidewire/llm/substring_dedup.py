@@ -175,8 +175,9 @@ def repeated_spans(docs: DataFrame, sketched: DataFrame, firsts: DataFrame, size
     shared = held.groupBy("anchor").agg(F.min("short").alias("least"), F.max("short").alias("most")).where(
         "least != most").select("anchor")
     own = sketched.select(F.xxhash64("digest").alias("short"), F.explode("repeated").alias("anchor"))
-    wanted = held.join(shared, "anchor").select("short", "anchor").unionByName(own).groupBy("short").agg(
-        F.collect_set("anchor").alias("given"))
+    # Stored, so that the shuffles of the anchors are gone before the texts are shuffled.
+    wanted = stored(held.join(shared, "anchor").select("short", "anchor").unionByName(own).groupBy("short").agg(
+        F.collect_set("anchor").alias("given")), "substring-wanted")
     places = firsts.select(
         F.xxhash64("digest").alias("short"), F.col("doc_id").alias("_doc"), F.col("row_key").alias("_row"), "base"
     ).join(wanted, "short").select("_doc", "_row", "base", "given")
@@ -185,6 +186,7 @@ def repeated_spans(docs: DataFrame, sketched: DataFrame, firsts: DataFrame, size
     texts = stored(keyed.join(
         places, (F.col("row_key") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
     ).select("row_key", "base", "text", "given").dropDuplicates(["row_key", "base"]).drop("row_key"), "substring-texts")
+    release(wanted)
 
     def paths(text, anchors):
         return Windows(split(text), size).paths(np.array(anchors, np.int64))
