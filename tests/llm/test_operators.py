@@ -439,6 +439,25 @@ def test_lm_fit_in_shards_averages_what_single_runs_give(spark, monkeypatch):
     assert (fresh.state() == untouched).all()
 
 
+def test_lm_fit_stores_one_set_of_weights_a_task(spark, monkeypatch):
+    vocabulary = attention_model.Vocabulary(np.arange(3000.0)[::-1].copy(), [b"x"] * 3000)
+    rows = [(i, bytearray(np.full(attention_model.SPAN + 1, i, "<u2").tobytes())) for i in range(60)]
+    windows = spark.createDataFrame(rows, "`order` long, window binary")
+    seen, averaged = [], lm_scoring.averaged
+
+    def counted(states, shards):
+        cleaned = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+        seen.append((shards, states.count(), states.agg(F.sum("n")).first()[0], cleaned))
+        return averaged(states, shards)
+
+    monkeypatch.setattr(lm_scoring, "SHARD", 5)
+    monkeypatch.setattr(lm_scoring, "averaged", counted)
+    lm_scoring.train_shards(windows, attention_model.Attention(vocabulary), vocabulary, 12)
+    # Twelve shards are dealt to four partitions at most.
+    assert len(seen) == lm_scoring.ROUNDS
+    assert all(shards == 12 and states <= 4 and n == 60 and cleaned == "true" for shards, states, n, cleaned in seen)
+
+
 def test_lm_base_scores(docs, nothing):
     counts = Counter()
     for doc_id, text, _ in ROWS:

@@ -191,6 +191,24 @@ def averaged(states: DataFrame, shards: int) -> np.ndarray:
     return (np.frombuffer(row.state, np.float64) / row.n).astype(np.float32)
 
 
+def by_shard(batches):
+    """(shard, rows) of batches in the order of ``shard``."""
+    held, of = [], None
+    for batch in batches:
+        shards = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+        for start, end in zip(cuts, cuts[1:]):
+            if start == end:
+                continue
+            if held and shards[start] != of:
+                yield of, pa.Table.from_batches(held)
+                held = []
+            of = int(shards[start])
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield of, pa.Table.from_batches(held)
+
+
 def train_shards(windows: DataFrame, model: attention.Attention, vocabulary: attention.Vocabulary, steps: int) -> None:
     """Fit ``model`` in rounds: every shard of the windows is trained from the mean of the round before."""
     count = windows.count()
@@ -202,7 +220,7 @@ def train_shards(windows: DataFrame, model: attention.Attention, vocabulary: att
     for at in range(ROUNDS if count else 0):
         start = model.state()
 
-        def train(part: pa.Table) -> pa.Table:
+        def trained_alone(part: pa.Table) -> tuple[np.ndarray, int]:
             rows = np.frombuffer(b"".join(part.column("window").to_pylist()), "<u2").reshape(-1, attention.SPAN + 1)
             rows = rows[np.lexsort((rows[:, 1], part.column("order").to_numpy()))]
             whole = max(-(-steps // shards), -(-len(rows) // BATCH))
@@ -211,13 +229,22 @@ def train_shards(windows: DataFrame, model: attention.Attention, vocabulary: att
             mine.train(
                 len(rows), lambda chosen: attention.picked(vocabulary, rows[chosen]), whole, BATCH,
                 part=(whole * at // ROUNDS, whole * (at + 1) // ROUNDS))
-            return pa.table({
-                "shard": pa.array([part.column("shard")[0].as_py()], pa.int64()), "n": pa.array([len(rows)], pa.int64()),
-                "state": pa.array([(mine.state().astype(np.float64) * len(rows)).tobytes()], pa.binary())})
+            return mine.state().astype(np.float64) * len(rows), len(rows)
+
+        def train(batches):
+            """One row a task: a set of weights can be larger than its shard, so those of a task are added up here."""
+            total, n, least = 0.0, 0, None
+            for shard, part in by_shard(batches):
+                state, rows = trained_alone(part)
+                total, n, least = total + state, n + rows, shard if least is None else least
+            if n:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([least], pa.int64()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())],
+                    names=schema.names)
 
         with shuffles_deleted(windows.sparkSession):  # each round deals all windows anew
-            trained = stored(dealt.groupBy("shard").applyInArrow(train, schema), "lm-states")
-        model.resume(averaged(trained, shards))
+            trained = stored(map_batches(dealt.repartition("shard").sortWithinPartitions("shard"), train, schema), "lm-states")
+            model.resume(averaged(trained, shards))
         release(trained)
 
 
@@ -231,7 +258,9 @@ def fit(prepared: DataFrame, tokenizer: str, sample: int, steps: int) -> tuple[a
     tokens = [*encode.table, b""]
     vocabulary = attention.Vocabulary(counts, tokens)
     model = attention.Attention(vocabulary)
-    train_shards(fit_windows(prepared, end, sample), model, vocabulary, steps)
+    windows = fit_windows(prepared, end, sample)
+    train_shards(windows, model, vocabulary, steps)
+    release(windows)
     return model, vocabulary
 
 
@@ -244,7 +273,9 @@ def lm_scores(docs: DataFrame, tokenizer: str, sample: int = 4000, steps: int =
     count is 0 and the model is untrained.
     """
     prepared = _prepared(docs, tokenizer)
-    counts = stored(prepared.where("kind = 'words' AND word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
+    with shuffles_deleted(docs.sparkSession):
+        counts = stored(
+            prepared.where("kind = 'words' AND word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = prepared.where("kind = 'tokens' AND token = -1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n, v = sums.n + ends, sums.v + int(ends > 0)
