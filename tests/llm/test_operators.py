@@ -3,11 +3,13 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -365,6 +367,123 @@ def test_attention_gradients_match_differences():
         assert math.isclose((losses[0] - losses[1]) / 2e-3, grads[name][at], rel_tol=0.02, abs_tol=1e-6)
 
 
+def plain_gradients(model, inputs, classes, places, real):
+    """The gradients by the book: whole softmax, one class at a time, sums row by row."""
+    p, n, real = model.p, int(real.sum()), real.reshape(-1)
+    q, k, v, x = (p[name][inputs] for name in "qkvx")
+    scores = np.where(model.causal, q @ k.transpose(0, 2, 1) + p["near"][model.back], -1e9)
+    weights = np.exp(scores - scores.max(axis=2, keepdims=True)).astype(q.dtype)
+    weights /= weights.sum(axis=2, keepdims=True)
+    hidden = np.concatenate([x, weights @ v], axis=2).reshape(-1, attention_model.HIDDEN)
+    classes, places, grads = classes.reshape(-1), places.reshape(-1), {name: np.zeros_like(w) for name, w in p.items()}
+
+    def softmax(logits, chosen, counted):
+        chance = np.exp(logits - logits.max(axis=1, keepdims=True))
+        chance /= chance.sum(axis=1, keepdims=True)
+        lost = -np.log(chance[np.arange(len(chosen)), chosen])[counted].sum()
+        chance[np.arange(len(chosen)), chosen] -= 1
+        chance[~counted] = 0
+        return lost, chance / n
+
+    loss, d_class = softmax(hidden @ p["out"] + p["bias"], classes, real)
+    d_hidden = d_class @ p["out"].T
+    for c in np.unique(classes):
+        at = np.flatnonzero(classes == c)
+        more, d_place = softmax(hidden[at] @ p["inner"][c] + p["inner_bias"][c], places[at], real[at])
+        loss += more
+        grads["inner"][c], grads["inner_bias"][c] = hidden[at].T @ d_place, d_place.sum(axis=0)
+        d_hidden[at] += d_place @ p["inner"][c].T
+    grads["out"], grads["bias"] = hidden.T @ d_class, d_class.sum(axis=0)
+    d_hidden = d_hidden.reshape(*inputs.shape, -1)
+    d_weights = d_hidden[..., attention_model.OWN:] @ v.transpose(0, 2, 1)
+    d_scores = weights * (d_weights - (d_weights * weights).sum(axis=2, keepdims=True))
+    np.add.at(grads["near"], model.back[model.causal], d_scores.sum(axis=0)[model.causal])
+    for name, grad in (
+            ("x", d_hidden[..., :attention_model.OWN]), ("v", weights.transpose(0, 2, 1) @ d_hidden[..., attention_model.OWN:]),
+            ("q", d_scores @ k), ("k", d_scores.transpose(0, 2, 1) @ q)):
+        np.add.at(grads[name], inputs.reshape(-1), grad.reshape(inputs.size, -1))
+    return loss / n, grads
+
+
+def plain_training(model, windows, steps, rate=0.02):
+    for step in range(1, steps + 1):
+        grads = plain_gradients(model, *windows)[1]
+        for name, grad in grads.items():
+            first, second = model.moments[name]
+            first += 0.1 * (grad - first)
+            second += 0.01 * (grad * grad - second)
+            model.p[name] -= (rate * min(1.0, 2 * (1 - step / (steps + 1)))) * (first / (1 - 0.9 ** step)) / (
+                np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
+        for name, bound in (("q", 1.5), ("k", 1.5), ("near", 20)):
+            np.clip(model.p[name], -bound, bound, out=model.p[name])
+
+
+def training_example(kind):
+    vocabulary = attention_model.Vocabulary(np.arange(3000.0)[::-1].copy(), [b"x"] * 3000)
+    random = np.random.default_rng(8)
+    rows = np.minimum(random.zipf(1.2, (48, attention_model.SPAN + 1)), 2990).astype(np.uint16)
+    rows[5, 40:], rows[6, 1:], rows[:9, 0] = attention_model.NONE, attention_model.NONE, attention_model.NONE
+    models = [attention_model.Attention(vocabulary) for _ in range(2)]
+    for model in models:
+        model.p = {n: v.astype(kind) for n, v in model.p.items()}
+        model.moments = {n: tuple(m.astype(kind) for m in ms) for n, ms in model.moments.items()}
+    return models, attention_model.picked(vocabulary, rows)
+
+
+def test_attention_training_equals_the_plain_formulas():
+    (model, plain), windows = training_example(np.float64)
+    for large in (False, True):  # logits that exp cannot take are lowered
+        if large:
+            for m in (model, plain):
+                m.p["out"] *= 1e5
+                m.p["inner"][3] *= 1e5
+        got, want = model.gradients(*windows), plain_gradients(plain, *windows)
+        assert large or math.isclose(got[0], want[0], abs_tol=1e-9)
+        assert all(np.isfinite(got[1][n]).all() and np.allclose(got[1][n], want[1][n], atol=1e-12, rtol=1e-7) for n in want[1])
+    (model, plain), windows = training_example(np.float64)
+    model.train(48, lambda at: [part[np.sort(at)] for part in windows], 12)
+    plain_training(plain, windows, 12)
+    # Where a gradient is next to nothing, its sign decides and rounding shows.
+    assert all(np.allclose(model.p[n], plain.p[n], atol=1e-5) for n in plain.p)
+
+
+def test_attention_step_costs_less_than_the_plain_formulas():
+    (model, plain), windows = training_example(np.float32)
+    took = {}
+    for _ in range(5):
+        for name, run in (("own", lambda: model.train(48, lambda at: windows, 10)), ("plain", lambda: plain_training(plain, windows, 10))):
+            began = time.thread_time()
+            run()
+            took[name] = min(took.get(name, math.inf), time.thread_time() - began)
+    assert took["own"] < 0.75 * took["plain"]
+
+
+def test_attention_scores_are_finite_for_large_logits():
+    vocabulary = attention_model.Vocabulary(np.arange(2500.0)[::-1].copy(), [b"y"] * 2500)
+    model = attention_model.Attention(vocabulary)
+    model.p["out"] *= 1e4
+    model.p["inner"] *= 1e4
+    assert np.isfinite(attention_model.score_documents(model, vocabulary, [np.arange(300)])).all()
+
+
+def test_lm_words_of_texts():
+    texts = ["", " ", " a  B\tc\n", "x", "\x0b\x0c\r", "\u00c4 \u00e9\u3000 A\x1cB\x85 ok", "z ", "\x00 A\x00"]
+    words, sizes = lm_scoring.base_words(texts)
+    want = [t.encode().lower().split() for t in texts]
+    assert words.to_pylist() == [w for ws in want for w in ws] and sizes.tolist() == [len(ws) for ws in want]
+    assert lm_scoring.base_words([])[1].tolist() == [] and lm_scoring.base_words(["", ""])[1].tolist() == [0, 0]
+    frequent = lm_scoring.Frequent(pa.array([b"a", b"x"], pa.binary()), np.array([7, 9]))
+    assert frequent.of(pa.array([b"x", b"b", b"a", b""], pa.binary())).tolist() == [9, 0, 7, 0]
+
+
+def test_lm_word_counts_are_whole_when_tasks_hold_few(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "HELD_WORDS", 5)
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 30)) + " W1") for i in range(60)] + [(None, None)]
+    got = lm_scoring._prepared(spark.createDataFrame(rows, "doc_id long, text string"), RANKS).where("kind = 'words'")
+    want = Counter(w for i, t in rows[:-1] if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.lower().encode().split())
+    assert {bytes(r.word): r.n for r in got.groupBy("word").agg(F.sum("n").alias("n")).collect()} == want
+
+
 def test_attention_scores_each_token_once_and_probabilities_add_up():
     vocabulary = attention_model.Vocabulary(np.arange(2500.0)[::-1].copy(), [b"y"] * 2500)
     model = attention_model.Attention(vocabulary)

@@ -5,8 +5,6 @@ They are fit on the executors: windows are dealt into shards, each round trains
 averages what comes out in a tree. The driver holds one set of weights.
 """
 
-from collections import Counter
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -24,6 +22,8 @@ from tidewire.llm.encoders import byte_encoder
 #: words than one over the share. All other words meet their counts in a shuffle.
 FREQUENT_SHARE = 1 / 500_000
 HELD_WORDS = 200_000
+#: Characters of texts whose words are told apart at once.
+WORD_CHARS = 1_000_000
 #: Windows of one step of the fit.
 BATCH = 48
 #: Share of all training windows that the fit sees: all. With a smaller one, so many windows for each of ``sample`` at least.
@@ -32,11 +32,21 @@ FIT_LEAST = 8
 #: Windows that one task trains on, rounds of training and averaging, and sets of weights that one task adds up.
 SHARD = 32_768
 ROUNDS = 4
-FAN_IN = 32
+FAN_IN = 16
+
+
+def base_words(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in a row, A-Z lower-cased, and how many each text has."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+    split = pc.ascii_split_whitespace(trimmed)
+    sizes = np.where(pc.equal(trimmed, "").to_numpy(zero_copy_only=False), 0, pc.list_value_length(split).to_numpy())
+    words = split.flatten().cast(pa.large_binary())  # a text without words has been split into one empty word
+    return words.filter(pc.not_equal(pc.binary_length(words), 0)), sizes
 
 
-def base_words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def counted(words: pa.Table) -> pa.Table:
+    """``word, n`` with each word once."""
+    return words.group_by("word").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
 
 
 def _prepared(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -47,35 +57,38 @@ def _prepared(docs: DataFrame, tokenizer: str) -> DataFrame:
     schema = schema_of(
         keyed, ["doc_id", "text_key", "held_out"], "kind string, ids binary, word binary, token int, n long")
     arrow = to_arrow_schema(schema)
+    nothing = pa.table({"word": pa.array([], pa.large_binary()), "n": pa.array([], pa.int64())})
 
     def rows(kind, count, **columns):
         return pa.RecordBatch.from_arrays([
             columns.get(f.name, pa.array([kind] * count, f.type) if f.name == "kind" else pa.nulls(count, f.type))
             for f in arrow], names=schema.names)
 
-    def words(counts):
-        made = rows("words", len(counts), word=pa.array(list(counts), pa.binary()), n=pa.array(list(counts.values()), pa.int64()))
-        counts.clear()
-        return made
+    def words(held):
+        for batch in held.to_batches(HELD_WORDS):
+            yield rows("words", batch.num_rows, word=batch.column("word").cast(pa.binary()), n=batch.column("n"))
 
     def run(batches):
         encode = byte_encoder(tokenizer)
-        counts, tokens, ends = Counter(), np.zeros(size, np.int64), 0
+        held, tokens, ends = nothing, np.zeros(size, np.int64), 0
         for batch in batches:
-            for part, texts in slices(batch, "text"):
-                ids = []
-                for text, held in zip(texts, part.column(2).to_pylist()):
-                    found = encode.ids(text)
-                    ids.append(np.array(found, "<u2").tobytes())
-                    if not held:
-                        counts.update(base_words(text))
-                        ends += 1
-                        np.add.at(tokens, found, 1)
-                yield rows("ids", len(ids), ids=pa.array(ids, pa.binary()), **{
+            for part, texts in slices(batch, "text", most=WORD_CHARS):
+                learnt = [i for i, held_out in enumerate(part.column(2).to_pylist()) if not held_out]
+                found = [np.array(encode.ids(text), "<u2") for text in texts]
+                yield rows("ids", len(found), ids=pa.array([f.tobytes() for f in found], pa.binary()), **{
                     n: part.column(at) for at, n in enumerate(("doc_id", "text_key", "held_out"))})
-                if len(counts) > HELD_WORDS:
-                    yield words(counts)
-        yield words(counts)
+                if not learnt:
+                    continue
+                ends += len(learnt)
+                tokens += np.bincount(np.concatenate([found[i] for i in learnt]), minlength=size)
+                distinct = base_words([texts[i] for i in learnt])[0].value_counts()
+                held = pa.concat_tables([held, pa.table({"word": distinct.field(0), "n": distinct.field(1)})])
+                if len(held) > 2 * HELD_WORDS:
+                    held = counted(held)
+                    if len(held) > HELD_WORDS:
+                        yield from words(held)
+                        held = nothing
+        yield from words(counted(held))
         seen = np.flatnonzero(tokens)
         yield rows("tokens", len(seen) + 1, token=pa.array([*seen, -1], pa.int32()), n=pa.array([*tokens[seen], ends], pa.int64()))
 
@@ -83,24 +96,14 @@ def _prepared(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 class Frequent:
-    """Counts of the frequent words, found by hash and verified by the word."""
+    """Counts of the frequent words."""
 
     def __init__(self, words: pa.Array, counts: np.ndarray):
-        hashed = self.hashed(words)
-        order = np.argsort(hashed)
-        self.hashes, self.counts, self.words = hashed[order], counts[order], words.take(pa.array(order))
-
-    @staticmethod
-    def hashed(words: pa.Array) -> np.ndarray:
-        return pd.util.hash_array(np.array(words.to_pylist(), object), categorize=False) if len(words) else np.empty(0, np.uint64)
+        self.words, self.counts = words, np.append(counts, 0)
 
     def of(self, words: pa.Array) -> np.ndarray:
         """Count of each word, 0 for those not in the table."""
-        if not len(self.hashes) or not len(words):
-            return np.zeros(len(words), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, self.hashed(words)), len(self.hashes) - 1)
-        same = pc.equal(self.words.take(pa.array(at)), words).to_numpy(zero_copy_only=False)
-        return np.where(same, self.counts[at], 0)
+        return self.counts[pc.fill_null(pc.index_in(words, self.words), len(self.words)).to_numpy()]
 
 
 def base_scores(docs: DataFrame, counts: DataFrame, ends: int, n: int, v: int) -> DataFrame:
@@ -117,9 +120,8 @@ def base_scores(docs: DataFrame, counts: DataFrame, ends: int, n: int, v: int) -
     end = float(np.log10(ends + 1))
 
     def judge(texts: list[str]) -> list:
-        every = [base_words(t) for t in texts]
-        sizes = np.array([len(w) for w in every])
-        flat = pa.array([w for words in every for w in words], pa.binary()).dictionary_encode()
+        every, sizes = base_words(texts)
+        flat = every.cast(pa.binary()).dictionary_encode()
         codes, found = flat.indices.to_numpy(), frequent.of(flat.dictionary)
         owner = np.repeat(np.arange(len(texts)), sizes)
         known, count = found[codes] > 0, found[codes]
@@ -164,14 +166,18 @@ def fit_windows(prepared: DataFrame, end: int, sample: int) -> DataFrame:
 
     def choose(batches):
         for batch in batches:
-            orders, chosen = [], []
-            for key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                rows = attention.training_windows(np.append(np.frombuffer(text, "<u2"), end))
-                mixed = pd.util.hash_array(np.uint64(key % 2 ** 64) + np.arange(len(rows), dtype=np.uint64))
-                at = np.arange(len(rows)) if share >= 1 else np.flatnonzero(mixed < limit)
-                orders += mixed[at].view(np.int64).tolist()
-                chosen += [rows[i].astype("<u2").tobytes() for i in at]
-            yield pa.RecordBatch.from_arrays([pa.array(orders, pa.int64()), pa.array(chosen, pa.binary())], names=schema.names)
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                each = [attention.training_windows(np.append(np.frombuffer(text, "<u2"), end)) for text in part.column(1).to_pylist()]
+                sizes = np.array([len(rows) for rows in each])
+                within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                mixed = pd.util.hash_array(np.repeat(part.column(0).to_numpy().view(np.uint64), sizes) + within.astype(np.uint64))
+                rows = np.concatenate(each).astype("<u2", copy=False)
+                if share < 1:
+                    chosen = mixed < limit
+                    mixed, rows = mixed[chosen], rows[chosen]
+                windows = pa.Array.from_buffers(pa.binary(rows[:1].nbytes), len(rows), [None, pa.py_buffer(rows)]) if len(rows) else pa.array([])
+                yield pa.RecordBatch.from_arrays([pa.array(mixed.view(np.int64)), windows.cast(pa.binary())], names=schema.names)
 
     return stored(map_batches(ids, choose, schema), "lm-windows")
 
